@@ -87,7 +87,7 @@ def shared_counts(sets: DataFrame, parts: int) -> DataFrame:
                 tok.append(t)
                 key.append(np.full(len(t), k, np.int64))
                 size += len(t)
-            if size >= 2 << 20:
+            if size >= 1 << 20:
                 yield from out(np.concatenate(tok), np.concatenate(key))
                 tok, key, size = [], [], 0
         if size:
@@ -133,7 +133,7 @@ def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
-def link(docs: DataFrame, size: int = 5, percent: int = 80, text_col: str = "text", id_col: str = "doc_id", part_bytes: int = 64 << 20) -> DataFrame:
+def link(docs: DataFrame, size: int = 5, percent: int = 80, text_col: str = "text", id_col: str = "doc_id", part_bytes: int = 16 << 20) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -156,7 +156,7 @@ def link(docs: DataFrame, size: int = 5, percent: int = 80, text_col: str = "tex
 
     rows = materialize(map_arrow(docs, describe, "doc_id long, n long, c binary, prefix binary"), "rows")
     total = docs.agg(F.sum(F.octet_length("text")).alias("n")).collect()[0].n or 0
-    parts = max(16, math.ceil(total / part_bytes))
+    parts = max(48, math.ceil(total / part_bytes))
     classes = materialize(rows.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("id"), F.min("n").alias("n")), "classes")
     key = F.xxhash64("c")
     # Both sets of a pair have the pair's first 1 + n // 10 common shingles in these prefixes, n of the smaller set.
