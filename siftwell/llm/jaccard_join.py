@@ -8,7 +8,8 @@ another set, which one exchange of those shingles tells; most sets end there. Of
 2. Set relations: the prefixes' inverted lists hold only what this left open. Lists with one component
    are skipped whole. The others are cut into blocks by size band and position; a set visits the blocks
    whose bounds can still reach the overlap it needs. A pair with one hub in common gets its answer from
-   the two known overlaps with the hub where they decide it; only the rest is compared.
+   the hub's two answers where they decide it: how many shingles each shares with the hub, and a bitmap
+   of those of the hub that it lacks, whose union neither can have in common; only the rest is compared.
 
 So every pair that could link is either joined already, ruled out by a bound, or compared exactly: no
 link is lost, and pairs within a component are never expanded. Nulls, empty texts and texts without
@@ -30,6 +31,7 @@ from siftwell.llm.common import map_arrow, materialize, mix, shingle_sets, steps
 from siftwell.llm.components import components
 
 HASHES = 3
+LACKS = ["m0", "m1", "m2", "m3"]
 #: More rows than this are joined by a shuffle, not broadcast.
 BROADCAST_ROWS = 500_000
 _A, _B = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
@@ -112,20 +114,23 @@ def shared_counts(sets: DataFrame, parts: int) -> DataFrame:
 
 
 def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """x, y, nx, ny, common: the exact overlap of each pair's sets."""
+    """x, y, nx, ny, common (the exact overlap of each pair's sets), m0 to m3 (a bitmap of y's shingles that x lacks)."""
     one = sets.select(F.col("id").alias("x"), F.col("n").alias("nx"), F.col("tokens").alias("tx"))
     two = sets.select(F.col("id").alias("y"), F.col("n").alias("ny"), F.col("tokens").alias("ty"))
 
     def overlap(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows:
-            n = []
-            for s, t in zip(b.column(4), b.column(5)):
+            n, lacks = [], np.zeros((b.num_rows, 256), np.uint8)
+            for row, s, t in zip(lacks, b.column(4), b.column(5)):
                 s, t = np.frombuffer(s.as_buffer(), np.uint64), np.frombuffer(t.as_buffer(), np.uint64)
-                n.append(len(np.intersect1d(s, t, True)))
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(n, pa.int64())], names=["x", "y", "nx", "ny", "common"])
+                there = np.zeros(len(t), bool) if not len(s) else s[np.minimum(np.searchsorted(s, t), len(s) - 1)] == t
+                n.append(int(there.sum()))
+                row[(t[~there] & np.uint64(255)).astype(np.int64)] = 1
+            bits = np.packbits(lacks, axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(n, pa.int64()), *(pa.array(bits[:, k]) for k in range(4))], names=["x", "y", "nx", "ny", "common", *LACKS])
 
     both = pairs.join(one, "x").join(two, "y").select("x", "y", "nx", "ny", "tx", "ty")
-    return map_arrow(both, overlap, "x long, y long, nx long, ny long, common long")
+    return map_arrow(both, overlap, "x long, y long, nx long, ny long, common long, m0 long, m1 long, m2 long, m3 long")
 
 
 def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -200,10 +205,11 @@ def linked(sets: DataFrame, percent: int) -> DataFrame:
     compared = materialize(compare(pairs, sets), "compared")
     first = compared.filter(links).select("x", "y")
     labels = components(first, "x", "y")
-    # Each set with its component and the hub it shares the most with.
-    best = compared.groupBy("x").agg(F.max(F.struct("common", F.col("y").alias("hub"), F.col("ny").alias("nh"))).alias("best"))
+    # Each set with its component and the most met of its hubs, so that sets of one group have one in common.
+    met_by = compared.groupBy("y").agg(F.count("*").alias("k"))
+    best = compared.join(small(met_by), "y").groupBy("x").agg(F.max(F.struct("k", F.col("y").alias("hub"), "common", F.col("ny").alias("nh"), *LACKS)).alias("best"))
     known = sets.join(labels.withColumnRenamed("node", "id"), "id", "left").join(best.withColumnRenamed("x", "id"), "id", "left")
-    known = known.select("id", "n", "shared", "tokens", F.coalesce("root", "id").alias("label"), F.col("best.hub").alias("hub"), F.col("best.common").alias("o"), F.col("best.nh").alias("nh"))
+    known = known.select("id", "n", "shared", "tokens", F.coalesce("root", "id").alias("label"), F.col("best.hub").alias("hub"), F.col("best.common").alias("o"), F.col("best.nh").alias("nh"), *[F.col(f"best.{m}").alias(m) for m in LACKS])
 
     def post(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows:
@@ -212,10 +218,10 @@ def linked(sets: DataFrame, percent: int) -> DataFrame:
             at = pa.array(np.repeat(np.arange(len(n)), short))
             token = np.concatenate([np.frombuffer(t.as_buffer(), np.int64)[:k] for t, k in zip(tokens, short)]) if len(n) else np.zeros(0, np.int64)
             place = np.concatenate([np.arange(k) for k in short]) if len(n) else np.zeros(0, np.int64)
-            keep = [0, 1, 2, 4, 5, 6, 7]
+            keep = [0, 1, 2, *range(4, 12)]
             yield pa.RecordBatch.from_arrays([*(b.column(k).take(at) for k in keep), pa.array(token), pa.array(place, pa.int64())], names=[*(b.schema.names[k] for k in keep), "token", "place"])
 
-    lists = map_arrow(known, post, "id long, n long, shared long, label long, hub long, o long, nh long, token long, place long")
+    lists = map_arrow(known, post, "id long, n long, shared long, label long, hub long, o long, nh long, m0 long, m1 long, m2 long, m3 long, token long, place long")
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / p)).cast("int")
     lists = materialize(lists.withColumn("band", band).withColumn("block", F.expr("place * 40 DIV n").cast("int")), "lists")
     # Lists with one component are skipped; in the others, what isn't of the largest component meets the rest.
@@ -229,19 +235,21 @@ def linked(sets: DataFrame, percent: int) -> DataFrame:
     top = F.expr(f"pow({100 / p}D, band + 1) * 1.000001")
     reach = 1 - p / (100 + p) * (F.col("n") / top + 1)
     x = x.withColumn("block", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(40 * reach).cast("int")))))
-    x = x.select("token", "band", "block", *[F.col(c).alias(f"{c}_") for c in ("id", "n", "shared", "label", "hub", "o", "nh", "place")])
+    x = x.select("token", "band", "block", *[F.col(c).alias(f"{c}_") for c in ("id", "n", "shared", "label", "hub", "o", "nh", "place", *LACKS)])
     y = rest.drop("largest")
     need = F.ceil(F.expr(f"({p} * (n + n_)) / {100 + p}D"))
+    one_hub = F.col("hub") == F.col("hub_")
+    lacking = sum(F.bit_count(F.col(m).bitwiseOR(F.col(f"{m}_"))) for m in LACKS)
     reachable = [
         F.col("label") != F.col("label_"),
         F.least(F.col("n") - F.col("place"), F.col("n_") - F.col("place_")) >= need,
         F.least("shared", "shared_") >= need,
-        ~F.coalesce((F.col("hub") == F.col("hub_")) & (F.least("o", "o_") + F.least(F.col("n") - F.col("o"), F.col("n_") - F.col("o_")) < need), F.lit(False)),
+        ~F.coalesce(one_hub & (F.col("nh") - lacking + F.least(F.col("shared") - F.col("o"), F.col("shared_") - F.col("o_")) < need), F.lit(False)),
     ]
     met = x.join(y, ["token", "band", "block"])
     for condition in reachable:
         met = met.filter(condition)
-    sure = F.coalesce((F.col("hub") == F.col("hub_")) & (F.col("o") + F.col("o_") - F.col("nh") >= need), F.lit(False))
+    sure = F.coalesce(one_hub & (F.col("o") + F.col("o_") - F.col("nh") >= need), F.lit(False))
     met = met.groupBy(F.least("id", "id_").alias("x"), F.greatest("id", "id_").alias("y")).agg(F.bool_or(sure).alias("sure"))
     met = materialize(met, "met")
     second = compare(met.filter("not sure").select("x", "y"), sets).filter(links).select("x", "y").unionByName(met.filter("sure").select("x", "y"))
