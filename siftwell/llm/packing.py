@@ -12,6 +12,7 @@ read whole; its ids are cut into pieces only beyond the capacity. Empty table: n
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -22,31 +23,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwell.llm.common import map_arrow, materialize, table, with_rank
-from siftwell.llm.token_counts import encode, load_tokenizer, special_strings
+from siftwell.llm.token_counts import _SHORT, LETTERS, PLAIN, SIGNS, Cache, encode, in_worker
 
 
-class Ids:
-    """Little-endian unsigned 32-bit ids of texts; pieces between spaces are encoded once and kept, `limit` at most."""
+_WORD_ENDS = re.compile(rf"[{LETTERS}]+|{_SHORT}|[{SIGNS}]+|[0-9]")
+_WORD = re.compile(rf"[{LETTERS}]+")
 
-    def __init__(self, path: str, limit: int = 1 << 18, longest: int = 96):
-        self.tokenizer, self.limit, self.longest = load_tokenizer(path), limit, longest
-        self.special, self.known = special_strings(self.tokenizer), {}
+
+def word_cut(text: str) -> list[str]:
+    """Pre-tokens of plain texts, in lower case as the vocabulary has them; else the runs between spaces."""
+    return _WORD_ENDS.findall(text.lower()) if PLAIN.fullmatch(text) else text.split(" ")
+
+
+class Ids(Cache):
+    """Little-endian unsigned 32-bit ids; words are encoded many at a time, their ids told apart by the word ends."""
+
+    def __init__(self, path: str):
+        super().__init__(path, word_cut, lambda ids: np.array(ids, "<u4").tobytes(), limit=3 << 18)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
+
+    def misses(self, new: list[str]) -> dict:
+        out, words = {}, [x for x in new if _WORD.fullmatch(x)]
+        lines = [words[a : a + 512] for a in range(0, len(words), 512)]
+        for line, ids in zip(lines, encode(self.tokenizer, [" ".join(x) for x in lines])):
+            at = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            if len(at) == len(line):
+                data = np.array(ids, "<u4").tobytes()
+                out.update((x, data[a:b]) for x, a, b in zip(line, [0, *at], at))
+        return out | super().misses([x for x in new if x not in out])
 
     def of(self, texts: list[str]) -> list[bytes]:
-        cut = [t.split(" ") if not self.special or not self.special.search(t) else None for t in texts]
-        new = {x for c in cut if c for x in c if x not in self.known}
-        if len(self.known) + len(new) > self.limit:
-            self.known = {}
-            new = {x for c in cut if c for x in c}
-        fresh = list(new)
-        for x, ids in zip(fresh, encode(self.tokenizer, fresh)):
-            self.known[x] = np.array(ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        out = [b"".join(map(get, c)) if c is not None else np.array(encode(self.tokenizer, [t])[0], "<u4").tobytes() for c, t in zip(cut, texts)]
-        for x in fresh:
-            if len(x) > self.longest:
-                del self.known[x]
-        return out
+        return list(map(b"".join, self.pieces(texts)))
 
 
 def to_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int, text_col: str, id_col: str) -> DataFrame:
@@ -54,7 +63,7 @@ def to_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int,
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = Ids(tokenizer_path)
+        ids = in_worker(Ids, tokenizer_path)
         for b in rows:
             text = pc.fill_null(b.column(1), "")
             at, piece, start, length, crc = [], [], [], [], []

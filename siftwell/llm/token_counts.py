@@ -1,11 +1,12 @@
 """1. Token counts: a map-side two-tier lookup.
 
-The texts are cut where the byte-level pre-tokenizer always cuts: before a space that ends a run of
-white space. Each cut piece is a short run of whole pre-tokens, and its number of tokens does not
-depend on its neighbours. Tier one is a broadcast table of the frequent pieces' token counts, of a
-fixed number of entries; tier two is a bounded cache in each Python worker, filled by encoding the
-misses of a batch together. Pieces are never shuffled: only each task's bounded summary of its most
-frequent pieces is summed, to choose the entries of tier one, which never change a result.
+A text of plain characters (ASCII and Latin letters) is cut into pre-tokens by the vocabulary's own
+pattern; other texts are cut only before a space that ends a run of white space, where that pattern
+always cuts, into runs of whole pre-tokens. Either has a number of tokens that its neighbours don't
+change. Tier one is a broadcast table, of a fixed number of entries, of the frequent pre-tokens' token
+counts; tier two is a bounded cache in each Python worker, which outlives tasks and is filled by
+encoding a batch's misses together. Pre-tokens are never shuffled: only each task's bounded summary of
+its most frequent ones is summed, to choose the entries of tier one, which never change a result.
 
 Null text: empty, 0 tokens. A text with one of the tokenizer's special strings is encoded whole, by
 the library's default. Repeated rows and doc_ids: a row each. Other columns are ignored.
@@ -16,7 +17,8 @@ from __future__ import annotations
 import os
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +28,24 @@ from pyspark.sql import functions as F
 
 from siftwell.llm.common import batch, map_arrow, table
 
+#: Letters, signs and white space on which this module's patterns and the vocabularies' agree.
+LETTERS, SIGNS, WHITE = "A-Za-zÀ-ÖØ-öø-įı-ɏ", r"!-/:-@\[-`{-~", r" \n\t\r"
+PLAIN = re.compile(rf"[{LETTERS}0-9{SIGNS}{WHITE}]*")
+_SHORT = "'(?:s|t|re|ve|m|ll|d)"
+_BYTE_LEVEL = re.compile(rf" ?[{LETTERS}]+|{_SHORT}| ?[{SIGNS}]+| ?[0-9]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+_SPACED_WORD = re.compile(rf" [{LETTERS}]+")
 #: What any Unicode version counts as white space or may: cuts beside these are left to the library.
 _SPACE = r"\s\x1c-\x1f\x85᠎​-‍⁠﻿"
 _RUN = re.compile(rf"[{_SPACE}] (?:[{_SPACE}]|\Z)")
 _CUT = re.compile(rf" (?=[^{_SPACE}])")
+_IN_WORKER: dict = {}
+
+
+def in_worker(kind, path: str):
+    """The Python worker's own `kind` for a vocabulary; it outlives tasks, so later tasks find the cache filled."""
+    if (kind, path) not in _IN_WORKER:
+        _IN_WORKER[kind, path] = kind(path)
+    return _IN_WORKER[kind, path]
 
 
 def load_tokenizer(path: str):
@@ -47,66 +63,83 @@ def special_strings(tokenizer) -> re.Pattern | None:
     return re.compile("|".join(found)) if found else None
 
 
-def pieces(text: str) -> list[str]:
-    """The first piece as it is; each further one lost the space before it."""
-    return _CUT.split(text) if _RUN.search(text) else text.split(" ")
-
-
 def encode(tokenizer, texts: list[str]) -> list[list[int]]:
     run = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
     return [e.ids for e in run(texts, add_special_tokens=False)]
 
 
-class Lookup:
-    """Token counts of texts; `table` is tier one, `limit` bounds tier two, longer pieces than `longest` aren't kept."""
+def byte_level_cut(text: str) -> list[str]:
+    if PLAIN.fullmatch(text):
+        return _BYTE_LEVEL.findall(text)
+    first, *rest = _CUT.split(text) if _RUN.search(text) else text.split(" ")
+    return [first, *(" " + x for x in rest)]
 
-    def __init__(self, path: str, table: dict[str, int], limit: int = 1 << 18, longest: int = 96):
-        self.tokenizer, self.table, self.limit, self.longest = load_tokenizer(path), table, limit, longest
-        self.special, self.known = special_strings(self.tokenizer), dict(table)
 
-    def counts(self, texts: list[str]) -> list[int]:
-        cut, whole, extra = [], [], [0] * len(texts)
-        for i, text in enumerate(texts):
-            if not text or self.special and self.special.search(text):
-                cut.append(())
-                if text:
-                    whole.append((i, text))
-            else:
-                first, *rest = pieces(text)
-                whole.append((i, first))
-                cut.append(rest)
-        new: set[str] = set()
-        for rest in cut:
-            new.update(rest)
-        new = {x for x in new if x not in self.known}
-        if len(self.known) + len(new) > self.limit + len(self.table):
-            self.known = dict(self.table)
+class Cache:
+    """What `measure` makes of the ids of cut pieces; `limit` entries at most, pieces longer than `longest` aren't kept."""
+
+    def __init__(self, path: str, cut: Callable[[str], list[str]], measure: Callable, limit: int = 1 << 20, longest: int = 96):
+        self.tokenizer, self.cut, self.measure, self.limit, self.longest = load_tokenizer(path), cut, measure, limit, longest
+        self.special, self.first, self.known = special_strings(self.tokenizer), {}, {}
+
+    def start(self, first: dict) -> Cache:
+        self.first = first
+        self.known.update(first)
+        return self
+
+    def misses(self, new: list[str]) -> dict:
+        return dict(zip(new, map(self.measure, encode(self.tokenizer, new))))
+
+    def pieces(self, texts: list[str]) -> list[list]:
+        """For each text the measures of its pieces."""
+        cut = [[t] if self.special and self.special.search(t) else self.cut(t) if t else [] for t in texts]
+        new = set(filterfalse(self.known.__contains__, chain.from_iterable(cut)))
+        if len(self.known) + len(new) > self.limit:
+            self.known = dict(self.first)
             new = set().union(*cut) - self.known.keys()
-        short = list(new)
-        for x, ids in zip(short, encode(self.tokenizer, [" " + x for x in short])):
-            self.known[x] = len(ids)
-        for (i, _), ids in zip(whole, encode(self.tokenizer, [t for _, t in whole])):
-            extra[i] += len(ids)
+        self.known.update(self.misses(list(new)))
         get = self.known.__getitem__
-        out = [sum(map(get, rest)) + e for rest, e in zip(cut, extra)]
-        for x in short:
+        out = [list(map(get, c)) for c in cut]
+        for x in new:
             if len(x) > self.longest:
                 del self.known[x]
         return out
 
 
+class Lookup(Cache):
+    """Token counts; words behind a space are encoded many at a time, their tokens told apart by the space's sign."""
+
+    def __init__(self, path: str):
+        super().__init__(path, byte_level_cut, len)
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[i for x, i in vocabulary.items() if x.startswith("Ġ")]] = True
+
+    def misses(self, new: list[str]) -> dict:
+        out, words = {}, [x for x in new if _SPACED_WORD.fullmatch(x)]
+        lines = [words[a : a + 512] for a in range(0, len(words), 512)]
+        for line, ids in zip(lines, encode(self.tokenizer, ["".join(x) for x in lines])):
+            at = np.flatnonzero(self.begins[ids])
+            if len(at) == len(line):
+                out.update(zip(line, np.diff(at, append=len(ids)).tolist()))
+        return out | super().misses([x for x in new if x not in out])
+
+    def counts(self, texts: list[str]) -> list[int]:
+        return list(map(sum, self.pieces(texts)))
+
+
 def frequent_pieces(docs: DataFrame, text_col: str, entries: int) -> list[str]:
-    """The most frequent pieces over all rows; each task sends `entries` of its own at most."""
+    """The most frequent pre-tokens over all rows; each task sends `entries` of its own at most."""
 
     def summary(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for b in rows:
             for text in b.column(0).to_pylist():
                 if text:
-                    seen.update(x for x in text.split(" ") if len(x) <= 32)
-            if len(seen) > 16 * entries:
+                    seen.update(byte_level_cut(text))
+            if len(seen) > 32 * entries:
                 seen = Counter(dict(seen.most_common(4 * entries)))
-        top = [x for x in seen.most_common(entries) if x[1] > 1]
+        top = [x for x in seen.most_common(entries) if x[1] > 1 and len(x[0]) <= 32]
         yield batch([("piece", pa.string()), ("n", pa.int64())], [x for x, _ in top], [n for _, n in top])
 
     found = map_arrow(docs.select(F.col(text_col).alias("text")), summary, "piece string, n long")
@@ -115,16 +148,16 @@ def frequent_pieces(docs: DataFrame, text_col: str, entries: int) -> list[str]:
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, text_col: str = "text", id_col: str = "doc_id", entries: int = 8192) -> DataFrame:
-    """id, n_bytes and n_tokens of each row; `entries` bounds the broadcast table."""
-    frequent = frequent_pieces(docs, text_col, entries)
-    sizes = np.array([len(x) for x in encode(load_tokenizer(tokenizer_path), [" " + x for x in frequent])], np.uint16)
-    tier = docs.sparkSession.sparkContext.broadcast(("\x00".join(frequent), sizes.tobytes())) if "\x00" not in "".join(frequent) else docs.sparkSession.sparkContext.broadcast(("", b""))
+    """doc_id, n_bytes and n_tokens of each row; `entries` bounds the broadcast table."""
+    frequent = [x for x in frequent_pieces(docs, text_col, entries) if "\x00" not in x]
+    sizes = np.array([len(x) for x in encode(load_tokenizer(tokenizer_path), frequent)], np.uint16)
+    tier = docs.sparkSession.sparkContext.broadcast(("\x00".join(frequent), sizes.tobytes()))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, sizes = tier.value
         n = np.frombuffer(sizes, np.uint16).tolist()
-        lookup = Lookup(tokenizer_path, dict(zip(names.split("\x00"), n)) if n else {})
+        lookup = in_worker(Lookup, tokenizer_path).start(dict(zip(names.split("\x00"), n)) if n else {})
         for b in rows:
             text = pc.fill_null(b.column(1), "")
             found: list[int] = []
