@@ -140,20 +140,26 @@ def steps(offsets: np.ndarray, size: int = STEP_BYTES) -> Iterator[tuple[int, in
         a = min(b, n)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """(a 64-bit hash for each word in order, the first word of each row and their number)."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True, white: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
+    """(a 64-bit hash for each word in order, the first word of each row and their number); `white` cuts words."""
+    h, first, _ = word_hashes_at(data, offsets, lower, white)
+    return h, first
+
+
+def word_hashes_at(data: np.ndarray, offsets: np.ndarray, lower: bool = True, white: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As word_hashes, and where words start."""
     global _PLACE
     n = len(data)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    word = ~WHITE[data]
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64)
+    word = ~white[data]
     fresh = np.empty(n, bool)
     fresh[0] = True
     np.logical_not(word[:-1], out=fresh[1:])
     fresh[offsets[:-1][offsets[:-1] < n]] = True
     starts = np.flatnonzero(fresh & word)
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), starts
     place = np.arange(n, dtype=np.int64)
     place[starts[0] :] -= np.repeat(starts, np.diff(starts, append=n))
     place[: starts[0]] = 0
@@ -162,7 +168,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tu
         _PLACE = keys(2 * most, 22) | np.uint64(1)
     parts = (_LOWER if lower else _BYTE)[data] * _PLACE[place]
     parts[~word] = 0
-    return mix(np.add.reduceat(parts, starts)), np.searchsorted(starts, offsets).astype(np.int64)
+    return mix(np.add.reduceat(parts, starts)), np.searchsorted(starts, offsets).astype(np.int64), starts
 
 
 def shingle_sets(hashes: np.ndarray, first: np.ndarray, size: int) -> list[np.ndarray]:

@@ -2,8 +2,8 @@
 
 Every word has a sparse random index vector (a function of its hash) and a context vector: the sum of the
 index vectors of the words beside it, over the training texts, for `BUCKETS` hashed words. How a word is
-written (case, ends, digits, length) is a word too, and so are a text's length and repeats. A document is
-the mean of its words' vectors, by kind; a numpy network with one hidden layer scores it, and a
+written (case, ends, digits, length) has a random vector too. A document is the mean of its words' vectors,
+by kind, with its length and its shares of repeated words, windows and lines; a numpy network with one hidden layer scores it, and a
 temperature fitted on a tenth of the training rows calibrates the probability.
 
 The fit reads `sample` labelled training rows, about, chosen by hash (documented bound); scoring reads every whole
@@ -14,7 +14,7 @@ null, repeated or without a document are left out (of repeated ones the smallest
 
 from __future__ import annotations
 
-import zlib
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,10 +22,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.llm.common import map_arrow, table
+from siftwell.llm.common import WHITE, map_arrow, mix, steps, table, text_buffer, word_hashes, word_hashes_at
 
-BUCKETS, DIMS, HIDDEN, SHAPES = 4096, 64, 32, 4096
-_ENDS = b".,;:!?\"'()[]{}<>|#*$%&-_/\\=+~@^`"
+BUCKETS, DIMS, HIDDEN, SHAPES = 4096, 64, 32, 2048
+FEATURES = 2 * DIMS + 6
+_SIGN, _UPPER, _LETTER, _DIGIT, _LINE = (np.zeros(256, bool) for _ in range(5))
+_SIGN[list(b".,;:!?\"'()[]{}<>|#*$%&-_/\\=+~@^`")] = True
+_UPPER[65:91] = _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = _DIGIT[48:58] = _LINE[10] = True
 
 
 def index_vectors(n: int, seed: int) -> np.ndarray:
@@ -37,51 +40,70 @@ def index_vectors(n: int, seed: int) -> np.ndarray:
     return out
 
 
-def shape(word: bytes) -> bytes:
-    """How a word is written: case, its first and last sign, digits, length."""
-    core = word.strip(_ENDS)
-    case = b"0" if not core.isalpha() and core.isascii() else b"U" if core.isupper() and len(core) > 1 else b"T" if core[:1].isupper() else b"l"
-    lead, tail = word[: len(word) - len(word.lstrip(_ENDS))][:2], word[len(word.rstrip(_ENDS)) :][:3]
-    return b"|".join((case, lead, tail, b"9" if any(48 <= c < 58 for c in core) else b"", b"%d" % min(len(core).bit_length(), 6)))
+def shapes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """How each word is written, as a number below SHAPES: case, its first sign and last two, digits, length."""
+    total = lambda mask: np.add.reduceat(mask[data], starts, dtype=np.int32)  # noqa: E731  white space between words counts nowhere
+    upper, letters, size = total(_UPPER), total(_LETTER), total(~WHITE)
+    last = starts + size - 1
+    sign = lambda at: np.where(_SIGN[data[at]], data[at], 0).astype(np.uint64)
+    case = np.where(letters == 0, 0, np.where((upper == letters) & (letters > 1), 1, np.where(_UPPER[data[starts]], 2, 3)))
+    code = case.astype(np.uint64) | (sign(starts) << np.uint64(8)) | (sign(last) << np.uint64(16)) | (sign(np.maximum(last - 1, starts)) << np.uint64(24))
+    code |= ((total(_DIGIT) > 0).astype(np.uint64) << np.uint64(32)) | (np.minimum(np.ceil(np.log2(size)), 6).astype(np.uint64) << np.uint64(40))
+    return (mix(code) % np.uint64(SHAPES)).astype(np.int64)
+
+
+def distinct(keys: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """How many different keys each of n rows has."""
+    _, at = np.unique(mix(keys ^ mix(row.astype(np.uint64))), return_index=True)
+    return np.bincount(row[at], minlength=n)
 
 
 class Pooler:
-    """Texts to features; `context`: BUCKETS x DIMS. The cache of words is bounded."""
-
-    def __init__(self, context: np.ndarray | None, limit: int = 1 << 17):
-        self.context, self.limit, self.known = context, limit, {}
-        self.index, self.shapes = index_vectors(BUCKETS, 1), index_vectors(SHAPES, 2)
-
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > self.limit:
-            known.clear()
-        for w in set(words) - known.keys():
-            known[w] = zlib.crc32(w.strip(_ENDS).lower()) % BUCKETS * SHAPES + zlib.crc32(shape(w)) % SHAPES
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-
-    def contexts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """(buckets, vectors) to add to the context table: two words to either side."""
-        b = self.ids((text or "").encode().split()) // SHAPES
-        v = np.zeros((len(b), DIMS), np.float32)
-        for d in (1, 2):
-            v[d:] += self.index[b[:-d]]
-            v[: len(b) - d if len(b) > d else 0] += self.index[b[d:]]
-        return b, v
-
-    def features(self, text: str | None) -> np.ndarray:
-        data = (text or "").encode()
-        words, lines = data.split(), [x for x in data.split(b"\n") if x.strip()]
-        out = np.zeros(2 * DIMS + 6, np.float32)
-        n = len(words)
-        out[2 * DIMS :] = (np.log1p(n) / 8, 1 - len(set(lines)) / max(1, len(lines)), 0, 0, np.log1p(len(lines)) / 6, n == 0)
-        if n:
-            ids = self.ids(words)
-            b, s = np.bincount(ids // SHAPES, minlength=BUCKETS).astype(np.float32), np.bincount(ids % SHAPES, minlength=SHAPES).astype(np.float32)
-            kb, ks = np.flatnonzero(b), np.flatnonzero(s)
-            out[:DIMS], out[DIMS : 2 * DIMS] = b[kb] @ self.context[kb] / n, s[ks] @ self.shapes[ks] / n
-            out[2 * DIMS + 2] = 1 - len(set(words)) / n
-            out[2 * DIMS + 3] = 1 - len(set(zip(words, words[1:], words[2:]))) / max(1, n - 2)
+    """Texts to features; `context`: BUCKETS x DIMS."""
+
+    def __init__(self, context: np.ndarray | None):
+        self.context, self.index, self.shapes = context, index_vectors(BUCKETS, 1), index_vectors(SHAPES, 2)
+
+    def contexts(self, column: pa.Array, total: np.ndarray) -> None:
+        """Adds to each word's vector the index vectors of the two words to either side."""
+        data, at = text_buffer(column)
+        for i, j in steps(at):
+            h, first = word_hashes(data[at[i] : at[j]], at[i : j + 1] - at[i])
+            b, row = (h % np.uint64(BUCKETS)).astype(np.int64), np.repeat(np.arange(j - i), np.diff(first))
+            for d in (1, 2):
+                k = np.flatnonzero(row[d:] == row[:-d])
+                for x, y in ((b[k], b[k + d]), (b[k + d], b[k])):
+                    order = np.argsort(x, kind="stable")
+                    x, y = x[order], y[order]
+                    if len(x):
+                        cut = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+                        total[x[cut]] += np.add.reduceat(self.index[y], cut)
+
+    def features(self, column: pa.Array) -> np.ndarray:
+        data, at = text_buffer(column)
+        return np.concatenate([np.zeros((0, FEATURES), np.float32), *(self._step(data[at[i] : at[j]], at[i : j + 1] - at[i]) for i, j in steps(at))])
+
+    def _step(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        n, out = len(at) - 1, np.zeros((len(at) - 1, FEATURES), np.float32)
+        h, first, starts = word_hashes_at(data, at)
+        words = np.diff(first)
+        row, many = np.repeat(np.arange(n), words), np.maximum(words, 1)
+        lines, line_first = word_hashes(data, at, False, _LINE)
+        n_lines = np.diff(line_first)
+        tail = out[:, 2 * DIMS :]
+        tail[:, 0], tail[:, 4], tail[:, 5] = np.log1p(words) / 8, np.log1p(n_lines) / 6, words == 0
+        tail[:, 1] = 1 - distinct(lines, np.repeat(np.arange(n), n_lines), n) / np.maximum(n_lines, 1) if len(lines) else 0
+        if len(h):
+            for k, (kinds, ids, vectors) in enumerate(((BUCKETS, (h % np.uint64(BUCKETS)).astype(np.int64), self.context), (SHAPES, shapes(data, starts), self.shapes))):
+                seen, times = np.unique(row * kinds + ids, return_counts=True)
+                doc, pooled = seen // kinds, vectors[seen % kinds] * times[:, None].astype(np.float32)
+                cut = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+                out[doc[cut], k * DIMS : (k + 1) * DIMS] = np.add.reduceat(pooled, cut) / many[doc[cut], None]
+            tail[:, 2] = np.where(words > 0, 1 - distinct(h, row, n) / many, 0)
+            t = np.flatnonzero(row[2:] == row[:-2]) if len(row) > 2 else np.zeros(0, np.int64)
+            if len(t):
+                three = h[t] * np.uint64(3) + mix(h[t + 1]) * np.uint64(5) + mix(mix(h[t + 2]))
+                tail[:, 3] = np.where(words > 2, 1 - distinct(three, row[t], n) / np.maximum(words - 2, 1), 0)
         return out
 
 
@@ -136,8 +158,7 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, sample: int = 20
     def contexts(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool, total = Pooler(None), np.zeros((BUCKETS, DIMS), np.float32)
         for b in rows:
-            for text in b.column(0):
-                np.add.at(total, *pool.contexts(text.as_py()))
+            pool.contexts(b.column(0), total)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["c"])
 
     context = np.zeros((BUCKETS, DIMS), np.float32)
@@ -149,14 +170,19 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, sample: int = 20
     def features(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool = Pooler(shared.value)
         for b in rows:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([pool.features(t.as_py()).tobytes() for t in b.column(2)], pa.binary())], names=["doc_id", "y", "x"])
+            x = pool.features(b.column(2))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "y", "x"])
+
+    def learn(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = sorted((repr(i), y, x) for b in rows for i, y, x in zip(*(c.to_pylist() for c in b.columns)))
+        y = np.array([r[1] for r in found])
+        net = fit(np.array([np.frombuffer(r[2], np.float32) for r in found]), y) if len(set(y.tolist())) == 2 else None
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], names=["net"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    found = sorted(((r.doc_id, r.y, bytes(r.x)) for r in map_arrow(taught.select("doc_id", "y", "text"), features, f"doc_id {kind}, y int, x binary").collect()), key=repr)
-    y = np.array([r[1] for r in found])
-    if len(set(y.tolist())) < 2:
-        return {"context": context, "net": None}
-    return {"context": context, "net": fit(np.array([np.frombuffer(r[2], np.float32) for r in found], np.float64), y)}
+    made = map_arrow(taught.select("doc_id", "y", "text"), features, f"doc_id {kind}, y int, x binary")
+    net = map_arrow(made.repartition(1), learn, "net binary").collect()  # the bounded sample's features meet in one task
+    return {"context": context, "net": pickle.loads(net[0].net) if net else None}
 
 
 def score(docs: DataFrame, model: dict, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -169,7 +195,7 @@ def score(docs: DataFrame, model: dict, text_col: str = "text", keep: list[str]
         model = shared.value
         pool = Pooler(model["context"])
         for b in rows:
-            x = np.array([pool.features(t.as_py()) for t in b.column(b.num_columns - 1)], np.float64).reshape(b.num_rows, -1)
+            x = pool.features(b.column(b.num_columns - 1))
             p = probability(model["net"], x) if model["net"] and len(x) else np.full(len(x), 0.5)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(p, pa.float64())], names=[*keep, "_score"])
 
