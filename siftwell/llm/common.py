@@ -61,9 +61,14 @@ def _remove(spark: SparkSession, path: str) -> None:
         return
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Cut lineage through a Parquet table in the shared folder; survives lost executors."""
+def materialize(df: DataFrame, tag: str, rows: int | None = None, rows_a_task: int = 100_000) -> DataFrame:
+    """Cut lineage through a Parquet table in the shared folder; survives lost executors.
+
+    rows: about how many at most, where that is known; tasks are then as many as they need.
+    """
     path = new_path(df.sparkSession, tag)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // rows_a_task)))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 from siftwell.llm.common import materialize
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", rows: int | None = None) -> DataFrame:
     """node, root: the smallest node that each node of an edge reaches. Each round at least halves the roots that have edges."""
-    work = materialize(edges.select(F.least(a, b).cast("long").alias("a"), F.greatest(a, b).cast("long").alias("b")).filter("a < b").distinct(), "edges")
-    labels = None
+    work = materialize(edges.select(F.least(a, b).cast("long").alias("a"), F.greatest(a, b).cast("long").alias("b")).filter("a < b").distinct(), "edges", rows)
+    labels, rows = None, 2 * work.count()  # nodes and edges only get fewer
     while not work.isEmpty():
         both = work.unionByName(work.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parent = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")), "parent")
+        parent = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")), "parent", rows)
         while True:
             up = parent.select(F.col("node").alias("_n"), F.col("root").alias("_r"))
-            jumped = materialize(parent.join(up, parent.root == up._n).select("node", F.col("_r").alias("root"), (F.col("_r") != F.col("root")).alias("moved")), "parent")
+            jumped = materialize(parent.join(up, parent.root == up._n).select("node", F.col("_r").alias("root"), (F.col("_r") != F.col("root")).alias("moved")), "parent", rows)
             parent = jumped.select("node", "root")
             if jumped.filter("moved").isEmpty():
                 break
@@ -25,7 +25,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             labels = parent
         else:
             up = parent.select(F.col("node").alias("_n"), F.col("root").alias("_r"))
-            labels = materialize(labels.join(up, labels.root == up._n, "left").select("node", F.coalesce("_r", "root").alias("root")), "labels")
+            labels = materialize(labels.join(up, labels.root == up._n, "left").select("node", F.coalesce("_r", "root").alias("root")), "labels", rows)
         pa, pb = (parent.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in ("a", "b"))
-        work = materialize(work.join(pa, "a").join(pb, "b").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).filter("a < b").distinct(), "edges")
+        work = materialize(work.join(pa, "a").join(pb, "b").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).filter("a < b").distinct(), "edges", rows)
     return labels if labels is not None else work.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -199,12 +199,13 @@ def linked(sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0).take(at := pa.array(np.repeat(np.arange(b.num_rows), HASHES))), b.column(1).take(at), pa.array(np.tile(np.arange(HASHES, dtype=np.int32), b.num_rows)), pa.array(m.ravel().view(np.int64))], names=["id", "rare", "j", "h"])
 
     hashed = map_arrow(sets.select("id", F.expr("1 - shared / n").alias("rare"), "tokens"), hashes, "id long, rare double, j int, h long")
-    hashed = materialize(hashed, "hashed")
+    n = HASHES * sets.count()
+    hashed = materialize(hashed, "hashed", n, 5_000)
     hubs = hashed.groupBy("j", "h").agg(F.min(F.struct("rare", "id")).alias("best"), F.count("*").alias("k")).filter("k > 1").select("j", "h", F.col("best.id").alias("y"))
     pairs = hashed.select(F.col("id").alias("x"), "j", "h").join(hubs, ["j", "h"]).filter("x <> y").select("x", "y").distinct()
-    compared = materialize(compare(pairs, sets), "compared")
+    compared = materialize(compare(pairs, sets), "compared", n, 5_000)
     first = compared.filter(links).select("x", "y")
-    labels = components(first, "x", "y")
+    labels = components(first, "x", "y", n)
     # Each set with its component and the most met of its hubs, so that sets of one group have one in common.
     met_by = compared.groupBy("y").agg(F.count("*").alias("k"))
     best = compared.join(small(met_by), "y").groupBy("x").agg(F.max(F.struct("k", F.col("y").alias("hub"), "common", F.col("ny").alias("nh"), *LACKS)).alias("best"))
@@ -227,7 +228,7 @@ def linked(sets: DataFrame, percent: int) -> DataFrame:
     # Lists with one component are skipped; in the others, what isn't of the largest component meets the rest.
     sizes = lists.groupBy("token", "label").agg(F.count("*").alias("k"))
     open_ = sizes.groupBy("token").agg(F.max(F.struct("k", "label")).alias("most"), F.count("*").alias("labels")).filter("labels > 1").select("token", F.col("most.label").alias("largest"))
-    open_ = materialize(open_, "open")
+    open_ = materialize(open_, "open", lists.count())
     rest = lists.join(open_, "token")
     x = rest.filter("label <> largest")
     x = x.withColumn("band", F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])))
@@ -255,7 +256,7 @@ def linked(sets: DataFrame, percent: int) -> DataFrame:
     second = compare(met.filter("not sure").select("x", "y"), sets).filter(links).select("x", "y").unionByName(met.filter("sure").select("x", "y"))
     a, b = (labels.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in ("x", "y"))
     bridges = second.join(a, "x", "left").join(b, "y", "left").select(F.coalesce("rx", "x").alias("x"), F.coalesce("ry", "y").alias("y"))
-    over = components(bridges, "x", "y").select(F.col("node").alias("_n"), F.col("root").alias("_r"))
+    over = components(bridges, "x", "y", met.count()).select(F.col("node").alias("_n"), F.col("root").alias("_r"))
     own = labels.join(over, labels.root == over._n, "left").select("node", F.coalesce("_r", "root").alias("root"))
     return own.unionByName(over.select(F.col("_n").alias("node"), F.col("_r").alias("root"))).groupBy("node").agg(F.min("root").alias("root"))
 
