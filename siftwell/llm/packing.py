@@ -39,7 +39,7 @@ class Ids(Cache):
     """Little-endian unsigned 32-bit ids; words are encoded many at a time, their ids told apart by the word ends."""
 
     def __init__(self, path: str):
-        super().__init__(path, word_cut, lambda ids: np.array(ids, "<u4").tobytes(), limit=3 << 18)
+        super().__init__(path, word_cut, lambda ids: np.array(ids, "<u4").tobytes(), limit=1 << 19)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True

@@ -153,7 +153,7 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, sample: int = 20
     n = known.count()
     if n > sample:
         known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * sample / n))
-    taught = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(known), "doc_id").repartition(8, "doc_id")  # `sample` rows, about
+    taught = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(known), "doc_id").repartition("doc_id").coalesce(8)  # `sample` rows, about, in eight tasks however many partitions there are
 
     def contexts(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool, total = Pooler(None), np.zeros((BUCKETS, DIMS), np.float32)

@@ -78,7 +78,7 @@ def byte_level_cut(text: str) -> list[str]:
 class Cache:
     """What `measure` makes of the ids of cut pieces; `limit` entries at most, pieces longer than `longest` aren't kept."""
 
-    def __init__(self, path: str, cut: Callable[[str], list[str]], measure: Callable, limit: int = 1 << 20, longest: int = 96):
+    def __init__(self, path: str, cut: Callable[[str], list[str]], measure: Callable, limit: int = 3 << 18, longest: int = 96):
         self.tokenizer, self.cut, self.measure, self.limit, self.longest = load_tokenizer(path), cut, measure, limit, longest
         self.special, self.first, self.known = special_strings(self.tokenizer), {}, {}
 
