@@ -1,0 +1,142 @@
+"""Edge cases and brute force: nulls, empty and long texts, ties, repeated rows, empty tables, clashing extra columns."""
+
+import math
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from siftwell.llm import jaccard_join, lm_scoring, mixing, neighbours, packing, pii, quality_classifier, quality_rules, sharding, token_counts
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n long, block long, _row string"
+
+
+def rows():
+    random.seed(3)
+    words = [f"w{i}" for i in range(400)]
+    base = " ".join(random.choice(words) for _ in range(120))
+    near = [base.replace(base.split()[k], f"x{k}", 1) for k in range(0, 60, 6)]
+    texts = [None, "", " \n\t ", "one two", base, base, base.upper(), "z " * 20_000, "a<|endoftext|>b  c", "É日本 ok", *near, *(" ".join(random.choice(words) for _ in range(random.randint(1, 90))) for _ in range(60))]
+    out = [(i, t, "en", None if i % 9 == 0 else f"s{i % 3}", 1, 7, 7, "x") for i, t in enumerate(texts)]
+    return [*out, out[4], out[20], (None, "has no id", None, None, None, None, None, None)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(rows(), SCHEMA).repartition(5).cache()
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def text_of(docs):
+    return sorted(((r.doc_id if r.doc_id is not None else -1), r.text or "") for r in docs.collect())
+
+
+def test_token_counts(docs, none):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = token_counts.load_tokenizer(path)
+    want = sorted((i, len(x.encode()), len(t.encode(x, add_special_tokens=False).ids)) for i, x in text_of(docs))
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.n_bytes, r.n_tokens) for r in token_counts.token_counts(docs, path).collect())
+    assert got == want and token_counts.token_counts(none, path).count() == 0
+
+
+def test_sharding(docs, none):
+    out = sharding.shard(docs, 4).collect()
+    counts = [sum(r.shard == k for r in out) for k in range(4)]
+    assert len(out) == docs.count() and max(counts) - min(counts) <= 1
+    assert all(sorted(r.slot for r in out if r.shard == k) == list(range(counts[k])) for k in range(4))
+    assert sharding.shard(none).count() == 0
+
+
+def test_hypergeometric(spark):
+    x = spark.range(4000).selectExpr(sharding.hypergeometric("100L", "30L", "40L", "(id + 0.5D) / 4000") + " AS x").toPandas().x
+    p = [math.comb(30, k) * math.comb(70, 40 - k) / math.comb(100, 40) for k in range(31)]
+    assert all(abs((x == k).mean() - p[k]) < 1e-3 for k in range(31))
+
+
+def test_packing(docs, none):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t = packing.Ids(path).tokenizer
+    out = packing.pack(docs, path, 256).toPandas().sort_values(["sequence_id", "offset"])
+    assert (out.groupby("sequence_id").length.cumsum() - out.length == out.offset).all() and out.groupby("sequence_id").length.sum().max() <= 256
+    want = []
+    for i, x in text_of(docs):
+        ids = np.array([*t.encode(x, add_special_tokens=False).ids, 0], "<u4")
+        want += [(i, k // 256, k, min(256, len(ids) - k), zlib.crc32(ids[k : k + 256].tobytes())) for k in range(0, len(ids), 256)]
+    assert sorted(out.fillna({"doc_id": -1}).astype({"doc_id": int})[["doc_id", "piece", "start", "length", "ids_crc32"]].itertuples(index=False, name=None)) == sorted(want)
+    assert packing.pack(none, path).count() == 0
+
+
+def test_rules(docs, none):
+    out = {r.doc_id: r for r in quality_rules.apply_rules(docs).collect()}
+    assert out[0].n_words == 0 and out[0].base_failed and not out[0].kept
+    assert quality_rules.measures(b"a b c a b c\nx\nx") == (8, 8, 0, 1, 6)
+    assert quality_rules.apply_rules(none).count() == 0
+    wide = quality_rules.apply_rules(docs, broadcast_hosts=0).select("doc_id", "kept").exceptAll(quality_rules.apply_rules(docs).select("doc_id", "kept"))
+    assert wide.count() == 0
+
+
+def test_classifier(spark, docs, none):
+    labels = spark.createDataFrame([(i, int(i % 2), 0) for i in range(70)] + [(None, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
+    model = quality_classifier.train(docs, labels, ~quality_classifier.held_out())
+    out = quality_classifier.score(docs, model)
+    assert out.count() == docs.count() and all(0 <= r._score <= 1 for r in out.collect())
+    assert quality_classifier.score(docs, quality_classifier.train(docs, labels.limit(0), ~quality_classifier.held_out())).filter("_score <> 0.5").count() == 0
+    assert quality_classifier.score(none, model).count() == 0
+
+
+def test_jaccard(docs, none):
+    sets = {i: frozenset(zip(*[x.lower().split()[k:] for k in range(5)])) or (frozenset([tuple(x.lower().split())]) if x.split() else frozenset()) for i, x in text_of(docs)}
+    root = {i: i for i in sets}
+    for _ in sets:
+        for i in sets:
+            for j in sets:
+                if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                    root[i] = root[j] = min(root[i], root[j])
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.link(docs).collect() if r.doc_id is not None}
+    assert got == {(i, len(sets[i]), root[i]) for i in sets if i >= 0} and jaccard_join.link(none).count() == 0
+
+
+def test_neighbours(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(600, 16)).astype(np.float32)
+    x[5:30] = x[4]
+    bad = [(9000, None), (9001, [0.0] * 16), (9002, [float("nan")] * 16), (9003, [1.0, None] * 8), (9004, [1.0])]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + bad, "vec_id long, embedding array<float>")
+    got = neighbours.search(df, F.col("vec_id") % 50 == 0).toPandas()
+    right = 0
+    for q, g in got.groupby("query_id"):
+        d = np.sqrt(((x.astype(float) - x[q].astype(float)) ** 2).sum(1))
+        d[q] = np.inf
+        right += len(set(np.lexsort((np.arange(600), d))[:10]) & set(g.vec_id))
+    assert right >= 0.9 * 120 and got.vec_id.max() < 600
+    few = neighbours.search(df.filter("vec_id < 4"), F.col("vec_id") == 0)
+    assert few.count() == 3 and neighbours.search(df.limit(0), F.col("vec_id") == 0).count() == 0
+
+
+def test_pii(docs, none):
+    text = "a me@b.co 1.2.3.4 999.1.1.1 x 4111 1111 1111 1111 x +1 (269) 555-3296 x DE89 3704 0044 0532 0130 00"
+    base, every = pii.spans(text)
+    assert [pii.KINDS[k] for _, k, _ in base] == ["email", "ip", "card", "phone"] and "iban" in [pii.KINDS[k] for _, k, _ in every]
+    assert pii.redact(None) is None and "@" not in pii.redact(text)
+    assert pii.find_pii(docs).count() == docs.count() and pii.find_pii(none).count() == 0 and pii.redact_pii(docs).columns == docs.columns
+
+
+def test_mixing(docs, none):
+    out = mixing.mix(docs, {"s0": 3.0, "s1": 2.0, "s2": 1.0, None: 1.0}, block=1, cycle=14).toPandas()
+    assert len(out) == docs.count() and ((out.slot >= out.release) & (out.slot < out.deadline)).all() and out.slot.is_unique
+    assert mixing.mix(none).count() == 0
+
+
+def test_scores(docs, none):
+    model, numbered = lm_scoring.learn(docs.select("doc_id", "text"), ~lm_scoring.held_out())
+    out = lm_scoring.score(numbered, model, ["doc_id"]).toPandas()
+    assert len(out) == docs.count() and (out.score <= 0).all() and (out.n_known <= out.n_tokens).all()
+    empty, numbered = lm_scoring.learn(none.select("doc_id", "text"), ~lm_scoring.held_out())
+    assert lm_scoring.score(numbered, empty, ["doc_id"]).count() == 0
