@@ -128,7 +128,8 @@ def change_counts(changes: DataFrame) -> DataFrame:  # E-12
 def apply_changes(current: DataFrame, incoming: DataFrame, spec: EntitySpec, entity: str) -> tuple[DataFrame, DataFrame]:
     """(table after, snapshot rows) of one batch; the same batch again is all unchanged."""
     hashed = incoming.withColumn("content_hash", content_hash(incoming))
-    changes = three_state(current, hashed, spec)
+    known = current if "content_hash" in current.columns else current.withColumn("content_hash", content_hash(current))
+    changes = three_state(known, hashed, spec)
     moved = changes.filter("change_type <> 'unchanged'").select(*[c for c in current.columns if c in changes.columns])
     return upsert(current, moved, spec), snapshots(current, changes, spec, entity)
 
