@@ -19,14 +19,14 @@ def _fs(spark: SparkSession, path: str):
 
 
 def current_version(spark: SparkSession, table: str) -> int:
-    fs, p = _fs(spark, f"{table}/_current")
+    fs, p = _fs(spark, f"{table}_pointer/current.json")
     if not fs.exists(p):
         return -1
-    return json.loads(spark.read.text(f"{table}/_current", wholetext=True).head().value)["version"]
+    return json.loads(spark.read.text(f"{table}_pointer/current.json", wholetext=True).head().value)["version"]
 
 
 def _point(spark: SparkSession, table: str, version: int) -> None:
-    fs, p = _fs(spark, f"{table}/_current")
+    fs, p = _fs(spark, f"{table}_pointer/current.json")
     out = fs.create(p, True)
     out.write(bytearray(json.dumps({"version": version}).encode()))
     out.close()
