@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwell.functions import classify, hashing, security, text
 from siftwell.operators import joins, latest, merge
-from siftwell.plans import candidates, history, readiness
+from siftwell.plans import candidates, history, published, readiness
 from siftwell.plans.adapters import ADM, adm, plan, t
 
 QUERIES: dict = {}
@@ -557,3 +559,121 @@ def baseline_merge(s, d):
     g = p.filter("p_partkey % 2 = 0").select(F.col("p_partkey").alias("k"), F.col("p_name").alias("nm"), F.col("p_brand").alias("v"))
     b = p.filter("p_partkey % 3 = 0").select(F.col("p_partkey").alias("k"), F.col("p_name").alias("nm"), F.lit("old").alias("v"), F.col("p_size").cast("bigint").alias("x"))
     return history.merge_baseline(g, b, ["k"], ["k", "nm"], ["v"])
+
+
+# ---- published views (M-1 to M-8) over the driver's tables, whose adapters have one text for both engines ---------------
+
+#: Names in braces are tables.
+AS_DOMAIN = {
+    "provinces": "SELECT CAST(n_nationkey AS BIGINT) AS id, concat('P', CAST(n_nationkey AS STRING)) AS code, n_name AS name, CASE WHEN n_regionkey > 0 THEN concat('mode', CAST(n_regionkey AS STRING)) END AS subject_mode FROM {nation}",
+    "schools": "SELECT s_suppkey AS id, s_name AS name, CASE WHEN s_suppkey % 17 <> 0 THEN CAST(s_nationkey AS BIGINT) END AS province_id, s_suppkey % 5 = 0 AS is_985, s_suppkey % 3 = 0 AS is_211, CASE WHEN s_suppkey % 7 < 6 THEN s_suppkey % 7 = 0 END AS is_double_first, s_suppkey % 11 = 0 AS is_sino_foreign, s_suppkey % 4 = 0 AS is_private, s_suppkey % 13 = 0 AS is_independent, CASE WHEN s_suppkey % 2 = 0 THEN 1 END AS crawl_task_id FROM {supplier}",
+    "majors": "SELECT p_partkey AS id, p_name AS name, CASE WHEN p_partkey % 3 <> 0 THEN CAST(p_size AS BIGINT) END AS subcategory_id, p_partkey % 25 AS category_id, p_type AS degree FROM {part}",
+    "subcategories": "SELECT DISTINCT CAST(p_size AS BIGINT) AS id, CASE WHEN p_size % 5 <> 0 THEN concat('sub', CAST(p_size AS STRING)) END AS name, CASE WHEN p_size % 2 = 0 THEN CAST(p_size % 25 AS BIGINT) END AS category_id FROM {part}",
+    "categories": "SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name FROM {nation} WHERE n_nationkey <> 7",
+    "school_majors": "SELECT l_suppkey AS school_id, l_partkey AS major_id, min(CAST(l_linenumber AS INT)) AS school_major_display_order, CAST(count(*) AS INT) AS major_strength_rank, max(l_returnflag) AS major_strength_tier, CASE WHEN count(*) > 1 THEN true END AS is_featured_major FROM {lineitem} WHERE l_linestatus = 'O' GROUP BY l_suppkey, l_partkey",
+    "results": "SELECT l_suppkey AS school_id, l_partkey AS major_id, CAST(s_nationkey AS BIGINT) AS province_id, CAST(year(o_orderdate) AS BIGINT) AS year, o_orderpriority AS batch, CASE WHEN l_linenumber = 1 THEN l_returnflag END AS batch_code, CAST(floor(l_extendedprice / 100) AS BIGINT) AS min_score, l_orderkey % 5000 AS min_rank, CAST(l_quantity AS BIGINT) AS plan_count, CASE WHEN l_quantity > 10 THEN l_returnflag END AS remark, CAST(l_linenumber AS STRING) AS major_code_raw, l_orderkey % 2 = 0 AS min_rank_is_derived, l_linestatus AS data_source, CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS subject_category_id FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {supplier} ON l_suppkey = s_suppkey",
+    "plans": "SELECT school_id, CASE WHEN min_rank % 10 <> 0 THEN major_id END AS major_id, province_id, year, batch, batch_code, plan_count, remark AS note, major_code_raw, batch AS selection_requirement, subject_category_id FROM {results} WHERE year >= 2000",
+    "score_lines": "SELECT province_id, year, batch FROM {results} WHERE min_score > 500",
+    "segments": "SELECT province_id, year, subject_category_id, min_score AS score, count(*) AS cumulative_count FROM {results} WHERE year = 2000 AND province_id % 2 = 0 GROUP BY province_id, year, subject_category_id, min_score",
+    "sources": "SELECT CAST(r_regionkey AS BIGINT) AS id, r_name AS source_code, r_regionkey * 20 AS authority_level, 'official' AS source_type FROM {region} WHERE r_regionkey < 4",
+    "source_docs": "SELECT page_id AS id, page_id % 5 AS data_source_id, CASE WHEN page_id % 3 = 1 THEN url WHEN page_id % 3 = 2 THEN '' END AS title, url AS source_url, CAST(page_id AS STRING) AS content_hash, CAST(NULL AS STRING) AS fetched_at FROM {pages}",
+    "special": "SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN doc_id END AS school_id, CASE WHEN doc_id % 3 > 0 THEN source END AS title, text AS content_text, CASE WHEN doc_id % 4 = 0 THEN '强基计划' ELSE lang END AS enrollment_type, CASE WHEN doc_id % 5 > 0 THEN concat('https://x.example/', CAST(doc_id AS STRING), '?a=1#b') END AS source_url, CAST(doc_id AS STRING) AS content_hash, CASE WHEN doc_id % 2 = 1 THEN 'u' END AS updated_at, 'c' AS created_at FROM {documents}",
+}
+
+
+def domain(s: SparkSession, d: str, name: str) -> DataFrame:
+    """An adapter's table, or one of the driver's."""
+    if name not in AS_DOMAIN:
+        return t(s, d, name)
+    used = {n: domain(s, d, n) for n in _names(AS_DOMAIN[name])}
+    return s.sql(AS_DOMAIN[name], **used)
+
+
+def _names(sql: str) -> list[str]:
+    return re.findall(r"\{(\w+)\}", sql)
+
+
+def with_domain(*names: str) -> str:
+    """WITH and the adapters' tables, those they need first."""
+    order: list[str] = []
+
+    def visit(n: str) -> None:
+        if n in AS_DOMAIN and n not in order:
+            for m in _names(AS_DOMAIN[n]):
+                visit(m)
+            order.append(n)
+
+    for n in names:
+        visit(n)
+    return "WITH " + ", ".join(f"{n} AS ({AS_DOMAIN[n].format(**{m: m for m in _names(AS_DOMAIN[n])})})" for n in order) + " "
+
+
+_SOURCE_SQL = "SELECT 'source_document:' || d.id AS document_uid, 'source_document' AS document_type, NULL::VARCHAR AS entity_type, NULL::BIGINT AS entity_id, title, coalesce(title, '') AS text, regexp_replace(source_url, '[?#].*$', '') AS source_url, source_code, CAST(authority_level AS BIGINT) AS authority_level, content_hash, fetched_at FROM source_docs d JOIN sources s ON s.id = d.data_source_id"
+_SPECIAL_SQL = r"SELECT 'special_enrollment:' || id AS document_uid, 'special_enrollment' AS document_type, CASE WHEN school_id IS NOT NULL THEN 'school' END AS entity_type, school_id AS entity_id, title, concat_ws('\n', nullif(title, ''), nullif(content_text, '')) AS text, regexp_replace(coalesce(source_url, ''), '[?#].*$', '') AS source_url, CASE WHEN enrollment_type = '强基计划' THEN 'special_enrollments.strong_foundation' ELSE 'special_enrollments' END AS source_code, CAST(95 AS BIGINT) AS authority_level, content_hash, coalesce(updated_at, created_at) AS fetched_at FROM special"
+
+
+def _flat(df: DataFrame) -> DataFrame:
+    """Without the JSON object, whose text the engines write differently; the tests look at it."""
+    return df.drop("metadata").withColumn("authority_level", F.col("authority_level").cast("bigint"))
+
+
+@query(with_domain("source_docs", "sources") + _SOURCE_SQL)
+def source_documents_view(s, d):
+    return _flat(published.source_documents(domain(s, d, "source_docs"), domain(s, d, "sources")))
+
+
+@query(with_domain("special") + _SPECIAL_SQL)
+def special_enrollments_view(s, d):
+    return _flat(published.special_enrollments(domain(s, d, "special")))
+
+
+@query(with_domain("source_docs", "sources", "special") + _SOURCE_SQL + " UNION ALL " + _SPECIAL_SQL)
+def vector_documents_view(s, d):
+    return _flat(published.vector_documents(domain(s, d, "source_docs"), domain(s, d, "sources"), domain(s, d, "special")))
+
+
+@query(with_domain("schools", "provinces") + """SELECT s.id AS school_id, s.name AS school_name, p.name AS province, NULL::VARCHAR AS city, NULL::VARCHAR AS school_type,
+CASE WHEN is_sino_foreign THEN '中外合作办学' WHEN is_private OR is_independent THEN '民办' WHEN crawl_task_id IS NOT NULL THEN '公办' END AS ownership_type,
+concat_ws('/', CASE WHEN is_985 THEN '985' END, CASE WHEN is_211 THEN '211' END, CASE WHEN is_double_first THEN '双一流' END) AS tier_tags,
+concat_ws('/', CASE WHEN is_sino_foreign THEN '中外合作' END, CASE WHEN is_independent THEN '独立学院' END) AS joint_tags FROM schools s LEFT JOIN provinces p ON p.id = s.province_id""")
+def schools_view(s, d):
+    out = published.schools(domain(s, d, "schools"), domain(s, d, "provinces"))
+    return out.select("*", F.array_join("school_tier_tags", "/").alias("tier_tags"), F.array_join("cooperation_tags", "/").alias("joint_tags")).drop("school_tier_tags", "cooperation_tags")
+
+
+@query(with_domain("majors", "subcategories", "categories") + """SELECT m.id AS major_id, m.name AS major_name, coalesce(b.name, c.name) AS discipline_category, degree AS degree_type, NULL::VARCHAR AS tuition_range, NULL::VARCHAR AS subject_restrictions
+FROM majors m LEFT JOIN subcategories b ON b.id = m.subcategory_id LEFT JOIN categories c ON c.id = coalesce(b.category_id, m.category_id)""")
+def majors_view(s, d):
+    return published.majors(domain(s, d, "majors"), domain(s, d, "subcategories"), domain(s, d, "categories"))
+
+
+_RECORD = """SELECT p.code AS province_code, year AS admission_year, f.school_id, f.major_id, coalesce(batch_code, batch) AS batch_code, {scores}, plan_count, {notes} AS major_notes, major_code_raw,
+CAST(school_major_display_order AS BIGINT) AS display_order, CAST(major_strength_rank AS BIGINT) AS strength_rank, major_strength_tier, coalesce(is_featured_major, false) AS is_featured_major, {asked} AS selection_requirement, '{table}' AS evidence_source, {derived} AS min_rank_is_derived
+FROM {facts} f JOIN provinces p ON p.id = f.province_id LEFT JOIN school_majors m ON m.school_id = f.school_id AND m.major_id = f.major_id"""
+
+
+@query(
+    with_domain("results", "plans", "provinces", "school_majors")
+    + _RECORD.format(scores="min_score, min_rank", notes="concat_ws('；', remark, major_code_raw)", asked="NULL::VARCHAR", table="major_admission_results", derived="min_rank_is_derived", facts="results")
+    + " UNION ALL "
+    + _RECORD.format(scores="NULL::BIGINT, NULL::BIGINT", notes="concat_ws('；', note, major_code_raw, selection_requirement)", asked="selection_requirement", table="enrollment_plans", derived="false", facts="plans")
+)
+def admission_records_view(s, d):
+    out = published.admission_records(*[domain(s, d, n) for n in ("results", "plans", "provinces", "school_majors")])
+    return out.select(
+        "province_code", "admission_year", "school_id", "major_id", "batch_code", "min_score", "min_rank", "plan_count", "major_notes", "major_code_raw",
+        F.col("school_major_display_order").cast("bigint").alias("display_order"), F.col("major_strength_rank").cast("bigint").alias("strength_rank"), "major_strength_tier",
+        "is_featured_major", "selection_requirement", "evidence_source", "min_rank_is_derived",
+    )
+
+
+@query(with_domain("score_lines", "plans", "segments", "provinces") + """SELECT p.code AS province_code, p.name AS province_name, year AS admission_year, batch AS batch_code, subject_mode, NULL::VARCHAR AS subject_requirements, true AS score_rank_available, NULL::VARCHAR AS volunteer_mode
+FROM score_lines l JOIN provinces p ON p.id = l.province_id UNION SELECT code, name, year, b, subject_mode, r, EXISTS (SELECT 1 FROM segments g WHERE g.province_id = x.province_id AND g.year = x.year AND g.subject_category_id IS NOT DISTINCT FROM x.subject_category_id), NULL
+FROM (SELECT p.code, p.name, l.year, coalesce(batch_code, batch) b, subject_mode, max(selection_requirement) r, l.province_id, subject_category_id FROM plans l JOIN provinces p ON p.id = l.province_id GROUP BY ALL) x""")
+def province_rules_view(s, d):
+    return published.province_rules(*[domain(s, d, n) for n in ("score_lines", "plans", "segments", "provinces")])
+
+
+@query(with_domain("segments", "provinces") + "SELECT p.code AS province_code, year AS admission_year, score, cumulative_count AS rank FROM segments g JOIN provinces p ON p.id = g.province_id")
+def score_rank_view(s, d):
+    return published.score_rank(domain(s, d, "segments"), domain(s, d, "provinces"))
