@@ -17,7 +17,7 @@ class _Tables(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if tag == "table":
-            self.stack.append({"no": self.n, "row": 0, "cells": None, "cell": None, "head": False})
+            self.stack.append({"no": self.n, "class": dict(attrs).get("class") or "", "row": 0, "cells": None, "cell": None, "head": False})
             self.n += 1
         elif self.stack and tag == "tr":
             self._close_row()
@@ -39,7 +39,7 @@ class _Tables(HTMLParser):
         self._close_cell()
         t = self.stack[-1]
         if t["cells"]:
-            self.rows.append((t["no"], t["row"], t["cells"], t["head"]))
+            self.rows.append((t["no"], t["row"], t["cells"], t["head"], t["class"]))
             t["row"] += 1
         t["cells"] = None
 
@@ -59,7 +59,7 @@ class _Tables(HTMLParser):
             self.stack[-1]["cell"].append(data)
 
 
-def tables(html: str | None) -> list[tuple[int, int, list[str], bool]]:
+def tables(html: str | None) -> list[tuple[int, int, list[str], bool, str]]:
     p = _Tables()
     p.feed(html or "")
     p.close()
@@ -69,16 +69,16 @@ def tables(html: str | None) -> list[tuple[int, int, list[str], bool]]:
 
 
 def table_rows(pages: DataFrame, html: str, ident: str) -> DataFrame:
-    """ident, table_no, row_no, cells, is_header."""
+    """ident, table_no, row_no, cells, is_header, table_class."""
     kind = pages.schema[ident].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [(i, *r) for i, h in enumerate(b.column(1)) for r in tables(h.as_py())]
             at = pa.array([x[0] for x in found], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(at), *(pa.array([x[k] for x in found], t) for k, t in ((1, pa.int32()), (2, pa.int32()), (3, pa.list_(pa.string())), (4, pa.bool_())))], names=[ident, "table_no", "row_no", "cells", "is_header"])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), *(pa.array([x[k] for x in found], t) for k, t in ((1, pa.int32()), (2, pa.int32()), (3, pa.list_(pa.string())), (4, pa.bool_()), (5, pa.string())))], names=[ident, "table_no", "row_no", "cells", "is_header", "table_class"])
 
-    return pages.select(ident, html).mapInArrow(run, f"{ident} {kind}, table_no int, row_no int, cells array<string>, is_header boolean")
+    return pages.select(ident, html).mapInArrow(run, f"{ident} {kind}, table_no int, row_no int, cells array<string>, is_header boolean, table_class string")
 
 
 def with_headers(rows: DataFrame, ident: str, expected: list[str]) -> DataFrame:

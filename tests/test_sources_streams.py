@@ -1,5 +1,5 @@
 from siftwell.operators.merge import EntitySpec
-from siftwell.sources import html_tables, json_payloads
+from siftwell.sources import html_tables, json_payloads, page_tables
 from siftwell.streaming import ingest
 
 
@@ -27,3 +27,48 @@ def test_ingest(spark, tmp_path):
     assert sorted(map(tuple, ingest.read(spark, table, schema).collect())) == [(1, "a"), (2, "c"), (3, "d")]
     log = spark.read.parquet(f"{table}_snapshots")
     assert sorted(r.change_type for r in log.collect()) == ["new", "new", "new", "updated"]
+
+
+def _row(*cells, tag="td"):
+    return "<tr>" + "".join(f"<{tag}>{c}</{tag}>" for c in cells) + "</tr>"
+
+
+def test_admission_and_plan_tables(spark):
+    head = _row("专业", "科类", "批次", "最低分", "最低位次", "备注", tag="th")
+    page = f"<table><tr><td>x</td></tr></table><table>{head}{_row('数学', '物理类', '本科提前批A段', '6,01', '12', '要求政审,其他')}{_row('', '', '本科批', '1', '1', '')}{_row('a', 'b')}</table>"
+    df = spark.createDataFrame([(1, page), (2, None), (3, "")], "id long, html string")
+    (r,) = page_tables.admission_table(df, "html", "id").collect()
+    assert (r.major_name_raw, r.batch_code, r.batch_segment, r.min_score, r.min_rank, r.min_rank_source) == ("数学", "early", "A段", 601, 12, "official")
+    assert r.political_review_requirement == "要求政审" and r.quality_flags == ["missing_admitted_count"]
+    classed = f"<table>{_row('专业', '计划数', tag='th')}{_row('p', '1', 'q')}</table><table class='x plan-table'>{_row('专业名称', '批次', '计划数', tag='th')}{_row('化学', '本科批', '3人')}</table>"
+    found = page_tables.plan_table(spark.createDataFrame([(1, classed)], "id long, html string"), "html", "id").collect()
+    assert [(x.major_name, x.plan_count, x.batch_code) for x in found] == [("化学", 3, "regular")]
+
+
+def test_third_party_table(spark):
+    page = f"<table>{_row('above', '2020', 'x')}{_row('年份', '省份', '类别', '专业名称', '最低分', '平均分')}{_row('2023', '辽宁', '物理', '数学', '500', '498.8')}{_row('', '辽宁', '物理', '化学', '-', '-')}</table>"
+    df = spark.createDataFrame([(1, page, "2021年分数")], "id long, html string, around string")
+    rows = {r.major_name_raw: r for r in page_tables.third_party_table(df, "html", "id", "around").collect()}
+    assert (rows["数学"].year, rows["数学"].avg_score, rows["数学"].subject_category) == (2023, 498, "物理类")
+    assert (rows["化学"].year, rows["化学"].min_score, rows["化学"].batch) == (2021, None, "物理")
+
+
+def test_segments(spark):
+    page = f"<table>{_row('分数段(分)', '本段人数', '累计人数')}{_row('700-750', '3', '3')}{_row('699', 'x', '4')}</table><table class='segment-table'>{_row('600', 'x', '9')}</table>"
+    df = spark.createDataFrame([(1, page)], "id long, html string")
+    assert [(r.score, r.cumulative_count, r.category) for r in page_tables.segment_table(df, "html", "id", "理科").collect()] == [(700, 3, "理科")]
+    assert [(r.score, r.segment_count, r.cumulative_count) for r in page_tables.legacy_segments(df, "html", "id").collect()] == [(600, 0, 9)]
+
+
+def test_timeline(spark):
+    page = f"<table>{_row('批次', '填报时段')}{_row('本科批', '6月26日8：00至6月28日18:00')}{_row('征集志愿')}{_row('专科批', '7月1日9时至12时')}{_row('高职', '7月1日9:00至12:00')}</table><table>{_row('别批', '8月1日9:00至12:00')}</table>"
+    df = spark.createDataFrame([(1, page, 2024)], "id long, html string, y int")
+    found = {r.batch: (str(r.start_time), str(r.end_time)) for r in page_tables.timeline_table(df, "html", "id", "y").collect()}
+    assert found["本科批"] == ("2024-06-26 08:00:00", "2024-06-28 18:00:00")
+    assert found["高职(征集志愿)"] == ("2024-07-01 09:00:00", "2024-07-01 12:00:00") and "别批" in found
+
+
+def test_satisfaction(spark):
+    texts = ['{"msg": {"schappraisalinfo": [{"type": "综合", "avgRank": "4.5", "count": 7}, {"type": "环境", "avgRank": "x"}]}}', '{"msg": []}', '{"msg": {"schappraisalinfo": [{"type": "生活", "avgRank": ""}]}}', None]
+    (r,) = page_tables.satisfaction(spark.createDataFrame([(t,) for t in texts], "p string"), "p").collect()
+    assert (r.overall_score, r.environment_score, r.life_score, r.vote_count) == (4.5, None, None, 7)
