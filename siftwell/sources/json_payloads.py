@@ -6,10 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def objects(x: Column, ddl: str) -> Column:
+    """The objects of a JSON array as structs; elements of another kind go, what is no array has none."""
+    each = F.filter(F.from_json(x, "array<string>"), lambda e: F.startswith(F.ltrim(e), F.lit("{")))
+    return F.coalesce(F.transform(each, lambda e: F.from_json(e, ddl)), F.array().cast(f"array<{ddl}>"))
+
+
 def plan_items(payloads: DataFrame, column: str, item: str) -> DataFrame:
     """A-9: a row per item of `data` as a list, as {item: [...]}, or as groups of {item: [...]}. item: a DDL struct."""
     data = F.get_json_object(column, "$.data")
-    as_list = F.from_json(data, f"array<{item}>")
+    as_list = objects(data, item)
     direct = F.from_json(data, f"struct<item: array<{item}>>")["item"]
     groups = F.flatten(F.transform(F.map_values(F.from_json(data, f"map<string, struct<item: array<{item}>>>")), lambda g: F.coalesce(g["item"], F.array().cast(f"array<{item}>"))))
     found = F.when(F.startswith(data, F.lit("[")), as_list).otherwise(F.coalesce(direct, groups))

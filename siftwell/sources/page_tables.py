@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from siftwell.functions import classify, dates, hashing, text
 from siftwell.sources.html_tables import table_rows
+from siftwell.sources.json_payloads import objects
 
 #: The labels of each column, and its place (from 0) where no header has one of them; -1 for none.
 ADMISSION = {
@@ -106,7 +107,7 @@ def third_party_table(pages: DataFrame, html: str, ident: str, context: str) ->
 
 def segment_table(pages: DataFrame, html: str, ident: str, hint: str | None = None) -> DataFrame:
     """A-18, A-21: score segments by headers that contain the labels, else by position; rows with a number missing go."""
-    is_head = F.exists("cells", lambda c: F.contains(c, F.lit("分数"))) & F.exists("cells", lambda c: text.has(c, "人数", "累计", "位次"))
+    is_head = F.exists("cells", lambda c: F.contains(c, F.lit("分数"))) & F.exists("cells", lambda c: text.has(c, "人数", "累计"))
     out = columns(table_rows(pages, html, ident), ident, SEGMENT, is_head, within=True).filter("n_cells >= 3 AND _head IS NOT NULL")
     out = out.withColumns({"score": text.first_integer("score"), "segment_count": text.strict_count("segment_count"), "cumulative_count": text.strict_count("cumulative_count"), "category": F.coalesce("category", F.lit(hint), F.lit(""))})
     return out.filter("score IS NOT NULL AND segment_count IS NOT NULL AND cumulative_count IS NOT NULL").drop("_head", "n_cells")
@@ -134,7 +135,7 @@ def timeline_table(pages: DataFrame, html: str, ident: str, year: str) -> DataFr
 
 def satisfaction(payloads: DataFrame, column: str) -> DataFrame:
     """A-32: scores by kind from msg.schappraisalinfo; rows without any score go, as do payloads of another shape."""
-    ratings = F.from_json(F.get_json_object(column, "$.msg.schappraisalinfo"), "array<struct<type: string, avgRank: string, count: string>>")
+    ratings = objects(F.get_json_object(column, "$.msg.schappraisalinfo"), "struct<type: string, avgRank: string, count: string>")
     kind = lambda n: F.try_element_at(F.filter("_ratings", lambda r: r.type == n), F.lit(-1))
     known = payloads.withColumn("_ratings", ratings).filter(F.size("_ratings") > 0)
     known = known.withColumns({"_all": kind("综合"), "_at": F.coalesce(kind("院校"), kind("环境")), "_life": kind("生活")})

@@ -13,7 +13,7 @@ def test_tables(spark):
 
 
 def test_payloads(spark):
-    texts = ['{"data": [{"a": 1}]}', '{"data": {"item": [{"a": 2}]}}', '{"data": {"g": {"item": [{"a": 3}, {"a": 4}]}}}', "{}"]
+    texts = ['{"data": [{"a": 1}, 5, null]}', '{"data": {"item": [{"a": 2}]}}', '{"data": {"g": {"item": [{"a": 3}, {"a": 4}]}}}', "{}"]
     df = spark.createDataFrame([(t,) for t in texts], "p string")
     assert sorted(r.a for r in json_payloads.plan_items(df, "p", "struct<a: int>").collect()) == [1, 2, 3, 4]
 
