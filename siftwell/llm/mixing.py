@@ -7,23 +7,38 @@ the earliest deadline, which meets every deadline, so at every slot each source
 less than one block from its weight. Cycles repeat, so a row's slot follows from its rank in its source
 by arithmetic and a join with the cycle. A source that has run out leaves its slots empty.
 
+Every source has its own weight. Beyond `cycle` // 2 sources those due at least `OWN` slots keep slots
+of the cycle, and the others are dealt by hash into lanes of about `LANE` sources. A lane weighs what its sources
+weigh together, and has a cycle of its own that deals its slots to them by the same fold; lanes are nested
+until few enough are left. Release and deadline are then those of the lane's slots, carried upwards.
+
 No row is dropped or repeated: the decision is the order. Null sources are a source of their own, and
-so are null ids; repeated rows follow each other by hash. Beyond `cycle` // 2 sources the smallest
-share one schedule. Empty table: no rows. All of it is DataFrame and SQL functions.
+so are null ids; repeated rows follow each other by hash. Sources that given weights do not name have the
+smallest of them. Empty table: no rows. All of it is DataFrame and SQL functions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.llm.common import table, with_rank
+from siftwell.llm.common import materialize, table, with_rank
+
+LANE = 64  # sources of a lane
+OWN = 8  # slots that a source of average weight has in its lane, and that one outside of lanes has at least
+
+
+def source_weights(docs: DataFrame, weights: dict[str | None, float] | None, source_col: str, power: float = 0.7) -> DataFrame:
+    """_key, _w: each source's weight, as given or its rows to the `power`; keys are "=" and the name, or "" for null."""
+    found = docs.groupBy(source_key(source_col).alias("_key")).count()
+    if not weights:
+        return found.select("_key", F.pow("count", F.lit(power)).alias("_w"))
+    given = docs.sparkSession.createDataFrame([("" if s is None else f"={s}", float(w)) for s, w in weights.items()], "_key string, _w double")
+    return found.select("_key").join(given, "_key", "full").select("_key", F.coalesce("_w", F.lit(float(min(weights.values())))).alias("_w"))
 
 
-def target_weights(docs: DataFrame, source_col: str = "source", power: float = 0.7, most: int = 500) -> dict[str | None, float]:
-    """Weights by the sources' rows to the `power`; of the `most` largest sources, so a bounded report."""
-    top = docs.groupBy(source_col).count().orderBy(F.desc("count"), F.col(source_col)).limit(most)
-    return {r[0]: float(r[1]) ** power for r in top.collect()}
+def source_key(source_col: str) -> Column:
+    return F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))
 
 
 def slots(weights: dict, cycle: int) -> list[tuple[str | None, int]]:
@@ -36,14 +51,46 @@ def slots(weights: dict, cycle: int) -> list[tuple[str | None, int]]:
     return [(s, own[s]) for s in names]
 
 
-def edf_cycle(spark: SparkSession, shares: list[int]) -> DataFrame:
-    """at, k, i, a, release, deadline: which source (k) has its i-th block at slot `at` of the cycle; a: its slots."""
-    cycle, a = sum(shares), "array({})".format(", ".join(f"{x}L" for x in shares))
-    ready = f"filter(transform(st.c, (c, k) -> named_struct('d', (c + 1) * {cycle}L DIV element_at(a, k + 1) + if((c + 1) * {cycle}L % element_at(a, k + 1) = 0, 0, 1), 'k', k, 'r', c * {cycle}L DIV element_at(a, k + 1))), x -> x.r <= t)"
-    step = f"transform(array(array_min({ready})), b -> named_struct('c', transform(st.c, (c, k) -> if(k = b.k, c + 1, c)), 'out', concat(st.out, array(named_struct('at', t, 'k', b.k, 'i', element_at(st.c, b.k + 1), 'a', element_at(a, b.k + 1), 'release', b.r, 'deadline', b.d)))))[0]"
-    kind = "ARRAY<STRUCT<at: BIGINT, k: INT, i: BIGINT, a: BIGINT, release: BIGINT, deadline: BIGINT>>"
-    fold = f"aggregate(sequence(0L, {cycle - 1}L), named_struct('c', transform(a, x -> 0L), 'out', CAST(array() AS {kind})), (st, t) -> {step}, st -> st.out)"
-    return spark.range(1).selectExpr(f"{a} AS a").selectExpr(f"inline({fold})")
+def edf_cycles(lanes: DataFrame) -> DataFrame:
+    """_key, _turns, _cycle, _up: each member's slots of its lane's cycle. lanes: _up, m (members: _key, _w), a (their slots)."""
+    due = "(c + 1) * n DIV element_at(a, k + 1) + if((c + 1) * n % element_at(a, k + 1) = 0, 0, 1)"
+    ready = f"filter(transform(st.c, (c, k) -> named_struct('d', {due}, 'k', k, 'r', c * n DIV element_at(a, k + 1))), x -> x.r <= t)"
+    step = f"transform(array(array_min({ready})), b -> named_struct('c', transform(st.c, (c, k) -> if(k = b.k, c + 1, c)), 'out', concat(st.out, array(b.k))))[0]"
+    fold = f"aggregate(sequence(0L, n - 1), named_struct('c', transform(a, x -> 0L), 'out', CAST(array() AS ARRAY<INT>)), (st, t) -> {step}, st -> st.out)"
+    folded = lanes.selectExpr("_up", "m", "a", "aggregate(a, 0L, (x, y) -> x + y) AS n").selectExpr("_up", "m", "n", f"{fold} AS o")
+    turns = "transform(filter(transform(o, (y, at) -> named_struct('k', y, 'at', CAST(at AS BIGINT))), y -> y.k = k), y -> y.at)"
+    return folded.selectExpr("_up", "n AS _cycle", f"inline(transform(m, (x, k) -> named_struct('_key', x._key, '_turns', {turns})))")
+
+
+def levels(weights: DataFrame, cycle: int, seed: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The cycle, for sources and outermost lanes by _key, and the lanes' own cycles from the inmost on."""
+    spark, nested = weights.sparkSession, []
+    top = [tuple(r) for r in weights.orderBy(F.desc("_w"), "_key").limit(cycle // 2 + 1).select("_key", "_w").collect()]
+    if len(top) > cycle // 2:
+        least = weights.agg(F.sum("_w")).collect()[0][0] / cycle * OWN
+        top = [x for x in top if x[1] >= least]  # `cycle` // OWN at most
+        members = weights.filter(F.col("_w") < least)
+        lanes = -(-members.count() // LANE)
+        members = members.withColumn("_lane", F.pmod(F.xxhash64(F.lit(seed), "_key"), F.lit(lanes)))
+        while True:
+            members = members.withColumn("_up", F.format_string("#%d/%d", F.lit(len(nested)), "_lane"))
+            grouped = members.groupBy("_up").agg(F.sort_array(F.collect_list(F.struct("_key", "_w"))).alias("m"), F.sum("_w").alias("_all"))
+            nested.append(materialize(edf_cycles(grouped.selectExpr("_up", "m", f"transform(m, x -> greatest(1L, CAST(round(x._w / _all * {OWN} * size(m)) AS BIGINT))) AS a")), "lanes"))
+            members = members.groupBy(F.col("_up").alias("_key"), "_lane").agg(F.sum("_w").alias("_w"))
+            if lanes <= max(1, cycle // 16):
+                break
+            members, lanes = members.withColumn("_lane", F.expr(f"_lane DIV {LANE}")), -(-lanes // LANE)
+        top += [tuple(r) for r in members.select("_key", "_w").collect()]  # `cycle` // 16 at most, or one
+    shares = slots(dict(top), cycle)
+    one = spark.createDataFrame([("", [(k, 0.0) for k, _ in shares], [n for _, n in shares])], "_up string, m array<struct<_key string, _w double>>, a array<bigint>")
+    return edf_cycles(one), nested
+
+
+def climbed(rows: DataFrame, turns: DataFrame) -> DataFrame:
+    """The slot, release and deadline of rows that have block numbers there, a level up."""
+    up = rows.join(turns, "_key").withColumn("_a", F.size("_turns").cast("long"))
+    up = up.withColumn("release", F.expr("release * _cycle DIV _a")).withColumn("deadline", F.expr("(deadline * _cycle + _a - 1) DIV _a"))
+    return up.withColumn("slot", F.expr("slot DIV _a * _cycle + element_at(_turns, CAST(slot % _a AS INT) + 1)")).withColumn("_key", F.col("_up")).drop("_a", "_turns", "_cycle", "_up")
 
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block: int = 8, cycle: int = 1000, seed: int = 1, source_col: str = "source", id_col: str = "doc_id") -> DataFrame:
@@ -51,25 +98,21 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block:
 
     The mix is the order by slot and place.
     """
-    spark = docs.sparkSession
-    weights = weights or target_weights(docs, source_col, most=cycle // 2)
-    if not weights:
+    sources = materialize(source_weights(docs, weights, source_col), "sources")
+    if not weights and sources.isEmpty():
         return docs.selectExpr("*", *(f"0L AS {c}" for c in ("block", "release", "deadline", "slot", "place")))
-    shares = slots(weights, cycle)
-    plan = edf_cycle(spark, [n for _, n in shares])  # `cycle` rows
-    names = spark.createDataFrame([(k, s) for k, (s, _) in enumerate(shares)], "_k int, _name string")
-    rest = len(shares) - 1
-    keyed = docs.join(F.broadcast(names), docs[source_col].cast("string").eqNullSafe(names["_name"]), "left").drop("_name").withColumn("_k", F.coalesce("_k", F.lit(rest)))
-    keyed = keyed.withColumn("_key", F.xxhash64(F.lit(seed), F.col(id_col)))
-    order = [F.col("_key"), F.col(id_col), F.xxhash64(*[docs[c] for c in docs.columns])]
-    ranked = with_rank(keyed, ["_k"], order, "_rank", max(1, int(docs.select(source_col).count()) // 20_000))
-    ranked = ranked.withColumn("block", F.expr(f"_rank DIV {block}")).withColumn("place", F.col("_rank") % block)
-    plan = plan.withColumnRenamed("k", "_k").withColumnRenamed("i", "_i")
-    slots_of = spark.createDataFrame([(k, n) for k, (_, n) in enumerate(shares)], "_k int, _a long")
-    ranked = ranked.join(F.broadcast(slots_of), "_k").withColumn("_i", F.col("block") % F.col("_a"))
-    out = ranked.join(F.broadcast(plan.drop("a")), ["_k", "_i"])
-    turn = F.expr(f"block DIV _a * {cycle}L")
-    return out.select(*[F.col(c) for c in docs.columns if c not in ("block", "release", "deadline", "slot", "place")], "block", (turn + F.col("release")).alias("release"), (turn + F.col("deadline")).alias("deadline"), (turn + F.col("at")).alias("slot"), "place")
+    top, nested = levels(sources, cycle, seed)
+    keyed = docs.select(*[c for c in docs.columns if c not in ("block", "release", "deadline", "slot", "place")], source_key(source_col).alias("_key"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("_hash"), F.xxhash64(*[docs[c] for c in docs.columns]).alias("_row_hash"))
+    ranked = with_rank(keyed, ["_key"], [F.col("_hash"), F.col(id_col), F.col("_row_hash")], "_rank", max(1, int(docs.select(source_col).count()) // 20_000))
+    ranked = ranked.withColumn("block", F.expr(f"_rank DIV {block}")).withColumn("place", F.col("_rank") % block).withColumns({"slot": F.col("block"), "release": F.col("block"), "deadline": F.col("block") + 1})
+    top = F.broadcast(top)
+    out = climbed(ranked, top)
+    if nested:
+        tail = ranked.join(F.broadcast(top.select("_key")), "_key", "left_anti")
+        for turns in nested:
+            tail = climbed(tail, turns)
+        out = out.unionByName(climbed(tail, top))
+    return out.select(*[c for c in keyed.columns if c not in ("_key", "_hash", "_row_hash")], "block", "release", "deadline", "slot", "place")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -134,6 +134,16 @@ def test_mixing(docs, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_mixing_many_sources(spark):
+    many = spark.range(620 * 8).selectExpr("id AS doc_id", "concat('h', id % 620) AS source").unionByName(spark.range(10_000, 11_000).selectExpr("id AS doc_id", "'hot' AS source"))
+    out = mixing.mix(many, block=1).toPandas()
+    assert len(out) == many.count() and ((out.slot >= out.release) & (out.slot < out.deadline)).all() and out.slot.is_unique
+    half = out[out.source != "hot"].assign(early=lambda x: x.slot < x.slot.median()).groupby("source").early.sum()
+    assert half.between(2, 6).all()
+    deep = mixing.mix(many, block=1, cycle=16).toPandas()  # lanes of lanes
+    assert len(deep) == many.count() and ((deep.slot >= deep.release) & (deep.slot < deep.deadline)).all() and deep.slot.is_unique
+
+
 def test_scores(docs, none):
     model, numbered = lm_scoring.learn(docs.select("doc_id", "text"), ~lm_scoring.held_out())
     out = lm_scoring.score(numbered, model, ["doc_id"]).toPandas()
