@@ -1,7 +1,8 @@
 """Documents to packed training sequences, stage by stage; each stage reads what the one before has written.
 
-Every stage but the last returns the columns of documents. Stage 4 neither drops nor repeats rows: its
-decision is the order in which the rows are written. Extra columns pass through stages 1 to 4.
+Every stage but the last returns the columns of documents, stage 4 also slot and place. Stage 4 neither drops
+nor repeats rows: its decision is the order, which slot and place carry into the order of stage 5's sequences.
+Extra columns pass through stages 1 to 4.
 """
 
 from __future__ import annotations
@@ -38,15 +39,15 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, written in the order of the schedule."""
-    return mixing.mix(docs).orderBy("slot", "place").select(*docs.columns)
+    """All rows with their slot of the schedule and their place there."""
+    return mixing.mix(docs).select(*[c for c in docs.columns if c not in ("slot", "place")], "slot", "place")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece, with its sequence and its place there."""
+    """A row per piece, with its sequence and its place there; sequences follow the schedule."""
     import public_tokenizers
 
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_in_order(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [("quality classifier", quality), ("n-gram Jaccard join", deduplicate), ("PII", personal_data), ("mixing", mix), ("best-fit packing", pack)]

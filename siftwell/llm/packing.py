@@ -6,6 +6,10 @@ a bin, a bitset subset-sum over the lengths left finds the fullest combination f
 combination is removed, as often in a row as the lengths allow. The plan has a few runs a length, so
 its size does not follow the corpus. Pieces then find their place by their rank in their length.
 
+Where the documents have an order (mixing's slot and place), `pack_in_order` cuts it into windows of about
+`window` rows, packs each window by a plan of its own, within which ranks follow the order, and numbers the
+sequences window by window; so a run of sequences holds what that stretch of the schedule holds.
+
 Null and empty texts: one piece, the end id alone. Repeated rows: packed each. A text of any length is
 read whole; its ids are cut into pieces only beyond the capacity. Empty table: no rows.
 """
@@ -58,7 +62,8 @@ class Ids(Cache):
         return list(map(b"".join, self.pieces(texts)))
 
 
-def to_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int, text_col: str, id_col: str) -> DataFrame:
+def to_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int, text_col: str, id_col: str, keep: list[str] = []) -> DataFrame:
+    """A row per piece, with the columns `keep` of its document."""
     kind = docs.schema[id_col].dataType.simpleString()
     end = np.array([end_id], "<u4").tobytes()
 
@@ -77,9 +82,11 @@ def to_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int,
                         start.append(k // 4)
                         length.append(len(part) // 4)
                         crc.append(zlib.crc32(part))
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), *(b.column(2 + k).take(at) for k in range(len(keep)))], names=["doc_id", "piece", "start", "length", "ids_crc32", *keep])
 
-    return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *keep), cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long{kinds}")
 
 
 def fullest(left: dict[int, int], room: int) -> list[tuple[int, int]]:
@@ -149,6 +156,34 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
     return map_arrow(ranked.select(*pieces.columns, "rank"), place, f"{schema}, sequence_id long, offset long")
 
 
+def pack_in_order(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, window: int = 8192, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """As pack, of documents with slot and place: sequence_id follows the slots, window by window."""
+    size = docs.agg(F.count("*").alias("n"), F.max("slot").alias("last")).collect()[0]
+    width = max(1, -(-window * ((size.last or 0) + 1) // max(1, size.n)))  # slots of a window
+    pieces = to_pieces(docs.withColumn("_window", F.expr(f"slot DIV {width}")), tokenizer_path, capacity, end_id, text_col, id_col, ["_window", "slot", "place"])
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+
+    def place(t: pa.Table) -> pa.Table:
+        t = t.sort_by([(c, "ascending") for c in ("length", "slot", "place", "piece")])
+        length = t.column("length").to_numpy()
+        kinds, first, counts = np.unique(length, return_index=True, return_counts=True)
+        runs = sorted(plan(dict(zip(kinds.tolist(), counts.tolist())), capacity))
+        keys = np.array([(x << 42) + rank for x, rank, *_ in runs], np.int64)
+        rank = np.arange(len(length)) - np.repeat(first, counts)
+        start, times, base, offset = np.array([r[1:] for r in runs], np.int64)[np.searchsorted(keys, (length << 42) + rank, "right") - 1].T
+        own = {"sequence_id": pa.array(base + (rank - start) // times), "offset": pa.array(offset + (rank - start) % times * length)}
+        return pa.table({c: t.column(c) for c in names} | own | {"_window": t.column("_window")})
+
+    schema = ", ".join(f"{c} {pieces.schema[c].dataType.simpleString()}" for c in names) + ", sequence_id long, offset long, _window long"
+    placed = materialize(pieces.groupBy("_window").applyInArrow(place, schema), "pieces")
+    before, bins = [], 0
+    for r in placed.groupBy("_window").agg(F.max("sequence_id").alias("n")).orderBy("_window").collect():  # a row for each window
+        before.append((r[0], bins))
+        bins += r.n + 1
+    before = docs.sparkSession.createDataFrame(before, "_window long, _before long")
+    return placed.join(F.broadcast(before), "_window").select(*names, (F.col("sequence_id") + F.col("_before")).alias("sequence_id"), "offset")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 

@@ -134,6 +134,26 @@ def test_mixing(docs, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_mixing_reaches_the_sequences(spark, monkeypatch):
+    import corpus_pipeline
+
+    mixed = [x for x in corpus_pipeline.STAGES if x[0] in ("mixing", "best-fit packing")]
+    key = ["doc_id", "piece", "sequence_id", "offset"]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", mixed)
+    ordered = corpus_pipeline.run(spark, "/root/testdata/sf0.001").select(*key)
+    in_order = lambda s, docs, d: corpus_pipeline.pack(s, docs.withColumns({"slot": F.xxhash64("doc_id") % 9 + 9, "place": F.lit(0).cast("long")}), d)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("best-fit packing", in_order)])
+    assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").select(*key).exceptAll(ordered).count() > 0
+    path = public_tokenizers.path("word_bpe_49k.json")
+    some = spark.range(3000).selectExpr("id AS doc_id", "concat('some words ', id) AS text", "if(id < 1800, 'hot', concat('s', id % 3)) AS source")
+    out = packing.pack_in_order(mixing.mix(some, {"hot": 1.0, "s0": 1.0, "s1": 1.0, "s2": 1.0}), path, 64, window=200)
+    seen = out.join(some, "doc_id").toPandas().sort_values(["sequence_id", "offset"])
+    assert len(seen) == 3000 and (seen.groupby("sequence_id").length.cumsum() - seen.length == seen.offset).all() and seen.groupby("sequence_id").length.sum().max() <= 64
+    assert sorted(seen.sequence_id.unique()) == list(range(seen.sequence_id.nunique()))
+    assert (seen.source.head(1200).value_counts() / 1200).between(0.2, 0.3).all()  # natural: 0.6 hot
+    assert packing.pack_in_order(mixing.mix(some.limit(0)), path).count() == 0
+
+
 def test_mixing_many_sources(spark):
     many = spark.range(620 * 8).selectExpr("id AS doc_id", "concat('h', id % 620) AS source").unionByName(spark.range(10_000, 11_000).selectExpr("id AS doc_id", "'hot' AS source"))
     out = mixing.mix(many, block=1).toPandas()
