@@ -9,8 +9,8 @@ the shared folder, and memory-mapped by the scoring tasks, so memory does not ho
 
 Model: absolute discounting, interpolated. alpha(w|h) = (c(hw) - D) / c(h), rounded down to 2^(-q/8);
 gamma(h) = 1 - the sum of alpha; p(w|h) = alpha + gamma p(w|shorter h); p(w) = (c + 1) / (N + V + 1).
-Pairs and triples seen once are not kept (`least` = 2); their mass is in gamma, so p sums to one up to
-the rounding of gamma. A triple can be kept only if both its pairs are, which spares most of the count.
+All pairs and triples are kept (`least` = 1), those seen once too; p sums to one up to the rounding of
+gamma. Counts travel as the differences of sorted keys, byte by byte, which compresses well.
 
 Null and empty texts: the end token alone. Repeated rows count and score each. Null ids: training rows.
 Without training rows N = V = 0 and every token has probability 1. Texts are scored whole.
@@ -50,6 +50,15 @@ def tally(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[at], np.diff(at, append=len(keys))
 
 
+def planes(keys: np.ndarray) -> np.ndarray:
+    """The differences of sorted keys: all lowest bytes, then all next ones."""
+    return np.ascontiguousarray(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T)
+
+
+def keys_of(data: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def dealt(chunks: Iterator[tuple[np.ndarray, np.ndarray | None]], parts: int, flush: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Counts of (key, part) chunks (part None: the key's top bits), a row for each part and `flush` keys."""
     held, size = [], 0
@@ -65,7 +74,7 @@ def dealt(chunks: Iterator[tuple[np.ndarray, np.ndarray | None]], parts: int, fl
         for p in range(parts):
             k, c = tally(keys[order[edges[p] : edges[p + 1]]])
             if len(k):
-                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (k[c == 1], k[c > 1], c[c > 1].astype(np.uint32)))], names=["part", "once", "more", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (planes(k[c == 1]), planes(k[c > 1]), c[c > 1].astype(np.uint32)))], names=["part", "once", "more", "counts"])
 
     for keys, part in chunks:
         held.append((keys, part))
@@ -82,7 +91,7 @@ def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
 
 def gathered(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Sorted keys and summed counts of a part's rows."""
-    keys = [np.frombuffer(x.as_py(), np.uint64) for c in ("once", "more") for x in t.column(c)]
+    keys = [keys_of(x.as_py()) for c in ("once", "more") for x in t.column(c)]
     counts = [np.ones(len(x), np.int64) for x in keys[: t.num_rows]] + [np.frombuffer(x.as_py(), np.uint32).astype(np.int64) for x in t.column("counts")]
     k, c = np.concatenate(keys), np.concatenate(counts)
     order = np.argsort(k, kind="stable")
@@ -181,7 +190,7 @@ def int_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data.tobytes(), np.int32).astype(np.int64), at // 4
 
 
-def learn(docs: DataFrame, training: Column, text_col: str = "text", least: int = 2, part_bytes: int = 64 << 20) -> tuple[Model, DataFrame]:
+def learn(docs: DataFrame, training: Column, text_col: str = "text", least: int = 1, part_bytes: int = 64 << 20) -> tuple[Model, DataFrame]:
     """The model of the rows where `training` holds, and docs with `_ids`, their tokens' places (-1: unknown), for all rows."""
     spark = docs.sparkSession
     docs = docs.withColumn("_train", training)

@@ -3,6 +3,7 @@
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -164,6 +165,29 @@ def test_mixing_many_sources(spark):
     assert len(deep) == many.count() and ((deep.slot >= deep.release) & (deep.slot < deep.deadline)).all() and deep.slot.is_unique
 
 
+def test_scores_of_what_occurs_once(spark):
+    def alpha(c, context):
+        return 2.0 ** (-min(255, math.ceil(-8 * math.log2((c - 0.75) / context) - 1e-9)) / 8)
+
+    texts = ["a b c d e f", "a b x y", "p q r s", "a b c q"]
+    rows = [[*x.split(), "</>"] for x in texts]
+    grams = [Counter(tuple(r[i : i + n]) for r in rows[:3] for i in range(len(r) - n + 1)) for n in (1, 2, 3)]
+
+    def p(i, r):
+        out = (grams[0][(r[i],)] + 1) / (sum(grams[0].values()) + len(grams[0]) + 1)
+        for n in (1, 2):
+            h = tuple(r[i - n : i])
+            if i >= n and grams[n - 1][h]:
+                out *= 1 - sum(alpha(c, grams[n - 1][h]) for g, c in grams[n].items() if g[:n] == h)
+                out += alpha(grams[n][(*h, r[i])], grams[n - 1][h]) if grams[n][(*h, r[i])] else 0
+        return out
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model, numbered = lm_scoring.learn(df, F.col("doc_id") < 3)
+    got = {r.doc_id: r.score for r in lm_scoring.score(numbered, model, ["doc_id"]).collect()}
+    assert all(abs(got[k] - sum(math.log10(p(i, r)) for i in range(len(r)))) < 1e-3 for k, r in enumerate(rows))
+
+
 def test_scores(docs, none):
     model, numbered = lm_scoring.learn(docs.select("doc_id", "text"), ~lm_scoring.held_out())
     out = lm_scoring.score(numbered, model, ["doc_id"]).toPandas()
