@@ -113,11 +113,15 @@ def three_state(current: DataFrame, incoming: DataFrame, spec: EntitySpec, seq:
     return marked.drop("_hash", "_hit", "_at", "_lag", *[f"_{k}" for k in spec.keys])
 
 
-def snapshots(current: DataFrame, changes: DataFrame, spec: EntitySpec, entity: str, hash_col: str = "content_hash") -> DataFrame:
-    """L-2, B-8: the log rows; updated ones carry the old row as JSON."""
+def snapshots(current: DataFrame, changes: DataFrame, spec: EntitySpec, entity: str, hash_col: str = "content_hash", seq: str | None = None) -> DataFrame:
+    """L-2, B-8: the log rows; updated ones carry the old row as JSON, with `seq` that of the batch's row before."""
+    if seq:
+        w = Window.partitionBy(*spec.keys).orderBy(seq)
+        own = canonical_json(changes.select(*[c for c in current.columns if c in changes.columns]))
+        changes = changes.withColumn("_before", F.lag(own).over(w))
     old = current.select(*[F.col(k).alias(f"_{k}") for k in spec.keys], canonical_json(current).alias("_old"))
     joined = changes.join(old, _on(changes, old, spec), "left")
-    data = F.when(F.col("change_type") == "updated", F.col("_old"))
+    data = F.when(F.col("change_type") == "updated", F.coalesce(F.col("_before"), F.col("_old")) if seq else F.col("_old"))
     return joined.select(F.lit(entity).alias("entity_type"), *spec.keys, F.col(hash_col), "change_type", "previous_hash", data.alias("snapshot_data"))
 
 
@@ -125,10 +129,22 @@ def change_counts(changes: DataFrame) -> DataFrame:  # E-12
     return changes.groupBy("change_type").agg(F.count("*").alias("n"))
 
 
-def apply_changes(current: DataFrame, incoming: DataFrame, spec: EntitySpec, entity: str) -> tuple[DataFrame, DataFrame]:
-    """(table after, snapshot rows) of one batch; the same batch again is all unchanged."""
-    hashed = incoming.withColumn("content_hash", content_hash(incoming))
-    known = current if "content_hash" in current.columns else current.withColumn("content_hash", content_hash(current))
+def apply_changes(current: DataFrame, incoming: DataFrame, spec: EntitySpec, entity: str, seq: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(table after, snapshot rows) of one batch; the same batch again is all unchanged.
+
+    seq: the order of a key's rows, ties by their hash, where keys may repeat. Each row is logged against
+    the one before it and the last one is upserted; `seq` itself is no content, so it makes no change.
+    """
+    content = lambda df: content_hash(df.drop(seq) if seq else df)
+    hashed = incoming.withColumn("content_hash", content(incoming))
+    known = current if "content_hash" in current.columns else current.withColumn("content_hash", content(current))
+    if seq:
+        changes = three_state(known, hashed.withColumn("_order", F.struct(seq, "content_hash")), spec, "_order")
+        w = Window.partitionBy(*spec.keys)
+        changed = changes.withColumn("_last", F.row_number().over(w.orderBy(F.desc("_order"))) == 1).withColumn("_moved", F.max(F.col("change_type") != "unchanged").over(w))
+        alone = F.lit(False) if spec.null_safe else reduce(lambda a, b: a | b, [F.col(k).isNull() for k in spec.keys])
+        moved = changed.filter(F.col("_moved") & (F.col("_last") | alone)).select(*[c for c in current.columns if c in changes.columns])
+        return upsert(current, moved, spec), snapshots(current, changes, spec, entity, seq="_order")
     changes = three_state(known, hashed, spec)
     moved = changes.filter("change_type <> 'unchanged'").select(*[c for c in current.columns if c in changes.columns])
     return upsert(current, moved, spec), snapshots(current, changes, spec, entity)

@@ -37,12 +37,20 @@ def read(spark: SparkSession, table: str, schema) -> DataFrame:
     return spark.createDataFrame([], schema) if v < 0 else spark.read.schema(schema).parquet(f"{table}/v={v}")
 
 
-def ingest(spark: SparkSession, landing: str, schema, table: str, spec: EntitySpec, checkpoint: str, files_per_trigger: int = 100):
-    """Runs over what has landed and stops; the checkpoint keeps the offsets."""
+def ingest(spark: SparkSession, landing: str, schema, table: str, spec: EntitySpec, checkpoint: str, files_per_trigger: int = 100, seq: str | None = None):
+    """Runs over what has landed and stops; the checkpoint keeps the offsets.
+
+    seq: the column that orders a key's rows within a batch; each is logged, the last one stays. Batches
+    follow each other as they land. Without it, a key with differing rows in one batch is an error.
+    """
 
     def merge(batch: DataFrame, number: int) -> None:
-        one = batch.dropDuplicates(list(spec.keys))
-        after, log = apply_changes(read(spark, table, schema), one, spec, spec.table)
+        if not seq:
+            batch = batch.distinct()
+            named = batch if spec.null_safe else batch.dropna(subset=list(spec.keys))
+            if not named.groupBy(*spec.keys).count().filter("count > 1").isEmpty():
+                raise ValueError("a key has differing rows in one batch: give the column that orders them as seq")
+        after, log = apply_changes(read(spark, table, schema), batch, spec, spec.table, seq)
         after.write.mode("overwrite").parquet(f"{table}/v={number}")
         log.write.mode("overwrite").parquet(f"{table}_snapshots/batch={number}")
         _point(spark, table, number)

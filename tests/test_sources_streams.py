@@ -1,3 +1,7 @@
+import json
+
+import pytest
+
 from siftwell.operators.merge import EntitySpec
 from siftwell.sources import html_tables, json_payloads, page_tables
 from siftwell.streaming import ingest
@@ -29,6 +33,24 @@ def test_ingest(spark, tmp_path):
     assert sorted(r.change_type for r in log.collect()) == ["new", "new", "new", "updated"]
 
 
+def test_ingest_sequence(spark, tmp_path):
+    schema = "k long, v string, at long"
+    land, table = f"{tmp_path}/land", f"{tmp_path}/table"
+    for rows in ([(1, "a", 1), (1, "b", 2), (None, "x", 1), (None, "y", 2)], [(1, "c", 3), (1, "c", 4), (1, "d", 5)]):
+        spark.createDataFrame(rows, schema).repartition(3).write.mode("append").parquet(land)
+        ingest.ingest(spark, land, schema, table, EntitySpec("things", ("k",), null_safe=False), f"{tmp_path}/check", seq="at")
+    assert sorted(((r.k or 0), r.v, r.at) for r in ingest.read(spark, table, schema).collect()) == [(0, "x", 1), (0, "y", 2), (1, "d", 5)]
+    log = spark.read.parquet(f"{table}_snapshots").filter("k = 1").collect()
+    assert sorted(r.change_type for r in log) == ["new", "unchanged", "updated", "updated", "updated"]
+    assert sorted(json.loads(r.snapshot_data)["v"] for r in log if r.change_type == "updated") == ["a", "b", "c"]
+
+
+def test_ingest_without_sequence(spark, tmp_path):
+    spark.createDataFrame([(1, "a"), (1, "b")], "k long, v string").coalesce(1).write.parquet(f"{tmp_path}/land")
+    with pytest.raises(Exception, match="differing rows"):
+        ingest.ingest(spark, f"{tmp_path}/land", "k long, v string", f"{tmp_path}/table", EntitySpec("things", ("k",)), f"{tmp_path}/check")
+
+
 def _row(*cells, tag="td"):
     return "<tr>" + "".join(f"<{tag}>{c}</{tag}>" for c in cells) + "</tr>"
 
