@@ -180,6 +180,14 @@ def null_safe_join(s, d):
     return joins.null_safe_join(a, b, ["school_id", "subject"])
 
 
+@query(f"""WITH {ADM}, a AS (SELECT school_id, subject, count(*) n FROM adm GROUP BY 1, 2), b AS (SELECT school_id, subject, sum(plan_count)::BIGINT pc FROM plan WHERE yr = 2000 GROUP BY 1, 2)
+SELECT a.school_id, a.subject, n, pc FROM a LEFT JOIN b ON a.school_id = b.school_id AND a.subject IS NOT DISTINCT FROM b.subject""")
+def null_safe_join_whole(s, d):
+    a = adm(s, d).groupBy("school_id", "subject").agg(F.count("*").alias("n"))
+    b = plan(s, d).groupBy("school_id", "subject").agg(F.sum("plan_count").alias("pc"))
+    return joins.null_safe_join(a, b, ["school_id", "subject"])
+
+
 def _optional(s, d, subject=None, batch=None):
     """C-4, C-7: a parameter that is not given does not filter."""
     a = adm(s, d)
@@ -400,6 +408,15 @@ def cdc_in_batch_sequence(s, d):
     return out.select("k", "ln", "content_hash", "change_type", "previous_hash")
 
 
+@query("""WITH l AS (SELECT l_orderkey k, CAST(l_linenumber AS BIGINT) ln, l_partkey || ':' || l_returnflag h, l_shipdate sd, l_partkey pk, l_suppkey sk FROM lineitem),
+x AS (SELECT k, ln, h, lag(h) OVER w p, row_number() OVER w n FROM l WINDOW w AS (PARTITION BY k, ln ORDER BY sd, pk, sk, h))
+SELECT k, ln, h AS content_hash, CASE WHEN n = 1 THEN 'new' WHEN p = h THEN 'unchanged' ELSE 'updated' END change_type, CASE WHEN n > 1 AND p <> h THEN p END previous_hash FROM x""")
+def cdc_in_batch_sequence_whole(s, d):
+    li = t(s, d, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").cast("bigint").alias("ln"), F.concat_ws(":", "l_partkey", "l_returnflag").alias("content_hash"), F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag").alias("seq"))
+    out = merge.three_state(li.limit(0), li, merge.EntitySpec("lines", ("k", "ln")), "seq")
+    return out.select("k", "ln", "content_hash", "change_type", "previous_hash")
+
+
 def _people(s, d):
     c = t(s, d, "customer").select("c_custkey", "c_name", F.col("c_nationkey").cast("bigint").alias("nation"), "c_mktsegment")
     cur = c.filter("c_custkey % 3 <> 0").withColumn("nation", F.when(F.col("c_custkey") % 5 != 0, F.col("nation")))

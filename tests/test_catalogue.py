@@ -26,3 +26,10 @@ def test_as_sql(spark, duck, name):
         names = [x[0] for x in found.description]
         assert sorted(names) == sorted(out.columns)
         assert rows == sorted(repr(tuple(r[names.index(c)] for c in sorted(names))) for r in found.fetchall())
+
+
+def test_whole_tables(spark, duck):
+    out = catalogue.QUERIES["cdc_in_batch_sequence_whole"](spark, D)
+    assert out.count() == duck.sql("SELECT count(*) FROM lineitem").fetchall()[0][0] and out.filter("k % 2 = 1").count() > 0
+    whole, half = (sum(r.pc or 0 for r in catalogue.QUERIES[n](spark, D).collect()) for n in ("null_safe_join_whole", "null_safe_join"))
+    assert whole > half
