@@ -537,6 +537,11 @@ def redact_text(s, d):
     return t(s, d, "documents").select("doc_id", security.redact("text", [security.SENSITIVE[7], security.SENSITIVE[6]]).alias("safe"))
 
 
+@query()
+def redact_text_whole(s, d):
+    return t(s, d, "documents").select("doc_id", security.redact("text").alias("safe"))
+
+
 @query(r"""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b[^>]*>.*?</script\s*>', ' ', 'g'), '(?is)<style\b[^>]*>.*?</style\s*>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g'), '[\s\x{A0}\x{85}\x{2028}\x{2029}\x{3000}]+', ' ', 'g')) AS body FROM pages""")
 def html_to_text(s, d):
     return t(s, d, "pages").select("page_id", F.trim(F.regexp_replace(security.strip_active("html"), text.SPACE, " ")).alias("body"))
