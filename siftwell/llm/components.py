@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.llm.common import materialize
+from siftwell.llm.common import drop, materialize
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", rows: int | None = None) -> DataFrame:
@@ -14,18 +14,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rows: int | None =
     labels, rows = None, 2 * work.count()  # nodes and edges only get fewer
     while not work.isEmpty():
         both = work.unionByName(work.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parent = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")), "parent", rows)
-        while True:
+        parent = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root"), F.lit(True).alias("moved")), "parent", rows)
+        while not parent.filter("moved").isEmpty():
             up = parent.select(F.col("node").alias("_n"), F.col("root").alias("_r"))
-            jumped = materialize(parent.join(up, parent.root == up._n).select("node", F.col("_r").alias("root"), (F.col("_r") != F.col("root")).alias("moved")), "parent", rows)
-            parent = jumped.select("node", "root")
-            if jumped.filter("moved").isEmpty():
-                break
+            before, parent = parent, materialize(parent.join(up, parent.root == up._n).select("node", F.col("_r").alias("root"), (F.col("_r") != F.col("root")).alias("moved")), "parent", rows)
+            drop(before, shuffles=False)
         if labels is None:
-            labels = parent
+            labels = materialize(parent.drop("moved"), "labels", rows)
         else:
             up = parent.select(F.col("node").alias("_n"), F.col("root").alias("_r"))
-            labels = materialize(labels.join(up, labels.root == up._n, "left").select("node", F.coalesce("_r", "root").alias("root")), "labels", rows)
+            before, labels = labels, materialize(labels.join(up, labels.root == up._n, "left").select("node", F.coalesce("_r", "root").alias("root")), "labels", rows)
+            drop(before, shuffles=False)
         pa, pb = (parent.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in ("a", "b"))
-        work = materialize(work.join(pa, "a").join(pb, "b").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).filter("a < b").distinct(), "edges", rows)
+        before, work = work, materialize(work.join(pa, "a").join(pb, "b").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).filter("a < b").distinct(), "edges", rows)
+        drop(before, parent, shuffles=False)
     return labels if labels is not None else work.select(F.col("a").alias("node"), F.col("b").alias("root"))
