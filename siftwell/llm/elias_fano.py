@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
-import tempfile
 import uuid
 
 import numpy as np
@@ -50,11 +48,12 @@ def encode(values: np.ndarray, universe: int, name: str, least_low: int = 0) ->
     return _encode((values >> np.uint64(low)).astype(np.int64), values, (universe >> low) + 1, low, name)
 
 
-def _encode(high: np.ndarray, values: np.ndarray, buckets: int, low: int, name: str) -> dict[str, np.ndarray]:
-    """Unary high parts, the packed `low` bits of the values, a directory of zeros and one of ones."""
+def _encode(high: np.ndarray, values: np.ndarray, buckets: int, low: int, name: str, by_place: bool = True) -> dict[str, np.ndarray]:
+    """Unary high parts, the packed `low` bits of the values, a directory of zeros and, for `get`, one of ones."""
     n = len(high)
     bits = np.zeros(((n + buckets) // 64 + 4) * 64, np.uint8)
-    bits[high + np.arange(n)] = 1
+    for a in range(0, n, 1 << 18):
+        bits[high[a : a + (1 << 18)] + np.arange(a, min(n, a + (1 << 18)))] = 1
     packed = [np.zeros(0, np.uint8)]
     for a in range(0, n, 1 << 16):
         part = values[a : a + (1 << 16)]
@@ -64,14 +63,13 @@ def _encode(high: np.ndarray, values: np.ndarray, buckets: int, low: int, name:
     return {
         f"{name}.meta": np.array([n, low], np.int64), f"{name}.high": np.packbits(bits, bitorder="little").view(np.uint64), f"{name}.low": lows.view(np.uint64),
         f"{name}.zeros": np.searchsorted(high, np.arange(0, buckets + EVERY, EVERY)).astype(np.uint32),
-        f"{name}.ones": (high[::EVERY]).astype(np.uint64),
-    }
+    } | ({f"{name}.ones": high[::EVERY].astype(np.uint32 if buckets < 1 << 32 else np.uint64)} if by_place else {})
 
 
 class Sequence:
     def __init__(self, arrays: dict[str, np.ndarray], name: str):
         self.n, self.bits = (int(x) for x in arrays[f"{name}.meta"])
-        self.high, self.low, self.zeros, self.ones = (arrays[f"{name}.{x}"] for x in ("high", "low", "zeros", "ones"))
+        self.high, self.low, self.zeros, self.ones = (arrays.get(f"{name}.{x}") for x in ("high", "low", "zeros", "ones"))
         self.mask = np.uint64((1 << self.bits) - 1)
 
     def _low(self, i: np.ndarray) -> np.ndarray:
@@ -115,8 +113,9 @@ def encode_children(context: np.ndarray, words: np.ndarray, contexts: int, bits:
     own = np.where(d > 0, np.int64(1) << np.minimum(bits, np.ceil(np.log2(np.maximum(d, 1))).astype(np.int64)), 0)
     first = np.concatenate([[0], np.cumsum(own)])
     shift = bits - np.bitwise_count(np.maximum(own, 1) - 1).astype(np.int64)
-    high = first[context] + (words >> shift[context])
-    return encode(first, int(first[-1]) + 1, "first", 6) | _encode(high, words.astype(np.uint64), int(first[-1]) + 1, bits, "words")
+    high = first[context]
+    high += words >> shift[context]
+    return encode(first, int(first[-1]) + 1, "first", 6) | _encode(high, words.astype(np.uint64), int(first[-1]) + 1, bits, "words", False)
 
 
 class Children:
@@ -157,20 +156,25 @@ def write_arrays(path: str, arrays: dict[str, np.ndarray]) -> None:
     fs.move(own, p)
 
 
-def read_arrays(path: str) -> dict[str, np.ndarray]:
-    """Memory maps of a file's arrays; a file that isn't on this machine is copied once and unlinked."""
+def remove(path: str) -> None:
     fs, p = _filesystem(path)
+    fs.delete_file(p)
+
+
+def read_arrays(path: str) -> tuple[dict[str, np.ndarray], int]:
+    """(a file's arrays, the bytes of memory that they take): maps, or read where the store can't be mapped; none if it isn't there."""
+    from pyarrow import fs as pafs
+
+    fs, p = _filesystem(path)
+    if fs.get_file_info(p).type == pafs.FileType.NotFound:
+        return {}, 0
     if fs.type_name != "local":
-        fd, own = tempfile.mkstemp()
-        with fs.open_input_stream(p) as source, os.fdopen(fd, "wb") as out:
-            while part := source.read(1 << 22):
-                out.write(part)
-        raw = np.memmap(own, np.uint8, "r")
-        os.unlink(own)
+        with fs.open_input_file(p) as source:
+            raw = np.frombuffer(source.read(), np.uint8)
     else:
         raw = np.memmap(p, np.uint8, "r")
     size, start = (int(x) for x in raw[:16].view(np.uint64))
     out = {}
     for k, (kind, n, at) in json.loads(raw[16 : 16 + size].tobytes()).items():
         out[k] = raw[start + at : start + at + n * np.dtype(kind).itemsize].view(kind)
-    return out
+    return out, 0 if isinstance(raw, np.memmap) else len(raw)
