@@ -10,8 +10,9 @@ Where the documents have an order (mixing's slot and place), `pack_in_order` cut
 `window` rows, packs each window by a plan of its own, within which ranks follow the order, and numbers the
 sequences window by window; so a run of sequences holds what that stretch of the schedule holds.
 
-Null and empty texts: one piece, the end id alone. Repeated rows: packed each. A text of any length is
-read whole; its ids are cut into pieces only beyond the capacity. Empty table: no rows.
+Null and empty texts: one piece, the end id alone. Repeated rows: packed each, each by itself. A text of any length is
+read whole, a very long one part by part; its ids are cut into pieces only beyond the capacity. Equal lengths are
+dealt by a hash of the piece. Other columns are ignored, whatever their names. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -22,12 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siftwell.llm.common import map_arrow, materialize, table, with_rank
-from siftwell.llm.token_counts import _SHORT, LETTERS, PLAIN, SIGNS, Cache, encode, in_worker
+from siftwell.llm.common import bucket_rows, in_worker, map_arrow, materialize, small, table, with_rank
+from siftwell.llm.token_counts import _SHORT, LETTERS, PLAIN, SIGNS, Cache, encode, text_groups
 
 
 _WORD_ENDS = re.compile(rf"[{LETTERS}]+|{_SHORT}|[{SIGNS}]+|[0-9]")
@@ -59,7 +59,7 @@ class Ids(Cache):
         return out | super().misses([x for x in new if x not in out])
 
     def of(self, texts: list[str]) -> list[bytes]:
-        return list(map(b"".join, self.pieces(texts)))
+        return self.pieces(texts, b"".join) if len(texts) > 1 else [b"".join(self.pieces([x], b"".join)[0] for x in self.parts(t, True)) for t in texts]
 
 
 def to_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int, text_col: str, id_col: str, keep: list[str] = []) -> DataFrame:
@@ -70,11 +70,11 @@ def to_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int,
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = in_worker(Ids, tokenizer_path)
         for b in rows:
-            text = pc.fill_null(b.column(1), "")
             at, piece, start, length, crc = [], [], [], [], []
-            for a in range(0, len(text), 256):
-                for i, body in enumerate(ids.of(text.slice(a, 256).to_pylist()), a):
-                    body += end
+            i = -1
+            for texts in text_groups(b.column(1)):
+                for body in ids.of(texts):
+                    i, body = i + 1, body + end
                     for k in range(0, len(body), 4 * capacity):
                         part = body[k : k + 4 * capacity]
                         at.append(i)
@@ -86,7 +86,7 @@ def to_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int,
             yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), *(b.column(2 + k).take(at) for k in range(len(keep)))], names=["doc_id", "piece", "start", "length", "ids_crc32", *keep])
 
     kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *keep), cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long{kinds}")
+    return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *keep), cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long{kinds}", ("Ids", tokenizer_path))
 
 
 def fullest(left: dict[int, int], room: int) -> list[tuple[int, int]]:
@@ -136,7 +136,8 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = materialize(to_pieces(docs, tokenizer_path, capacity, end_id, text_col, id_col), "pieces")
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
+    pieces = materialize(to_pieces(docs, tokenizer_path, capacity, end_id, "text", "doc_id", ["row"]), "pieces")
     counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # `capacity` rows at most
     runs = sorted(plan(counts, capacity))
     keys = np.array([(x << 42) + rank for x, rank, *_ in runs], np.int64)
@@ -149,18 +150,19 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(base + (rank - first) // np.maximum(times, 1)), pa.array(offset + (rank - first) % np.maximum(times, 1) * length)], names=[*names, "sequence_id", "offset"])
 
-    hot = max(counts.values(), default=1)
-    salted = pieces.withColumn("_key", F.xxhash64("doc_id", "piece", "ids_crc32"))
-    ranked = with_rank(salted, ["length"], [F.col("_key"), F.col("doc_id"), F.col("piece"), F.col("start"), F.col("ids_crc32")], "rank", 1 + hot // 20_000)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
-    return map_arrow(ranked.select(*pieces.columns, "rank"), place, f"{schema}, sequence_id long, offset long")
+    salted = pieces.withColumn("_key", F.xxhash64("row", "piece"))  # repeated rows have rows of their own
+    buckets = F.array(*[F.lit(1 + counts.get(x, 0) // bucket_rows(sum(counts.values()))) for x in range(capacity + 1)])
+    ranked = with_rank(salted, ["length"], [F.col("_key"), F.col("row"), F.col("piece")], "rank", F.element_at(buckets, F.col("length").cast("int") + 1))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema if f.name != "row")
+    return map_arrow(ranked.select(*[c for c in pieces.columns if c != "row"], "rank"), place, f"{schema}, sequence_id long, offset long")
 
 
-def pack_in_order(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, window: int = 8192, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def pack_in_order(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, window: int = 8192, text_col: str = "text", id_col: str = "doc_id", slot_col: str = "slot", place_col: str = "place") -> DataFrame:
     """As pack, of documents with slot and place: sequence_id follows the slots, window by window."""
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(slot_col).alias("slot"), F.col(place_col).alias("place"))
     size = docs.agg(F.count("*").alias("n"), F.max("slot").alias("last")).collect()[0]
     width = max(1, -(-window * ((size.last or 0) + 1) // max(1, size.n)))  # slots of a window
-    pieces = to_pieces(docs.withColumn("_window", F.expr(f"slot DIV {width}")), tokenizer_path, capacity, end_id, text_col, id_col, ["_window", "slot", "place"])
+    pieces = to_pieces(docs.withColumn("_window", F.expr(f"slot DIV {width}")), tokenizer_path, capacity, end_id, "text", "doc_id", ["_window", "slot", "place"])
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def place(t: pa.Table) -> pa.Table:
@@ -176,12 +178,9 @@ def pack_in_order(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, en
 
     schema = ", ".join(f"{c} {pieces.schema[c].dataType.simpleString()}" for c in names) + ", sequence_id long, offset long, _window long"
     placed = materialize(pieces.groupBy("_window").applyInArrow(place, schema), "pieces")
-    before, bins = [], 0
-    for r in placed.groupBy("_window").agg(F.max("sequence_id").alias("n")).orderBy("_window").collect():  # a row for each window
-        before.append((r[0], bins))
-        bins += r.n + 1
-    before = docs.sparkSession.createDataFrame(before, "_window long, _before long")
-    return placed.join(F.broadcast(before), "_window").select(*names, (F.col("sequence_id") + F.col("_before")).alias("sequence_id"), "offset")
+    sizes = placed.groupBy("_window").agg((F.max("sequence_id") + 1).alias("_bins"))  # a narrow row for each window
+    before = sizes.select("_window", F.coalesce(F.sum("_bins").over(Window.orderBy("_window").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return placed.join(small(before, 96), "_window").select(*names, (F.col("sequence_id") + F.col("_before")).alias("sequence_id"), "offset")
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
