@@ -1,62 +1,86 @@
 """4. Quality rules, carried from documents to their hosts.
 
-Each whole text gets its counts and its base verdict. The base failures are summed by host (a document
-without a host is its own), each host's failure rate is shrunk toward the corpus by a beta prior that
-the hosts' own rates give (method of moments), and a host whose shrunk rate is at least `most` loses
-all its documents. Clean documents of a mixed host stay.
-
-Null and empty texts: no words, base_failed. Null hosts: judged by the base rules alone. Repeated rows
-count each. Empty table: no rows.
+Each whole text gets its counts and its base verdict, once; they are kept as a narrow table. The base failures are
+summed by host, each host's failure rate is shrunk toward the corpus by a beta prior that the hosts' own rates give
+(method of moments), and a host whose shrunk rate is at least `most` loses all its documents. Clean documents of a
+mixed host stay.
+
+Counts come from hashes of words, windows and lines, 64 bits each. Null and empty texts: no words, base_failed. Null
+hosts: judged by the base rules alone. Repeated rows and ids: counted and judged each. A very long text takes a few
+numbers a word. Ties at `most` are rejected. Other columns are ignored, whatever their names. Empty table: no rows.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.llm.common import map_arrow, table
-
-_SYMBOLS = b"#*$%&|<>"
-_NOT_SYMBOLS = bytes(set(range(256)) - set(_SYMBOLS))
-_SPACES = b" \t\n\x0b\x0c\r"
-#: Bytes that don't begin a code point, and white space.
-_NO_WORD_CHARS = bytes(range(0x80, 0xC0)) + _SPACES
-
-
-def measures(text: bytes) -> tuple[int, int, int, int, int]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
-    words = text.split()
-    symbols = len(text.translate(None, _NOT_SYMBOLS))
-    lines = [x for x in text.split(b"\n") if x.strip(_SPACES)]
-    repeats, n = 0, len(words) - 2
-    if n > 1:
-        windows = list(zip(words, words[1:], words[2:]))
-        found = Counter(windows)
-        if len(found) < n:
-            upto = 0
-            for i, w in enumerate(windows):
-                if found[w] > 1:
-                    repeats += i + 3 - max(i, upto)
-                    upto = i + 3
-    return len(words), len(text.translate(None, _NO_WORD_CHARS)), symbols, len(lines) - len(set(lines)), repeats
+from siftwell.llm.common import WHITE, map_arrow, materialize, mix, small, steps, table, text_buffer, word_hashes, word_hashes_at
+
+_SYMBOL, _LINE = np.zeros(256, bool), np.zeros(256, bool)
+_SYMBOL[list(b"#*$%&|<>")] = True
+_LINE[10] = True
+#: Bytes that begin a code point of a word.
+_CHAR = ~WHITE
+_CHAR[0x80:0xC0] = False
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def per_row(mask: np.ndarray, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many bytes of each row the mask has."""
+    out = np.zeros(len(at) - 1, np.int64)
+    for a in range(0, len(data), 1 << 22):
+        total = np.concatenate([[0], np.cumsum(mask[data[a : a + (1 << 22)]], dtype=np.int64)])
+        out += np.diff(total[np.clip(at - a, 0, len(total) - 1)])
+    return out
+
+
+def again(keys: np.ndarray) -> np.ndarray:
+    """Which keys occur more than once."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    same = keys[1:] == keys[:-1]
+    out = np.zeros(len(keys), bool)
+    out[order[1:]] |= same
+    out[order[:-1]] |= same
+    return out
+
+
+def measures(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A row of MEASURES for each text."""
+    n = len(at) - 1
+    h, first = word_hashes(data, at, False)
+    words = np.diff(first)
+    row = np.repeat(np.arange(n), words)
+    lines, line_first, starts = word_hashes_at(data, at, False, _LINE)
+    line_row = np.repeat(np.arange(n), np.diff(line_first))
+    chars = np.add.reduceat(~WHITE[data], starts) if len(starts) else np.zeros(0)  # newlines between lines are white
+    own = lines[chars > 0] ^ mix(line_row[chars > 0].astype(np.uint64))
+    _, kept = np.unique(own, return_index=True)
+    dup = np.bincount(line_row[chars > 0], minlength=n) - np.bincount(line_row[chars > 0][kept], minlength=n)
+    repeated = np.zeros(len(h), bool)
+    if len(h) > 2:
+        i = np.flatnonzero(row[2:] == row[:-2])
+        twice = i[again((h[i] * np.uint64(3) + mix(h[i + 1]) * np.uint64(5) + mix(mix(h[i + 2]))) ^ mix(row[i].astype(np.uint64)))]
+        for d in range(3):
+            repeated[twice + d] = True
+    return np.stack([words, per_row(_CHAR, data, at), per_row(_SYMBOL, data, at), dup, np.bincount(row[repeated], minlength=n)], axis=1)
 
 
 def rule_counts(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", host_col: str = "source") -> DataFrame:
     kinds = [docs.schema[c].dataType.simpleString() for c in (id_col, host_col)]
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows:
-            text = pc.fill_null(b.column(2), "").cast(pa.binary())
-            found = [measures(x.as_py()) for x in text]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array([x[k] for x in found], pa.int64()) for k in range(5))], names=["doc_id", "host", *names])
+            data, at = text_buffer(b.column(2))
+            found = np.concatenate([np.zeros((0, len(MEASURES)), np.int64), *(measures(data[at[i] : at[j]], at[i : j + 1] - at[i]) for i, j in steps(at))])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x) for x in found.T.astype(np.int64))], names=["doc_id", "host", *MEASURES])
 
-    made = map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(text_col).alias("text")), count, f"doc_id {kinds[0]}, host {kinds[1]}, " + ", ".join(f"{n} long" for n in names))
+    made = map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(text_col).alias("text")), count, f"doc_id {kinds[0]}, host {kinds[1]}, " + ", ".join(f"{n} long" for n in MEASURES))
     return made.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
@@ -75,21 +99,18 @@ def host_rates(counted: DataFrame) -> DataFrame:
     return hosts.join(F.broadcast(prior)).select("host", "n", "failed", ((F.col("failed") + F.col("m") * F.col("strength")) / (F.col("n") + F.col("strength"))).alias("rate"))
 
 
-def apply_rules(docs: DataFrame, most: float = 0.5, text_col: str = "text", id_col: str = "doc_id", host_col: str = "source", broadcast_hosts: int = 100_000, salts: int = 32) -> DataFrame:
+def apply_rules(docs: DataFrame, most: float = 0.5, text_col: str = "text", id_col: str = "doc_id", host_col: str = "source", salts: int = 32) -> DataFrame:
     """The counts with base_failed, host_rejected and kept.
 
-    Only rejected hosts travel: broadcast up to `broadcast_hosts` of them, beyond that joined on host
+    Only rejected hosts travel: broadcast where they are few by a check of their size, else joined on host
     and a salt, so that a host with a third of the rows spreads over `salts` tasks.
     """
-    counted = rule_counts(docs, text_col, id_col, host_col)
-    bad = host_rates(counted).filter(F.col("rate") >= most).select("host", F.lit(True).alias("host_rejected"))
-    few = [r.host for r in bad.select("host").limit(broadcast_hosts + 1).collect()]
-    if len(few) <= broadcast_hosts:
-        joined = counted.withColumn("host_rejected", F.coalesce(F.col("host").isin(few), F.lit(False)) if few else F.lit(False))
-    else:
-        spread = bad.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = counted.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")).join(spread, ["host", "_salt"], "left").drop("_salt")
-    return joined.withColumn("kept", ~F.col("base_failed") & ~F.coalesce("host_rejected", F.lit(False)))
+    counted = materialize(rule_counts(docs, text_col, id_col, host_col), "counted")
+    bad = materialize(host_rates(counted).filter(F.col("rate") >= most).select("host", F.lit(True).alias("host_rejected")), "hosts")
+    spread = small(bad.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), 256)
+    joined = counted.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")).join(spread, ["host", "_salt"], "left").drop("_salt")
+    joined = joined.withColumn("host_rejected", F.coalesce("host_rejected", F.lit(False)))
+    return joined.withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
