@@ -1,15 +1,17 @@
 """5. Quality classifier: random indexing, pooled, and a two-layer network.
 
 Every word has a sparse random index vector (a function of its hash) and a context vector: the sum of the
-index vectors of the words beside it, over the training texts, for `BUCKETS` hashed words. How a word is
-written (case, ends, digits, length) has a random vector too. A document is the mean of its words' vectors,
-by kind, with its length and its shares of repeated words, windows and lines; a numpy network with one hidden layer scores it, and a
-temperature fitted on a tenth of the training rows calibrates the probability.
-
-The fit reads `sample` labelled training rows, about, chosen by hash (documented bound); scoring reads every whole
-text. Labels, lang, source and doc_id are no inputs. Null and empty texts have no words and score by the
-length word alone. Repeated rows score alike. Without labelled rows every score is 0.5. Labels that are
-null, repeated or without a document are left out (of repeated ones the smallest is used).
+index vectors of the words beside it, over all training rows' texts (labelled or not), for `BUCKETS` hashed words.
+How a word is written (case, ends, digits, length) has a random vector too. A document is the mean of its words'
+vectors, by kind, with its length and its shares of repeated words, windows and lines; a numpy network with one
+hidden layer scores it, and a temperature fitted on a tenth of the training rows calibrates the probability.
+`kinds` leaves out features, to see what each gives (the README has the accuracies).
+
+The fit reads `sample` labelled training rows, about, chosen by hash (documented bound); the context vectors and
+the scores read every whole text. Labels, lang, source and doc_id are no inputs. Null and empty texts have no words
+and score by the length word alone. Repeated rows score alike. Without labelled rows every score is 0.5. Labels that
+are null, repeated or without a document are left out (of repeated ones the smallest is used). A very long text is
+taken word slice by word slice; what is held of it are a few numbers a word. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -22,10 +24,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.llm.common import WHITE, map_arrow, mix, steps, table, text_buffer, word_hashes, word_hashes_at
+from siftwell.llm.common import WHITE, free, map_arrow, mix, steps, table, text_buffer, word_hashes, word_hashes_at
 
-BUCKETS, DIMS, HIDDEN, SHAPES = 4096, 64, 32, 2048
+BUCKETS, DIMS, HIDDEN, SHAPES = 8192, 64, 32, 2048
 FEATURES = 2 * DIMS + 6
+#: Where each kind of feature is.
+KINDS = {"context": slice(0, DIMS), "shape": slice(DIMS, 2 * DIMS), "counts": slice(2 * DIMS, FEATURES)}
+#: Words whose vectors are gathered at a time; rows of the context table that travel together.
+SLICE, ROWS = 1 << 15, 512
 _SIGN, _UPPER, _LETTER, _DIGIT, _LINE = (np.zeros(256, bool) for _ in range(5))
 _SIGN[list(b".,;:!?\"'()[]{}<>|#*$%&-_/\\=+~@^`")] = True
 _UPPER[65:91] = _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = _DIGIT[48:58] = _LINE[10] = True
@@ -33,13 +39,17 @@ _UPPER[65:91] = _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = _DIGIT[48:58]
 
 def index_vectors(n: int, seed: int) -> np.ndarray:
     """Sparse ternary vectors: four +1 and four -1 of DIMS."""
-    rng, out = np.random.default_rng(seed), np.zeros((n, DIMS), np.float32)
-    for row in out:
-        at = rng.choice(DIMS, 8, replace=False)
-        row[at[:4]], row[at[4:]] = 1, -1
+    at, out = index_places(n, seed), np.zeros((n, DIMS), np.float32)
+    np.put_along_axis(out, at[:, :4], 1, 1)
+    np.put_along_axis(out, at[:, 4:], -1, 1)
     return out
 
 
+def index_places(n: int, seed: int) -> np.ndarray:
+    """Where each of n index vectors has its +1 (four) and its -1 (four)."""
+    return np.random.default_rng(seed).random((n, DIMS)).argsort(1, kind="stable")[:, :8]
+
+
 def shapes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """How each word is written, as a number below SHAPES: case, its first sign and last two, digits, length."""
     total = lambda mask: np.add.reduceat(mask[data], starts, dtype=np.int32)  # noqa: E731  white space between words counts nowhere
@@ -62,22 +72,7 @@ class Pooler:
     """Texts to features; `context`: BUCKETS x DIMS."""
 
     def __init__(self, context: np.ndarray | None):
-        self.context, self.index, self.shapes = context, index_vectors(BUCKETS, 1), index_vectors(SHAPES, 2)
-
-    def contexts(self, column: pa.Array, total: np.ndarray) -> None:
-        """Adds to each word's vector the index vectors of the two words to either side."""
-        data, at = text_buffer(column)
-        for i, j in steps(at):
-            h, first = word_hashes(data[at[i] : at[j]], at[i : j + 1] - at[i])
-            b, row = (h % np.uint64(BUCKETS)).astype(np.int64), np.repeat(np.arange(j - i), np.diff(first))
-            for d in (1, 2):
-                k = np.flatnonzero(row[d:] == row[:-d])
-                for x, y in ((b[k], b[k + d]), (b[k + d], b[k])):
-                    order = np.argsort(x, kind="stable")
-                    x, y = x[order], y[order]
-                    if len(x):
-                        cut = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
-                        total[x[cut]] += np.add.reduceat(self.index[y], cut)
+        self.context, self.shapes = context, index_vectors(SHAPES, 2)
 
     def features(self, column: pa.Array) -> np.ndarray:
         data, at = text_buffer(column)
@@ -90,15 +85,19 @@ class Pooler:
         row, many = np.repeat(np.arange(n), words), np.maximum(words, 1)
         lines, line_first = word_hashes(data, at, False, _LINE)
         n_lines = np.diff(line_first)
-        tail = out[:, 2 * DIMS :]
+        tail = out[:, KINDS["counts"]]
         tail[:, 0], tail[:, 4], tail[:, 5] = np.log1p(words) / 8, np.log1p(n_lines) / 6, words == 0
         tail[:, 1] = 1 - distinct(lines, np.repeat(np.arange(n), n_lines), n) / np.maximum(n_lines, 1) if len(lines) else 0
-        if len(h):
-            for k, (kinds, ids, vectors) in enumerate(((BUCKETS, (h % np.uint64(BUCKETS)).astype(np.int64), self.context), (SHAPES, shapes(data, starts), self.shapes))):
-                seen, times = np.unique(row * kinds + ids, return_counts=True)
+        for a in range(0, len(h), SLICE):
+            own, end = slice(a, a + SLICE), starts[a + SLICE] if a + SLICE < len(h) else len(data)
+            shaped = shapes(data[starts[a] : end], starts[own] - starts[a])
+            for k, (kinds, ids, vectors) in enumerate(((BUCKETS, (h[own] % np.uint64(BUCKETS)).astype(np.int64), self.context), (SHAPES, shaped, self.shapes))):
+                seen, times = np.unique(row[own] * kinds + ids, return_counts=True)
                 doc, pooled = seen // kinds, vectors[seen % kinds] * times[:, None].astype(np.float32)
                 cut = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-                out[doc[cut], k * DIMS : (k + 1) * DIMS] = np.add.reduceat(pooled, cut) / many[doc[cut], None]
+                out[doc[cut], k * DIMS : (k + 1) * DIMS] += np.add.reduceat(pooled, cut)
+        out[:, : 2 * DIMS] /= many[:, None]
+        if len(h):
             tail[:, 2] = np.where(words > 0, 1 - distinct(h, row, n) / many, 0)
             t = np.flatnonzero(row[2:] == row[:-2]) if len(row) > 2 else np.zeros(0, np.int64)
             if len(t):
@@ -107,6 +106,50 @@ class Pooler:
         return out
 
 
+def neighbour_sums(column: pa.Array, total: np.ndarray, places: np.ndarray) -> None:
+    """Adds to each word's row of `total` the index vectors of the two words to either side."""
+    data, at = text_buffer(column)
+    for i, j in steps(at):
+        h, first = word_hashes(data[at[i] : at[j]], at[i : j + 1] - at[i])
+        b, row = (h % np.uint64(BUCKETS)).astype(np.int64), np.repeat(np.arange(j - i), np.diff(first))
+        for a in range(0, len(b), 8 * SLICE):
+            x, y = [], []
+            for d in (1, 2):
+                k = a + np.flatnonzero(row[a + d : a + d + 8 * SLICE] == row[a : a + 8 * SLICE][: max(0, len(row) - a - d)])
+                x += [b[k], b[k + d]]
+                y += [b[k + d], b[k]]
+            x, y = np.concatenate(x) * DIMS, np.concatenate(y)
+            for c in range(8):
+                got = np.bincount(x + places[y, c], minlength=BUCKETS * DIMS).reshape(BUCKETS, DIMS)
+                np.add(total, got, total) if c < 4 else np.subtract(total, got, total)
+
+
+def context_vectors(texts: DataFrame) -> np.ndarray:
+    """BUCKETS x DIMS, each row of length one (or zero), from all rows of a one-column table; a task sends its sums once."""
+
+    def sums(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, places = np.zeros((BUCKETS, DIMS), np.int64), index_places(BUCKETS, 1)
+        for b in rows:
+            neighbour_sums(b.column(0), total, places)
+        for k in range(0, BUCKETS, ROWS):
+            part = total[k : k + ROWS]
+            if part.any():
+                zigzag = ((part << 1) ^ (part >> 63)).astype("<u8").ravel()  # small numbers, whose high bytes are zero and compress
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.ascontiguousarray(zigzag.view(np.uint8).reshape(-1, 8).T).tobytes()], pa.binary())], names=["k", "v"])
+
+    def added(t: pa.Table) -> pa.Table:
+        total = np.zeros(ROWS * DIMS, np.int64)
+        for v in t.column("v"):
+            z = np.ascontiguousarray(np.frombuffer(v.as_buffer(), np.uint8).reshape(8, -1).T).view("<u8").ravel()
+            total += (z >> np.uint64(1)).astype(np.int64) ^ -(z & np.uint64(1)).astype(np.int64)
+        return pa.table({"k": t.column("k")[:1], "v": pa.array([total.tobytes()], pa.binary())})
+
+    out = np.zeros((BUCKETS, DIMS), np.float32)
+    for r in map_arrow(texts, sums, "k int, v binary").groupBy("k").applyInArrow(added, "k int, v binary").toLocalIterator():  # BUCKETS / ROWS rows of a fixed size
+        out[r.k : r.k + ROWS] = np.frombuffer(r.v, np.int64).reshape(-1, DIMS)
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-6)
+
+
 def _forward(net: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     h = np.maximum((x - net["mean"]) / net["sd"] @ net["w1"] + net["b1"], 0)
     return h, h @ net["w2"] + net["b2"]
@@ -146,26 +189,19 @@ def fit(x: np.ndarray, y: np.ndarray, seed: int = 1, epochs: int = 40, step: flo
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, training: Column, sample: int = 20_000, text_col: str = "text", id_col: str = "doc_id", label_col: str = "quality") -> dict:
-    """{'context', 'net'}; training: which doc_ids may teach. About `sample` rows, by hash of their id."""
+def train(docs: DataFrame, labels: DataFrame, training: Column, sample: int = 20_000, text_col: str = "text", id_col: str = "doc_id", label_col: str = "quality", kinds: tuple[str, ...] = tuple(KINDS)) -> dict:
+    """{'context', 'net', 'kinds'}; training: over doc_id, which rows may teach. About `sample` labelled rows, by hash."""
     sc = docs.sparkSession.sparkContext
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter(training)
+    context = context_vectors(docs.select("text"))
+    shared = sc.broadcast(context)
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y")).filter(training & F.col("y").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("y").alias("y"))
     n = known.count()
     if n > sample:
         known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * sample / n))
-    taught = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(known), "doc_id").repartition("doc_id").coalesce(8)  # `sample` rows, about, in eight tasks however many partitions there are
-
-    def contexts(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pool, total = Pooler(None), np.zeros((BUCKETS, DIMS), np.float32)
-        for b in rows:
-            pool.contexts(b.column(0), total)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["c"])
-
-    context = np.zeros((BUCKETS, DIMS), np.float32)
-    for r in map_arrow(taught.select("text"), contexts, "c binary").collect():  # eight tables of a fixed size
-        context += np.frombuffer(r.c, np.float32).reshape(context.shape)
-    context /= np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-6)
-    shared = sc.broadcast(context)
+    taught = docs.join(F.broadcast(known), "doc_id")  # `sample` ids, about
+    if (n := taught.count()) > 2 * sample:  # ids that many rows have
+        taught = taught.filter(F.rand(7) < sample / n)
 
     def features(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool = Pooler(shared.value)
@@ -176,30 +212,36 @@ def train(docs: DataFrame, labels: DataFrame, training: Column, sample: int = 20
     def learn(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = sorted((repr(i), y, x) for b in rows for i, y, x in zip(*(c.to_pylist() for c in b.columns)))
         y = np.array([r[1] for r in found])
-        net = fit(np.array([np.frombuffer(r[2], np.float32) for r in found]), y) if len(set(y.tolist())) == 2 else None
+        net = fit(chosen(np.array([np.frombuffer(r[2], np.float32) for r in found]), kinds), y) if len(set(y.tolist())) == 2 else None
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], names=["net"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
+    kind = docs.schema["doc_id"].dataType.simpleString()
     made = map_arrow(taught.select("doc_id", "y", "text"), features, f"doc_id {kind}, y int, x binary")
     net = map_arrow(made.repartition(1), learn, "net binary").collect()  # the bounded sample's features meet in one task
-    return {"context": context, "net": pickle.loads(net[0].net) if net else None}
+    shared.unpersist()
+    return {"context": context, "net": pickle.loads(net[0].net) if net else None, "kinds": kinds}
+
+
+def chosen(x: np.ndarray, kinds: tuple[str, ...]) -> np.ndarray:
+    return np.concatenate([x[:, KINDS[k]] for k in kinds], axis=1)
 
 
-def score(docs: DataFrame, model: dict, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns `keep` (all, unless given) and score, the probability of label 1."""
+def score(docs: DataFrame, model: dict, text_col: str = "text", keep: list[str] | None = None, name: str = "score") -> DataFrame:
+    """The columns `keep` (all, unless given) and `name`, the probability of label 1; no kept column may have that name."""
     keep = docs.columns if keep is None else keep
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    own = free(keep, "text_to_score")
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         pool = Pooler(model["context"])
         for b in rows:
             x = pool.features(b.column(b.num_columns - 1))
-            p = probability(model["net"], x) if model["net"] and len(x) else np.full(len(x), 0.5)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(p, pa.float64())], names=[*keep, "_score"])
+            p = probability(model["net"], chosen(x, model["kinds"])) if model["net"] and len(x) else np.full(len(x), 0.5)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(p, pa.float64())], names=[*keep, name])
 
-    return map_arrow(docs.select(*keep, F.col(text_col).alias("_text")), run, f"{kinds}, _score double")
+    return map_arrow(docs.select(*keep, F.col(text_col).alias(own)), run, f"{schema}, `{name}` double")
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -210,4 +252,4 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs, table(spark, sf_dir, "labels"), ~held_out())
     out = score(docs, model, keep=["doc_id"])
-    return out.select("doc_id", held_out().alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted"))
+    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
