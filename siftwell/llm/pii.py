@@ -1,20 +1,28 @@
 """8. PII: patterns propose spans, checksums confirm them, nearby context words adjust the score.
 
 The base kinds are email, ip, card and phone, each leftmost and non-overlapping in its kind. The method
-adds what the base patterns drop or don't know: card and phone numbers that a neighbouring number hid,
-IBANs (mod 97), national ids, phones without a country code, access keys and credentials. Each kind
-starts from a score; a context word within `NEAR` characters before the span raises it; spans under
-`ACCEPT` are dropped, those failing a checksum never pass. Base spans stay.
-
-Null and empty texts: no spans. Texts are read whole; offsets are code points. Repeated rows: a row
-each. Empty table: no rows.
+adds what the base patterns drop or don't know: card and phone numbers that a neighbouring number hid, phones
+without a country code, IBANs (mod 97), national ids, IPv6 addresses, access keys, tokens of known providers, JSON
+web tokens, private keys and credentials. Each kind starts from a score; within `NEAR` characters, a word that goes
+with the kind raises it by STEP, and one that speaks against it (an order number, a version, a sample) lowers it.
+Added spans under `ACCEPT` are dropped, those failing a checksum never pass; of those that overlap, the one with the
+higher score stays, then the earlier one. Base spans stay, whatever their score.
+
+Null and empty texts: no spans. Texts are read whole; offsets are code points. Repeated rows and ids: a row
+each. Other columns are ignored by find_pii, whatever their names, and pass through redact_pii. Very long texts take
+a few times their size. Empty table: no rows.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import ipaddress
+import json
 import re
-from collections.abc import Iterator
+from bisect import bisect_right, insort
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +30,8 @@ from pyspark.sql import functions as F
 
 from siftwell.llm.common import map_arrow, table
 
-KINDS = ["email", "ip", "card", "phone", "iban", "national_id", "access_key", "credential"]
-NEAR, ACCEPT = 40, 0.5
+KINDS = ["email", "ip", "card", "phone", "iban", "national_id", "ipv6", "access_key", "provider_token", "web_token", "private_key", "credential"]
+NEAR, ACCEPT, STEP = 40, 0.5, 0.25
 
 _LOCAL_SET = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -33,14 +41,17 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NO_DIGIT = re.compile(r"[^0-9]+")
 
-#: Added proposals: kind, pattern (the span is group 1 if there is one), validator, score, context words.
 _CARD_ALONE = re.compile(r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])")
 _PHONE_ALONE = re.compile(r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}(?![0-9])")
 _PHONE_LOCAL = re.compile(r"(?<![0-9+(.-])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9.-])")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _NATIONAL = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-_ACCESS = re.compile(r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])")
-_CREDENTIAL = re.compile(r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b)[\"']?\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9+/_.-]{8,})")
+_IPV6 = re.compile(r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![0-9A-Za-z:.])")
+_ACCESS = re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])")
+_PROVIDER = re.compile(r"(?<![A-Za-z0-9])(?:gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}|[sr]k_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|npm_[A-Za-z0-9]{36})(?![A-Za-z0-9])")
+_WEB_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]*")
+_PRIVATE_KEY = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:[A-Za-z0-9+/=\s:,.-]*?-----END (?:[A-Z]+ )*PRIVATE KEY-----)?")
+_CREDENTIAL = re.compile(r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b)[\"']?\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9+/_.!@#$%^&*-]{8,})")
 
 
 def luhn(digits: str) -> bool:
@@ -73,19 +84,75 @@ def is_national(text: str) -> bool:
     return a not in ("000", "666") and a < "900" and b != "00" and c != "0000"
 
 
+def is_ipv6(text: str) -> bool:
+    try:
+        found = ipaddress.IPv6Address(text)
+    except ValueError:
+        return False
+    return text.count(":") > 2 and not found.is_unspecified and not found.is_loopback
+
+
+def is_web_token(text: str) -> bool:
+    head = text.split(".")[0]
+    try:
+        found = json.loads(base64.urlsafe_b64decode(head + "=" * (-len(head) % 4)))
+    except ValueError:
+        return False
+    return isinstance(found, dict) and "alg" in found
+
+
 def is_secret(text: str) -> bool:
-    return bool(_DIGIT.search(text)) and len(set(text)) >= 5
+    """Varied enough for no word: digits or signs among letters, or both cases inside it."""
+    mixed = bool(_DIGIT.search(text)) or bool(re.search(r"[a-z][A-Z]", text)) or bool(re.search(r"[A-Za-z][+/_!@#$%^&*][A-Za-z]", text))
+    return mixed and len(set(text)) >= 5
+
+
+class Rule(NamedTuple):
+    """A kind's proposals (the span is group 1 where the pattern has one), what confirms them, and what speaks for and against them."""
+
+    kind: int
+    pattern: re.Pattern
+    right: Callable[[str], bool]
+    score: float
+    needs: str  # a text without it has none
+    raising: re.Pattern
+    lowering: re.Pattern
+
+
+def words(*found: str) -> re.Pattern:
+    return re.compile(rf"(?<![^\W_])(?:{'|'.join(found)})(?![^\W_])") if found else re.compile(r"(?!)")
 
 
-ADDED = [
-    ("card", _CARD_ALONE, is_card, 0.6, ("card", "visa", "credit", "carte", "karte", "tarjeta")),
-    ("phone", _PHONE_ALONE, is_phone, 0.6, ("phone", "tel", "call", "mobile", "fax")),
-    ("phone", _PHONE_LOCAL, lambda x: True, 0.3, ("phone", "tel", "call", "mobile", "fax")),
-    ("iban", _IBAN, is_iban, 0.8, ("iban", "account", "bank", "konto", "compte", "cuenta")),
-    ("national_id", _NATIONAL, is_national, 0.3, ("ssn", "social", "security", "national")),
-    ("access_key", _ACCESS, lambda x: True, 0.8, ("aws", "key", "access")),
-    ("credential", _CREDENTIAL, is_secret, 0.6, ()),
-]
+_SAMPLE = ("example", "sample", "dummy", "placeholder", "fictitious", "fake")
+_NUMBER = ("order", "invoice", "tracking", "isbn", "serial", "reference", "article", "version", "release")
+_ANY = lambda x: True
+_CONTEXT = {
+    "email": (words("e-?mail", "mail", "contact", "write"), words("noreply", "no-reply", *_SAMPLE)),
+    "ip": (words("ip", "address", "host", "server", "client", "login"), words("version", "release", "section", "chapter", "build", *_SAMPLE)),
+    "card": (words("card", "visa", "mastercard", "credit", "debit", "payment", "carte", "karte", "tarjeta"), words(*_NUMBER, *_SAMPLE)),
+    "phone": (words("phone", "tel", "call", "mobile", "fax", "telefon", "tel[eé]fono", "t[eé]l[eé]phone", "whatsapp"), words(*_NUMBER, *_SAMPLE)),
+    "iban": (words("iban", "account", "bank", "konto", "compte", "cuenta"), words(*_SAMPLE)),
+    "national_id": (words("ssn", "social", "security", "national", "taxpayer"), words(*_NUMBER, *_SAMPLE)),
+    "ipv6": (words("ip", "ipv6", "address", "host", "server", "client"), words("mac", "time", "ratio", *_SAMPLE)),
+    "access_key": (words("aws", "key", "access", "secret"), words(*_SAMPLE)),
+    "provider_token": (words("token", "key", "secret", "auth"), words(*_SAMPLE)),
+    "web_token": (words("token", "bearer", "jwt", "auth", "authorization"), words(*_SAMPLE)),
+    "private_key": (words("key", "ssh", "rsa", "pem"), words(*_SAMPLE)),
+    "credential": (words("login", "user", "username", "account", "credentials?"), words("your", "changeme", "choose", *_SAMPLE)),
+}
+BASE_SCORES = (0.8, 0.6, 0.8, 0.7)
+
+
+def _rule(kind: str, pattern: re.Pattern, right: Callable[[str], bool], score: float, needs: str = "") -> Rule:
+    return Rule(KINDS.index(kind), pattern, right, score, needs, *_CONTEXT[kind])
+
+
+RULES = [
+    _rule("card", _CARD_ALONE, is_card, 0.6), _rule("phone", _PHONE_ALONE, is_phone, 0.6, "+"), _rule("phone", _PHONE_LOCAL, _ANY, 0.3),
+    _rule("iban", _IBAN, is_iban, 0.8), _rule("national_id", _NATIONAL, is_national, 0.3, "-"), _rule("ipv6", _IPV6, is_ipv6, 0.6, ":"),
+    _rule("access_key", _ACCESS, _ANY, 0.8, "IA"), _rule("provider_token", _PROVIDER, _ANY, 0.9), _rule("web_token", _WEB_TOKEN, is_web_token, 0.8, "eyJ"),
+    _rule("private_key", _PRIVATE_KEY, _ANY, 0.9, "PRIVATE KEY"), _rule("credential", _CREDENTIAL, is_secret, 0.6),
+]
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -110,26 +177,50 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def adjusted(text: str, a: int, b: int, score: float, raising: re.Pattern, lowering: re.Pattern) -> float:
+    """The score after a look at the words to either side."""
+    near = f"{text[max(0, a - NEAR) : a]} {text[b : b + NEAR]}".lower()
+    score += STEP * (raising.search(near) is not None) - STEP * (lowering.search(near) is not None)
+    return round(min(1.0, max(0.0, score)), 2)
+
+
 def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
-    if not _DIGIT.search(text):
-        return []
-    taken, out = [(a, b) for a, _, b in base], []
-    for kind, pattern, right, score, words in ADDED:
-        for m in pattern.finditer(text):
-            a, b = m.span(m.lastindex or 0)
-            if right(text[a:b]) and not any(a < y and x < b for x, y in taken):
-                near = text[max(0, a - NEAR) : a].lower() if words else ""
-                s = min(1.0, score + 0.3 * any(w in near for w in words))
-                if s >= ACCEPT:
-                    out.append((a, KINDS.index(kind), b, s))
-                    taken.append((a, b))
+    """(start, kind, end, score) of what the method adds; no two overlap, nor do they overlap base spans."""
+    found = []
+    for rule in RULES:
+        if rule.needs in text:
+            for m in rule.pattern.finditer(text):
+                a, b = m.span(m.lastindex or 0)
+                if rule.right(text[a:b]):
+                    s = adjusted(text, a, b, rule.score, rule.raising, rule.lowering)
+                    if s >= ACCEPT:
+                        found.append((-s, a, rule.kind, b))
+    taken: list[tuple[int, int]] = []  # apart from each other, sorted
+    for a, _, b in base:
+        if taken and a < taken[-1][1]:
+            taken[-1] = taken[-1][0], max(b, taken[-1][1])
+        else:
+            taken.append((a, b))
+    out = []
+    for s, a, kind, b in sorted(found):
+        i = bisect_right(taken, (a, len(text) + 1))
+        if (i == 0 or taken[i - 1][1] <= a) and (i == len(taken) or taken[i][0] >= b):
+            insort(taken, (a, b))
+            out.append((a, kind, b, -s))
     return out
 
 
-def spans(text: str | None) -> tuple[list, list]:
+def scored_spans(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, float]]]:
+    """(base spans: start, kind, end; all spans with their score, sorted)."""
     text = text or ""
     base = base_spans(text)
-    return base, sorted(base + [x[:3] for x in added_spans(text, base)])
+    scored = [(a, k, b, adjusted(text, a, b, BASE_SCORES[k], *_CONTEXT[KINDS[k]])) for a, k, b in base]
+    return base, sorted(scored + added_spans(text, base))
+
+
+def spans(text: str | None) -> tuple[list, list]:
+    base, every = scored_spans(text)
+    return base, [x[:3] for x in every]
 
 
 def joined(found: list[tuple[int, int, int]]) -> str:
@@ -149,21 +240,25 @@ def redact(text: str | None) -> str | None:
 
 
 def find_pii(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans (kind:start:end by start, then kind)."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans (kind:start:end by start, then kind), their number
+    n_spans, their scores in that order and the highest, top_score (0 without any)."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows:
-            counts, shas, every = [[], [], [], []], [], []
+            counts, shas, every, n, scores, top = [[], [], [], []], [], [], [], [], []
             for text in b.column(1):
-                base, found = spans(text.as_py())
+                base, found = scored_spans(text.as_py())
                 for k in range(4):
                     counts[k].append(sum(x[1] == k for x in base))
                 shas.append(hashlib.sha256(joined(base).encode()).hexdigest())
-                every.append(joined(found))
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(shas, pa.string()), pa.array(every, pa.string())], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+                every.append(joined([x[:3] for x in found]))
+                n.append(len(found))
+                scores.append(",".join(f"{x[3]:.2f}" for x in found))
+                top.append(max((x[3] for x in found), default=0.0))
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, pa.int64()) for c in counts), *(pa.array(x, pa.string()) for x in (shas, every)), pa.array(n, pa.int64()), pa.array(scores, pa.string()), pa.array(top, pa.float64())], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_spans", "scores", "top_score"])
 
-    return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), run, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return map_arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), run, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long, scores string, top_score double")
 
 
 def redact_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
