@@ -13,8 +13,10 @@ weigh together, and has a cycle of its own that deals its slots to them by the s
 until few enough are left. Release and deadline are then those of the lane's slots, carried upwards.
 
 No row is dropped or repeated: the decision is the order. Null sources are a source of their own, and
-so are null ids; repeated rows follow each other by hash. Sources that given weights do not name have the
-smallest of them. Empty table: no rows. All of it is DataFrame and SQL functions.
+so are null ids; repeated rows and ids follow each other by a hash of the row, and rows that are alike are dealt
+apart, so none of them makes a large task. Sources that given weights do not name have the smallest of them. Texts
+of any length only travel along. The schedule's columns have names that no column has: underscores are added
+(`schedule_names`). Empty table: no rows. All of it is DataFrame and SQL functions.
 """
 
 from __future__ import annotations
@@ -22,8 +24,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.llm.common import materialize, table, with_rank
+from siftwell.llm.common import bucket_rows, free, lengthened, materialize, small, table, with_rank
 
+SCHEDULE = ("block", "release", "deadline", "slot", "place")
 LANE = 64  # sources of a lane
 OWN = 8  # slots that a source of average weight has in its lane, and that one outside of lanes has at least
 
@@ -33,10 +36,14 @@ def source_weights(docs: DataFrame, weights: dict[str | None, float] | None, sou
     found = docs.groupBy(source_key(source_col).alias("_key")).count()
     if not weights:
         return found.select("_key", F.pow("count", F.lit(power)).alias("_w"))
-    given = docs.sparkSession.createDataFrame([("" if s is None else f"={s}", float(w)) for s, w in weights.items()], "_key string, _w double")
+    given = literal_rows(docs.sparkSession, [F.struct(F.lit("" if s is None else f"={s}").alias("_key"), F.lit(float(w)).alias("_w")) for s, w in weights.items()])
     return found.select("_key").join(given, "_key", "full").select("_key", F.coalesce("_w", F.lit(float(min(weights.values())))).alias("_w"))
 
 
+def literal_rows(spark: SparkSession, rows: list[Column]) -> DataFrame:
+    return spark.range(1).select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+
+
 def source_key(source_col: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))
 
@@ -82,7 +89,7 @@ def levels(weights: DataFrame, cycle: int, seed: int) -> tuple[DataFrame, list[D
             members, lanes = members.withColumn("_lane", F.expr(f"_lane DIV {LANE}")), -(-lanes // LANE)
         top += [tuple(r) for r in members.select("_key", "_w").collect()]  # `cycle` // 16 at most, or one
     shares = slots(dict(top), cycle)
-    one = spark.createDataFrame([("", [(k, 0.0) for k, _ in shares], [n for _, n in shares])], "_up string, m array<struct<_key string, _w double>>, a array<bigint>")
+    one = spark.range(1).select(F.lit("").alias("_up"), F.array(*[F.struct(F.lit(k).alias("_key"), F.lit(0.0).alias("_w")) for k, _ in shares]).alias("m"), F.array(*[F.lit(n).cast("long") for _, n in shares]).alias("a"))
     return edf_cycles(one), nested
 
 
@@ -93,26 +100,40 @@ def climbed(rows: DataFrame, turns: DataFrame) -> DataFrame:
     return up.withColumn("slot", F.expr("slot DIV _a * _cycle + element_at(_turns, CAST(slot % _a AS INT) + 1)")).withColumn("_key", F.col("_up")).drop("_a", "_turns", "_cycle", "_up")
 
 
+def schedule_names(columns: list[str]) -> dict[str, str]:
+    """What the columns of SCHEDULE are called beside `columns`."""
+    return {c: free(columns, c) for c in SCHEDULE}
+
+
+def scheduled(columns: list[str], name: str) -> str:
+    """The column of mix's result, whose columns are given, that is the schedule's `name`."""
+    return lengthened(columns, name)[-1]
+
+
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block: int = 8, cycle: int = 1000, seed: int = 1, source_col: str = "source", id_col: str = "doc_id") -> DataFrame:
     """All rows and columns of `docs` with block, release, deadline, slot and place (in its block).
 
     The mix is the order by slot and place.
     """
+    own, names = docs.columns, schedule_names(docs.columns)
     sources = materialize(source_weights(docs, weights, source_col), "sources")
     if not weights and sources.isEmpty():
-        return docs.selectExpr("*", *(f"0L AS {c}" for c in ("block", "release", "deadline", "slot", "place")))
+        return docs.select("*", *[F.lit(0).cast("long").alias(c) for c in names.values()])
     top, nested = levels(sources, cycle, seed)
-    keyed = docs.select(*[c for c in docs.columns if c not in ("block", "release", "deadline", "slot", "place")], source_key(source_col).alias("_key"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("_hash"), F.xxhash64(*[docs[c] for c in docs.columns]).alias("_row_hash"))
-    ranked = with_rank(keyed, ["_key"], [F.col("_hash"), F.col(id_col), F.col("_row_hash")], "_rank", max(1, int(docs.select(source_col).count()) // 20_000))
-    ranked = ranked.withColumn("block", F.expr(f"_rank DIV {block}")).withColumn("place", F.col("_rank") % block).withColumns({"slot": F.col("block"), "release": F.col("block"), "deadline": F.col("block") + 1})
-    top = F.broadcast(top)
+    # The row's columns travel as one, so that none of the names below can meet theirs.
+    keyed = docs.select(source_key(source_col).alias("_key"), F.xxhash64(F.lit(seed), id_col, *own).alias("hash"), F.pmod(F.monotonically_increasing_id(), F.lit(64)).alias("copy"), F.struct(*own).alias("of"))
+    keyed = keyed.withColumn("hash", F.xxhash64("hash", "copy"))
+    rows = docs.select(source_col).count()
+    ranked = with_rank(keyed, ["_key"], [F.col("hash"), F.col("copy")], "rank", 1 + rows // bucket_rows(rows), "ranked")
+    ranked = ranked.select("_key", "of", F.expr(f"rank DIV {block}").alias("block"), (F.col("rank") % block).alias("place")).withColumns({"slot": F.col("block"), "release": F.col("block"), "deadline": F.col("block") + 1})
+    top = small(top, 64 + 16 * cycle)  # a row for each of `cycle` // 2 sources and lanes at most
     out = climbed(ranked, top)
     if nested:
-        tail = ranked.join(F.broadcast(top.select("_key")), "_key", "left_anti")
+        tail = ranked.join(small(top.select("_key")), "_key", "left_anti")
         for turns in nested:
             tail = climbed(tail, turns)
         out = out.unionByName(climbed(tail, top))
-    return out.select(*[c for c in keyed.columns if c not in ("_key", "_hash", "_row_hash")], "block", "release", "deadline", "slot", "place")
+    return out.select(*[F.col("of")[c].alias(c) for c in own], *[F.col(c).alias(names[c]) for c in SCHEDULE])
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
