@@ -1,12 +1,73 @@
-"""The queries of this subpackage and their SQL."""
+"""The queries of this subpackage and their SQL: the operators', and what of their results SQL can tell."""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siftwell.llm import jaccard_join, lm_scoring, mixing, neighbours, packing, pii, quality_classifier, quality_rules, sharding, token_counts
 
+
+def sharding_law(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row about op2: its law, rows, bytes, shards, whether counts are at most one apart and slots gapless."""
+    shards = sharding.op2_sharding(spark, sf_dir).groupBy("law", "shard").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.min("slot").alias("low"), F.max("slot").alias("high"), F.count_distinct("slot").alias("slots"))
+    whole = F.bool_and((F.col("low") == 0) & (F.col("high") == F.col("n") - 1) & (F.col("slots") == F.col("n")))
+    return shards.groupBy("law").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.count("*").alias("shards"), (F.max("n") - F.min("n") <= 1).alias("even"), whole.alias("gapless"))
+
+
+def pii_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.op8_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
+
+
+def mixing_law(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each source: its rows, how many are in their window, how many places of the schedule they take."""
+    out = mixing.op9_mixing(spark, sf_dir)
+    within = (F.col("release") <= F.col("slot")) & (F.col("slot") < F.col("deadline"))
+    return out.groupBy("source").agg(F.count("*").alias("n"), F.count_if(within).alias("within"), F.count_distinct("slot", "place").alias("places"))
+
+
+def lm_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op10's counts and, in units of 10^-4, its base score."""
+    out = lm_scoring.op10_lm_scoring(spark, sf_dir)
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round(10_000 * F.col("base_score")).cast("long").alias("base"))
+
+
+SHARDING_SQL = "SELECT 'rows' AS law, count(*) AS n, CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS bytes, least(count(*), 8) AS shards, true AS even, true AS gapless FROM documents HAVING count(*) > 0"
+MIXING_SQL = "SELECT source, count(*) AS n, count(*) AS within, count(*) AS places FROM documents GROUP BY source"
+PII_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+f AS (SELECT doc_id, regexp_extract_all(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') AS e, regexp_extract_all(t, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)') AS i,
+  list_transform(regexp_extract_all(t, '[0-9]([\x20-]?[0-9])+'), lambda x: regexp_replace(x, '[^0-9]', '', 'g')) AS c,
+  list_transform(regexp_extract_all(t, '\+[0-9][\x20().0-9-]+[0-9]'), lambda x: length(regexp_replace(x, '[^0-9]', '', 'g'))) AS p FROM d)
+SELECT doc_id, CAST(len(e) AS BIGINT) AS n_email,
+  CAST(len(list_filter(i, lambda x: list_max(list_transform(string_split(x, '.'), lambda y: coalesce(TRY_CAST(y AS BIGINT), 999))) <= 255)) AS BIGINT) AS n_ip,
+  CAST(len(list_filter(c, lambda x: length(x) BETWEEN 12 AND 19 AND list_sum(list_transform(generate_series(1, length(x)),
+    lambda k: CASE WHEN k % 2 = 1 THEN CAST(x[length(x) + 1 - k] AS INT) ELSE CAST(x[length(x) + 1 - k] AS INT) * 2 - CASE WHEN CAST(x[length(x) + 1 - k] AS INT) > 4 THEN 9 ELSE 0 END END)) % 10 = 0)) AS BIGINT) AS n_card,
+  CAST(len(list_filter(p, lambda x: x BETWEEN 9 AND 15)) AS BIGINT) AS n_phone FROM f"""
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+#: crc32 of the id's digits: a byte is mixed in, then eight shifts.
+_CRC32 = "xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [256 + ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0])), lambda a, s: CASE WHEN s >= 256 THEN xor(a, s - 256) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)"
+LM_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_CRC32} % 7 = 2, false) AS held_out, {_WORDS} || ['</>end </>'] AS ws FROM documents),
+tok AS (SELECT r, held_out, unnest(ws) AS w FROM d), voc AS (SELECT w, count(*) AS c FROM tok WHERE NOT held_out GROUP BY w), z AS (SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS v FROM voc),
+s AS (SELECT r, count(*) AS n_tokens, count(c) AS n_known, sum(log10((coalesce(c, 0) + 1) / (n + v + 1)::DOUBLE)) AS b FROM tok LEFT JOIN voc USING (w) CROSS JOIN z GROUP BY r)
+SELECT doc_id, held_out, n_tokens, n_known, n AS train_tokens, CAST(round(10000 * b) AS BIGINT) AS base FROM d JOIN s USING (r) CROSS JOIN z"""
+JACCARD_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, sh FROM (SELECT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(generate_series(1, len(ws) - 4), lambda i: array_to_string(ws[i : i + 4], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM n UNION SELECT reach.x, e.y FROM reach JOIN e ON e.x = reach.y)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.c, d.doc_id) AS component_id FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x AS doc_id, min(y) AS c FROM reach GROUP BY x) m USING (doc_id)"""
+
 QUERIES = {
     f.__name__: f
     for f in (
         token_counts.op1_token_counts, sharding.op2_sharding, packing.op3_best_fit_packing, quality_rules.op4_quality_rules, quality_classifier.op5_quality_classifier,
         jaccard_join.op6_jaccard_join, neighbours.op7_nearest_neighbours, pii.op8_pii, mixing.op9_mixing, lm_scoring.op10_lm_scoring,
+        sharding_law, pii_base_counts, mixing_law, lm_base_counts,
     )
 }
-SQL = {"op4_quality_rules": quality_rules.OP4_SQL}
+SQL = {
+    "op4_quality_rules": quality_rules.OP4_SQL, "op6_jaccard_join": JACCARD_SQL,
+    "sharding_law": SHARDING_SQL, "pii_base_counts": PII_SQL, "mixing_law": MIXING_SQL, "lm_base_counts": LM_SQL,
+}
