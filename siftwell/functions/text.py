@@ -216,7 +216,7 @@ def js_string(x: Column | str, key: str) -> Column:  # I-28
 
 
 def paragraphs(html: Column | str) -> Column:  # I-30
-    t = F.regexp_replace(F.regexp_replace(_c(html), r"(?i)</p\s*>|<br\s*/?>", "\n"), "<[^>]+>", "")
-    for entity, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        t = F.replace(t, F.lit(entity), F.lit(sign))
+    from siftwell.functions.security import unescape
+
+    t = unescape(F.regexp_replace(F.regexp_replace(_c(html), r"(?i)</p\s*>|<br\s*/?>", "\n"), "<[^>]+>", ""))
     return F.array_join(F.filter(F.transform(F.split(t, "\n"), lambda p: F.trim(F.regexp_replace(p, SPACE, " "))), lambda p: p != ""), "\n")
