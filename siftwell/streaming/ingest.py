@@ -1,12 +1,15 @@
 """Incremental ingest (O-1 to O-3): landing files to the change-data merge, micro-batch by micro-batch.
 
-A batch writes its table version and its snapshots under its own number and then moves a pointer, so a
-retried batch overwrites its own half-written files and readers see whole versions.
+A batch writes a whole new table version into a folder of its own and its snapshots under its stream and number, and
+then moves a pointer by one rename. The pointer says which batch of which stream it holds, so a batch that is tried
+again after the pointer moved does nothing, and one tried again before starts from the version that stood; readers see
+whole versions at any time. The version before the current one stays for readers that are at it; older ones go.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,23 +21,38 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    return spark.read.text(path, wholetext=True).head().value if fs.exists(p) else None
+
+
+def current(spark: SparkSession, table: str) -> dict:
+    """What the pointer says: version, folder, the folder before, stream and batch; version -1 without one."""
+    found = _text(spark, f"{table}_pointer/current.json")
+    return json.loads(found) if found else {"version": -1, "folder": None, "before": None, "stream": None, "batch": -1}
+
+
 def current_version(spark: SparkSession, table: str) -> int:
-    fs, p = _fs(spark, f"{table}_pointer/current.json")
-    if not fs.exists(p):
-        return -1
-    return json.loads(spark.read.text(f"{table}_pointer/current.json", wholetext=True).head().value)["version"]
+    return current(spark, table)["version"]
 
 
-def _point(spark: SparkSession, table: str, version: int) -> None:
-    fs, p = _fs(spark, f"{table}_pointer/current.json")
-    out = fs.create(p, True)
-    out.write(bytearray(json.dumps({"version": version}).encode()))
+def _point(spark: SparkSession, table: str, state: dict) -> None:
+    """The new pointer is written beside the old one and renamed over it."""
+    jvm = spark.sparkContext._jvm
+    fs, fresh = _fs(spark, f"{table}_pointer/{uuid.uuid4().hex}.tmp")
+    out = fs.create(fresh, True)
+    out.write(bytearray(json.dumps(state).encode()))
     out.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    to = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(f"{table}_pointer/current.json"))
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(fs.makeQualified(fresh), to, how)
 
 
 def read(spark: SparkSession, table: str, schema) -> DataFrame:
-    v = current_version(spark, table)
-    return spark.createDataFrame([], schema) if v < 0 else spark.read.schema(schema).parquet(f"{table}/v={v}")
+    folder = current(spark, table)["folder"]
+    return spark.createDataFrame([], schema) if folder is None else spark.read.schema(schema).parquet(f"{table}/{folder}")
 
 
 def ingest(spark: SparkSession, landing: str, schema, table: str, spec: EntitySpec, checkpoint: str, files_per_trigger: int = 100, seq: str | None = None):
@@ -45,15 +63,23 @@ def ingest(spark: SparkSession, landing: str, schema, table: str, spec: EntitySp
     """
 
     def merge(batch: DataFrame, number: int) -> None:
+        was, stream = current(spark, table), json.loads(_text(spark, f"{checkpoint}/metadata"))["id"]
+        if was["stream"] == stream and was["batch"] >= number:
+            return  # the pointer moved before the stream could note it
         if not seq:
             batch = batch.distinct()
             named = batch if spec.null_safe else batch.dropna(subset=list(spec.keys))
             if not named.groupBy(*spec.keys).count().filter("count > 1").isEmpty():
                 raise ValueError("a key has differing rows in one batch: give the column that orders them as seq")
+        folder = f"v={was['version'] + 1}-{uuid.uuid4().hex}"
         after, log = apply_changes(read(spark, table, schema), batch, spec, spec.table, seq)
-        after.write.mode("overwrite").parquet(f"{table}/v={number}")
-        log.write.mode("overwrite").parquet(f"{table}_snapshots/batch={number}")
-        _point(spark, table, number)
+        after.write.parquet(f"{table}/{folder}")
+        log.write.mode("overwrite").parquet(f"{table}_snapshots/stream={stream}/batch={number}")
+        _point(spark, table, {"version": was["version"] + 1, "folder": folder, "before": was["folder"], "stream": stream, "batch": number})
+        fs, top = _fs(spark, table)
+        for found in fs.listStatus(top):
+            if found.getPath().getName() not in (folder, was["folder"]):
+                fs.delete(found.getPath(), True)
 
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
     run = source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

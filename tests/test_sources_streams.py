@@ -33,6 +33,33 @@ def test_ingest(spark, tmp_path):
     assert sorted(r.change_type for r in log.collect()) == ["new", "new", "new", "updated"]
 
 
+def test_ingest_retries(spark, tmp_path, monkeypatch):
+    """A batch tried again, whether the crash came before or after the pointer moved; and a new stream's first batch."""
+    schema, spec = "k long, v string", EntitySpec("things", ("k",))
+    land, table, check = f"{tmp_path}/land", f"{tmp_path}/table", f"{tmp_path}/check"
+    rows = lambda: sorted(map(tuple, ingest.read(spark, table, schema).collect()))
+    spark.createDataFrame([(1, "a"), (2, "b")], schema).coalesce(1).write.parquet(land)
+    move = ingest._point
+    monkeypatch.setattr(ingest, "_point", lambda *a: 1 / 0)
+    with pytest.raises(Exception):  # noqa: B017  before
+        ingest.ingest(spark, land, schema, table, spec, check)
+    assert rows() == [] and ingest.current_version(spark, table) == -1
+    monkeypatch.setattr(ingest, "_point", move)
+    ingest.ingest(spark, land, schema, table, spec, check)
+    assert rows() == [(1, "a"), (2, "b")]
+    for p in (tmp_path / "check" / "commits").iterdir():  # after
+        if p.name in ("0", ".0.crc"):
+            p.unlink()
+    ingest.ingest(spark, land, schema, table, spec, check)
+    assert rows() == [(1, "a"), (2, "b")] and ingest.current_version(spark, table) == 0
+    spark.createDataFrame([(2, "c")], schema).coalesce(1).write.mode("append").parquet(land)
+    ingest.ingest(spark, land, schema, table, spec, check)
+    assert rows() == [(1, "a"), (2, "c")] and spark.read.parquet(f"{table}_snapshots").count() == 3
+    spark.createDataFrame([(3, "d")], schema).coalesce(1).write.parquet(f"{tmp_path}/other")
+    ingest.ingest(spark, f"{tmp_path}/other", schema, table, spec, f"{tmp_path}/check2")
+    assert rows() == [(1, "a"), (2, "c"), (3, "d")] and len(list((tmp_path / "table").iterdir())) == 2
+
+
 def test_ingest_sequence(spark, tmp_path):
     schema = "k long, v string, at long"
     land, table = f"{tmp_path}/land", f"{tmp_path}/table"
