@@ -27,8 +27,19 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(r, on, how).drop(*[f"_{k}" for k in keys])
 
 
-def asof_floor(probes: DataFrame, points: DataFrame, keys: list[str], by: str, value: str, out: str) -> DataFrame:
-    """D-7: for each probe the value at the greatest point <= its `by`, within null-safe keys. One shuffle, no range join."""
+def asof_floor(probes: DataFrame, points: DataFrame, keys: list[str], by: str, value: str, out: str, most: int = BROADCAST_ROWS) -> DataFrame:
+    """D-7: for each probe the value at the greatest point <= its `by`, within null-safe keys. No range join.
+
+    Up to `most` points, counted first, travel as one sorted list a key, so a key with many probes makes no large task;
+    beyond, probes and points are sorted together by key.
+    """
+    known = points.filter(F.col(by).isNotNull() & F.col(value).isNotNull())
+    if known.limit(most + 1).count() <= most:
+        lists = known.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.sort_array(F.collect_list(F.struct(F.col(by).alias("b"), F.col(value).alias("v")))).alias("_points"))
+        on = reduce(lambda a, b: a & b, [probes[k].eqNullSafe(lists[f"_{k}"]) for k in keys])
+        joined = probes.join(F.broadcast(lists), on, "left")
+        upto = F.filter("_points", lambda x: x.b <= F.col(by))
+        return joined.withColumn(out, F.try_element_at(upto, F.lit(-1)).v).drop("_points", *[f"_{k}" for k in keys])
     cols = [c for c in probes.columns if c not in (*keys, by)]
     left = probes.select(*keys, by, F.lit(1).alias("_side"), F.lit(None).cast(points.schema[value].dataType).alias("_v"), F.struct(*[F.col(c) for c in cols]).alias("_row") if cols else F.lit(None).alias("_row"))
     right = points.filter(F.col(by).isNotNull()).select(*keys, by, F.lit(0).alias("_side"), F.col(value).alias("_v"), F.lit(None).cast(left.schema["_row"].dataType).alias("_row"))
@@ -63,10 +74,22 @@ def prefix_lookup(dim: DataFrame, code: str, ident: str, size: int, out: str = "
 
 
 def longest_contained(texts: DataFrame, text: str, ident: list[str], names: DataFrame, name: str, out: str) -> DataFrame:
-    """D-16: the longest name within the text, ties to the smaller; null if none. Names are a checked small table."""
+    """D-16: the longest name within the text, ties to the smaller; null if none.
+
+    Texts are cut into the pieces that have a name's length (there are as many lengths as the longest name has
+    characters, at most), and joined on equality: work grows with the texts, not with texts times names.
+    """
     held = names.select(F.col(name).alias("_name")).filter(F.length("_name") > 0).distinct()
+    lengths = sorted(r.n for r in held.select(F.length("_name").alias("n")).distinct().collect())
+    size = F.length(F.col(text))
+
+    def of_length(n: int) -> Column:
+        return F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(F.col(text), i, F.lit(n))))
+
+    pieces = [of_length(n) for n in lengths]
+    cut = texts.select(*ident, F.explode(F.array_distinct(F.flatten(F.array_compact(F.array(*pieces))))).alias("_name")) if pieces else texts.select(*ident, F.lit("").alias("_name")).limit(0)
     most = F.max(F.struct(F.length("_name").alias("n"), F.transform(F.split("_name", ""), lambda c: -F.ascii(c)).alias("k"), "_name"))
-    hits = texts.join(checked_broadcast(held, 10_000), F.contains(F.col(text), F.col("_name"))).groupBy(*ident).agg(most.alias("_m"))
+    hits = cut.join(checked_broadcast(held), "_name").groupBy(*ident).agg(most.alias("_m"))
     return texts.join(hits.select(*ident, F.col("_m._name").alias(out)), ident, "left")
 
 
@@ -87,7 +110,7 @@ def orphans(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> Da
 
 def split_or_join(facts: DataFrame, rows: DataFrame, ident: str, name: str, scope: list[str]) -> DataFrame:
     """D-14: by id, and by name those without an id that have no identified sibling of the same scope and name."""
-    by_id = facts.join(rows.filter(F.col(ident).isNotNull()), [*scope, ident]).drop(rows[name])
+    by_id = facts.join(rows.filter(F.col(ident).isNotNull()).drop(name), [*scope, ident])
     known = rows.filter(F.col(ident).isNotNull()).select(*scope, name).distinct()
     loose = rows.filter(F.col(ident).isNull()).join(known, [*scope, name], "left_anti").drop(ident)
     return by_id.unionByName(facts.join(loose, [*scope, name]), allowMissingColumns=True)

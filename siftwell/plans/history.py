@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,20 +60,37 @@ def match_history(plans: DataFrame, past: DataFrame, years: list[int]) -> DataFr
     return c.withColumn("_rn", F.row_number().over(order)).filter("_rn = 1").select("plan_id", F.col("h_year").alias("year"), F.col("h_history_id").alias("history_id"))
 
 
-def merge_baseline(generated: DataFrame, baseline: DataFrame, exact: list[str], name: list[str], replaced: list[str]) -> DataFrame:
-    """Baseline rows with the generated block where one matches, then unmatched generated rows.
+def merge_baseline(generated: DataFrame, baseline: DataFrame, exact: list[str], name: list[str], replaced: list[str], order: list[str] | None = None) -> DataFrame:
+    """Baseline rows with the generated block where one matches, then unmatched generated rows (M-13, H-6).
 
-    Keys must be unique on both sides to match: the exact key first, then the name key among what is left. (Where a key
-    repeats, row-by-row consumption would depend on the order; those rows are kept apart instead.)
+    Generated rows take their turn by `order` (columns of both tables; all columns, unless given). Each takes the only
+    baseline row of its exact key that none has taken yet, else the only one of its name key, else it is new. Rows meet
+    within the columns that both keys have in common, a group at a time, so groups do not wait for each other.
     """
-    g, b = generated.withColumn("_g", F.monotonically_increasing_id()), baseline.withColumn("_b", F.monotonically_increasing_id())
-
-    def single(df: DataFrame, keys: list[str], row: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(row).alias(row)).filter("_n = 1").drop("_n")
-
-    one = single(g, exact, "_g").join(single(b, exact, "_b"), exact).select("_g", "_b")
-    g2, b2 = g.join(one.select("_g"), "_g", "left_anti"), b.join(one.select("_b"), "_b", "left_anti")
-    pairs = one.unionByName(single(g2, name, "_g").join(single(b2, name, "_b"), name).select("_g", "_b"))
-    new = g.join(pairs, "_g").select("_b", *[F.col(c).alias(f"_{c}") for c in replaced], F.lit(True).alias("_hit"))
-    kept = b.join(new, "_b", "left").select(*[(F.when(F.col("_hit"), F.col(f"_{c}")).otherwise(F.col(c)) if c in replaced else F.col(c)).alias(c) for c in baseline.columns])
-    return kept.unionByName(g.join(pairs.select("_g"), "_g", "left_anti").select(*generated.columns), allowMissingColumns=True)
+    scope = [c for c in exact if c in name]
+    if not scope:
+        raise ValueError("the two keys need a column in common")
+    kinds = baseline.schema
+
+    def turns(_, left: pa.Table, right: pa.Table) -> pa.Table:
+        def sorted_rows(t: pa.Table) -> list[dict]:
+            return sorted(t.to_pylist(), key=lambda r: [(r[c] is None, r[c]) for c in order or t.column_names if not isinstance(r[c], dict | list)])
+
+        rows, found = sorted_rows(right), sorted_rows(left)
+        free, out = set(range(len(rows))), [dict(r) for r in rows]
+        index: list[dict[tuple, list[int]]] = [{}, {}]
+        for which, columns in zip(index, (exact, name)):
+            for i, r in enumerate(rows):
+                which.setdefault(tuple(r[c] for c in columns), []).append(i)
+        for g in found:
+            for which, columns in zip(index, (exact, name)):
+                held = [i for i in which.get(tuple(g[c] for c in columns), []) if i in free]
+                if len(held) == 1:
+                    free.discard(held[0])
+                    out[held[0]].update({c: g[c] for c in replaced})
+                    break
+            else:
+                out.append({c: g.get(c) for c in right.column_names})
+        return pa.Table.from_pylist(out, right.schema)
+
+    return generated.groupBy(*scope).cogroup(baseline.groupBy(*scope)).applyInArrow(turns, kinds)
