@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from siftwell.functions import classify, dates, hashing, security, text
 from siftwell.operators import joins, latest, merge
-from siftwell.plans import candidates, history, published, readiness
+from siftwell.plans import candidates, finders, history, published, readiness
 from siftwell.plans.adapters import ADM, adm, plan, t
 
 QUERIES: dict = {}
@@ -634,6 +634,36 @@ def vector_documents(s, d):
     return p.unionByName(x)
 
 
+# ---- finders --------------------------------------------------------------------------------------------------------
+
+
+@query("""SELECT id, name, url_value FROM (SELECT CAST(n_nationkey AS BIGINT) id, n_name AS name, CASE WHEN n_nationkey % 3 > 0 THEN 'c' || n_nationkey ELSE CAST(n_nationkey AS VARCHAR) END url_value FROM nation) WHERE name = 'NATION_2' OR url_value IN ('c4', '6', 'NATION_2')""")
+def province_targets(s, d):
+    n = t(s, d, "nation").select(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name"), F.when(F.col("n_nationkey") % 3 > 0, F.concat(F.lit("c"), "n_nationkey")).otherwise("").alias("code"))
+    return finders.province_targets(n, [" c4", "6", "NATION_2", " "])
+
+
+@query("""SELECT p_name AS name, arg_min(p_partkey, (CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END) * 1000000000000 + p_partkey) AS id FROM part GROUP BY 1""")
+def find_by_name(s, d):
+    p = t(s, d, "part").select(F.col("p_name").alias("name"), F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 3 == 0, -1).otherwise(1).alias("external"))
+    return finders.by_name(p, "name", "id", "external").select("name", "id")
+
+
+@query("""WITH r AS (SELECT DISTINCT l_suppkey sk, p_name nm, CASE WHEN l_linenumber % 2 = 0 THEN p_brand END lv FROM lineitem JOIN part ON p_partkey = l_partkey % 500 + 1),
+o AS (SELECT DISTINCT l_suppkey sk, p_partkey, p_name, p_brand FROM lineitem JOIN part ON p_partkey = l_partkey),
+own AS (SELECT r.sk, nm, lv, count(p_partkey) n, min(p_partkey) id FROM r LEFT JOIN o ON o.sk = r.sk AND p_name = nm AND (lv IS NULL OR lv = p_brand) GROUP BY r.sk, nm, lv),
+g AS (SELECT nm, lv, count(p_partkey) n, min(p_partkey) id FROM (SELECT DISTINCT nm, lv FROM r) LEFT JOIN part ON p_name = nm AND (lv IS NULL OR lv = p_brand) GROUP BY nm, lv)
+SELECT sk AS school_id, own.nm AS major_name, own.lv AS education_level, CASE WHEN own.n = 1 THEN own.id WHEN own.n = 0 AND g.n = 1 THEN g.id END AS major_id
+FROM own JOIN g ON g.nm = own.nm AND g.lv IS NOT DISTINCT FROM own.lv""")
+def school_major_by_name(s, d):
+    p, li = t(s, d, "part"), t(s, d, "lineitem")
+    r = li.join(p, F.col("l_partkey") % 500 + 1 == F.col("p_partkey")).select(F.col("l_suppkey").alias("school_id"), F.col("p_name").alias("major_name"), F.when(F.col("l_linenumber") % 2 == 0, F.col("p_brand")).alias("education_level")).distinct()
+    r = r.withColumn("request", F.struct("school_id", "major_name", "education_level"))
+    majors = p.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_brand").alias("education_level"))
+    held = li.select(F.col("l_suppkey").alias("school_id"), F.col("l_partkey").alias("major_id"))
+    return finders.school_major_ids(r, held, majors, fallback=True).drop("request")
+
+
 # ---- history and streams ------------------------------------------------------------------------------------------
 
 
