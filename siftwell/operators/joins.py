@@ -38,8 +38,10 @@ def asof_floor(probes: DataFrame, points: DataFrame, keys: list[str], by: str, v
         lists = known.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.sort_array(F.collect_list(F.struct(F.col(by).alias("b"), F.col(value).alias("v")))).alias("_points"))
         on = reduce(lambda a, b: a & b, [probes[k].eqNullSafe(lists[f"_{k}"]) for k in keys])
         joined = probes.join(F.broadcast(lists), on, "left")
-        upto = F.filter("_points", lambda x: x.b <= F.col(by))
-        return joined.withColumn(out, F.try_element_at(upto, F.lit(-1)).v).drop("_points", *[f"_{k}" for k in keys])
+        steps = F.array(*[F.lit(1 << i) for i in reversed(range(most.bit_length()))])  # a binary search: how many points are not above
+        reached = lambda n, step: F.try_element_at(F.col("_points"), n + step).b <= F.col(by)
+        found = F.aggregate(steps, F.lit(0), lambda n, step: F.when(reached(n, step), n + step).otherwise(n))
+        return joined.withColumn(out, F.when(found > 0, F.try_element_at(F.col("_points"), found).v)).drop("_points", *[f"_{k}" for k in keys])
     cols = [c for c in probes.columns if c not in (*keys, by)]
     left = probes.select(*keys, by, F.lit(1).alias("_side"), F.lit(None).cast(points.schema[value].dataType).alias("_v"), F.struct(*[F.col(c) for c in cols]).alias("_row") if cols else F.lit(None).alias("_row"))
     right = points.filter(F.col(by).isNotNull()).select(*keys, by, F.lit(0).alias("_side"), F.col(value).alias("_v"), F.lit(None).cast(left.schema["_row"].dataType).alias("_row"))
