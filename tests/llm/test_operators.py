@@ -51,6 +51,18 @@ def test_token_counts(docs, none):
     assert got == want and token_counts.token_counts(none, path).count() == 0
 
 
+LOOKUP, IDS = (kind(public_tokenizers.path(name)) for kind, name in ((token_counts.Lookup, "byte_bpe_50k.json"), (packing.Ids, "word_bpe_49k.json")))
+
+
+@hypothesis.settings(max_examples=500, deadline=None)
+@hypothesis.given(st.lists(st.sampled_from(["a", "b", "the", " ", "  ", "\n", "É", "日本", "'s", "1", "<|endoftext|>", "\u200b", ".", "!", "\t", "Σ", "\u3000", "-", "\x85"]), max_size=60).map("".join), st.sampled_from([20, 1 << 18]))
+def test_pieces_are_the_library_s(text, long):
+    token_counts.LONG = long
+    assert LOOKUP.counts([text]) == LOOKUP.counts([text, ""])[:1] == [len(LOOKUP.tokenizer.encode(text, add_special_tokens=False).ids)]
+    assert IDS.of([text]) == IDS.of([text, ""])[:1] == [np.array(IDS.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+    token_counts.LONG = 1 << 18
+
+
 def test_sharding(docs, none):
     out = sharding.shard(docs, 4).collect()
     counts = [sum(r.shard == k for r in out) for k in range(4)]
