@@ -40,7 +40,7 @@ def seeded(table: DataFrame, seeds: DataFrame) -> DataFrame:
 
 
 def province_seeds(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PROVINCES, "name string, code string, region string, gaokao_mode string, gaokao_mode_year int")
+    return spark.createDataFrame(PROVINCES, "name string, code string, region string, exam_mode string, exam_mode_year int")
 
 
 def subject_seeds(spark: SparkSession) -> DataFrame:

@@ -2,7 +2,7 @@ from siftwell.plans import finders
 
 
 def test_seeds(spark):
-    held = spark.createDataFrame([(7, "辽宁", "old", None, None, None), (9, "别处", "x", None, None, None)], "id int, name string, code string, region string, gaokao_mode string, gaokao_mode_year int")
+    held = spark.createDataFrame([(7, "辽宁", "old", None, None, None), (9, "别处", "x", None, None, None)], "id int, name string, code string, region string, exam_mode string, exam_mode_year int")
     out = {r.name: r for r in finders.seeded(held, finders.province_seeds(spark)).collect()}
     assert len(out) == 32 and out["辽宁"].id == 7 and out["辽宁"].code == "21" and out["别处"].code == "x" and sorted(r.id for r in out.values()) == [7, 9, *range(10, 40)]
     subjects = finders.seeded(spark.createDataFrame([], "id int, name string, category_type string"), finders.subject_seeds(spark))
