@@ -29,8 +29,8 @@ def content_hash(df: DataFrame, columns: list[str] | None = None) -> Column:  #
     return F.sha2(canonical_json(df, columns), 256)
 
 
-def synthetic_id(name: Column) -> Column:  # I-54, before collisions
-    return -(F.conv(F.substr(F.sha2(name, 256), F.lit(1), F.lit(8)), 16, 10).cast("bigint") % 2_000_000_000 + 1)
+def synthetic_id(name: Column, span: int = 2_000_000_000) -> Column:  # I-54; operators.claims.place settles collisions
+    return -(F.conv(F.substr(F.sha2(name, 256), F.lit(1), F.lit(8)), 16, 10).cast("bigint") % span + 1)
 
 
 def missing_flags(df: DataFrame, columns: list[str]) -> Column:  # I-55: null, '' and empty collections, not 0 or false

@@ -17,6 +17,11 @@ def clean_text(x: Column | str) -> Column:  # I-1
     return F.trim(F.regexp_replace(F.replace(F.coalesce(_c(x).cast("string"), F.lit("")), F.lit("\u00a0"), F.lit(" ")), SPACE, " "))
 
 
+def stripped(x: Column | str) -> Column:
+    """Without white space at either end."""
+    return F.regexp_replace(_c(x), r"(?U)^\s+|\s+$", "")
+
+
 def as_text(x: Column | str) -> Column:  # I-2
     return F.nullif(clean_text(x), F.lit(""))
 

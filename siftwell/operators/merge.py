@@ -160,21 +160,3 @@ def canonical_rows(df: DataFrame, name: str, external: str, ident: str) -> DataF
     groups = df.filter(F.col(external).isNotNull()).groupBy(name).agg(F.count_distinct(external).alias("_n"), F.min(external).alias("_only"))
     keyed = df.join(groups, name, "left").withColumn("_ext", F.coalesce(F.col(external), F.when(F.col("_n") == 1, F.col("_only"))))
     return first_by(keyed, [name, "_ext"], [(F.col(ident) > 0).desc(), F.col(ident)]).drop("_n", "_only", "_ext")
-
-
-def catalogue_sync(existing: DataFrame, index: DataFrame, name: str, external: str) -> DataFrame:
-    """L-10: each index row's outcome: invalid, duplicates, already_present, linked, conflicts or added; migrated where the
-    external id is held under another name."""
-    i = index.withColumn("_pos", F.monotonically_increasing_id())
-    i = i.withColumn("_dup", F.row_number().over(Window.partitionBy(name, external).orderBy("_pos")) > 1)
-    by_ext = existing.filter(F.col(external).isNotNull()).groupBy(F.col(external).alias("_e")).agg(F.min(name).alias("_e_name"))
-    by_name = existing.groupBy(F.col(name).alias("_n")).agg(F.count("*").alias("_n_rows"), F.min(external).alias("_n_ext"))
-    j = i.join(by_ext, i[external] == by_ext["_e"], "left").join(by_name, i[name] == by_name["_n"], "left")
-    blank = F.coalesce(F.trim(F.col(name)) == "", F.lit(True)) | F.col(external).isNull()
-    outcome = (
-        F.when(blank, "invalid").when(F.col("_dup"), "duplicates").when(F.col("_e_name") == F.col(name), "already_present")
-        .when(F.col("_e_name").isNotNull() & F.col("_n").isNull(), "migrated").when(F.col("_e_name").isNotNull(), "conflicts")
-        .when(F.col("_n_rows") > 1, "conflicts").when(F.col("_n").isNotNull() & F.col("_n_ext").isNotNull(), "conflicts")
-        .when(F.col("_n").isNotNull(), "linked").otherwise("added")
-    )
-    return j.select(name, external, outcome.alias("outcome"))

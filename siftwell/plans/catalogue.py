@@ -11,23 +11,12 @@ from siftwell.functions import classify, dates, hashing, security, text
 from siftwell.operators import joins, latest, merge
 from siftwell.plans import candidates, finders, history, published, readiness
 from siftwell.plans.adapters import ADM, adm, plan, t
+from siftwell.plans.registry import QUERIES, SQL, query
 
-QUERIES: dict = {}
-SQL: dict = {}
 YEARS = [1998, 1999, 2000]
 PROVINCE = 3
 
 
-def query(sql: str | None = None, name: str | None = None):
-    def add(f):
-        QUERIES[name or f.__name__] = f
-        if sql:
-            SQL[name or f.__name__] = sql
-        return f
-
-    return add
-
-
 def parts(s: SparkSession, d: str) -> DataFrame:
     return t(s, d, "part").select(F.col("p_partkey").alias("major_id"), F.col("p_name").alias("major_name"))
 
@@ -472,14 +461,6 @@ def canonical_rows(s, d):
     return merge.canonical_rows(p, "nm", "ext", "id").select("nm", "id")
 
 
-@query("""SELECT c_name AS nm, c_custkey AS ext, CASE WHEN c_custkey % 11 = 0 THEN 'invalid' WHEN c_custkey % 4 = 0 THEN 'already_present' WHEN c_custkey % 4 = 1 THEN 'linked' WHEN c_custkey % 4 = 2 THEN 'conflicts' ELSE 'added' END AS outcome
-FROM (SELECT CASE WHEN c_custkey % 11 = 0 THEN ' ' ELSE c_name END c_name, c_custkey FROM customer)""")
-def catalogue_sync(s, d):
-    c = t(s, d, "customer").select(F.col("c_name").alias("nm"), F.col("c_custkey").alias("ext"))
-    held = c.filter("ext % 4 < 3").withColumn("ext", F.when(F.col("ext") % 4 == 0, F.col("ext")).when(F.col("ext") % 4 == 2, -F.col("ext")))
-    return merge.catalogue_sync(held, c.withColumn("nm", F.when(F.col("ext") % 11 == 0, " ").otherwise(F.col("nm"))), "nm", "ext")
-
-
 @query("SELECT s_suppkey, CASE WHEN EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey = s_suppkey AND l_quantity = 50) THEN s_name ELSE 'none' END s_name FROM supplier")
 def evidence_reset(s, d):
     ev = t(s, d, "lineitem").filter("l_quantity = 50").select(F.col("l_suppkey").alias("s_suppkey"))
