@@ -6,8 +6,8 @@ a bin, a bitset subset-sum over the lengths left finds the fullest combination f
 combination is removed, as often in a row as the lengths allow. The plan has a few runs a length, so
 its size does not follow the corpus. Pieces then find their place by their rank in their length.
 
-Where the documents have an order (mixing's slot and place), `pack_in_order` cuts it into windows of about
-`window` rows, packs each window by a plan of its own, within which ranks follow the order, and numbers the
+Where the documents have an order (mixing's slot and place), `pack_in_order` cuts it into windows of `window` rows, give or
+take a cell of slots, packs each window by a plan of its own, within which ranks follow the order, and numbers the
 sequences window by window; so a run of sequences holds what that stretch of the schedule holds.
 
 Null and empty texts: one piece, the end id alone. Repeated rows: packed each, each by itself. A text of any length is
@@ -30,6 +30,9 @@ from siftwell.llm.common import bucket_rows, in_worker, map_arrow, materialize,
 from siftwell.llm.token_counts import _SHORT, LETTERS, PLAIN, SIGNS, Cache, encode, text_groups
 
 
+#: Slots whose rows stay in one window, and such cells whose rows are summed up together.
+CELL, CELLS = 64, 4096
+
 _WORD_ENDS = re.compile(rf"[{LETTERS}]+|{_SHORT}|[{SIGNS}]+|[0-9]")
 _WORD = re.compile(rf"[{LETTERS}]+")
 
@@ -157,12 +160,26 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
     return map_arrow(ranked.select(*[c for c in pieces.columns if c != "row"], "rank"), place, f"{schema}, sequence_id long, offset long")
 
 
+def windows_of(docs: DataFrame, window: int) -> DataFrame:
+    """_window of each _cell of CELL slots: rows are counted in the order of the slots, and a cell goes where its first row falls.
+
+    A slot has a row for each lane at most, so a window has `window` rows and those of one cell. Running sums are taken
+    within blocks of cells, and over the blocks' sums.
+    """
+    cells = docs.groupBy(F.expr(f"slot DIV {CELL}").alias("_cell")).agg(F.count("*").alias("_n")).withColumn("_block", F.expr(f"_cell DIV {CELLS}"))
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = cells.groupBy("_block").agg(F.sum("_n").alias("_sum"))
+    blocks = blocks.select("_block", F.coalesce(F.sum("_sum").over(earlier.orderBy("_block")), F.lit(0)).alias("_before"))  # a row for each CELL * CELLS slots
+    inside = cells.withColumn("_in", F.coalesce(F.sum("_n").over(earlier.partitionBy("_block").orderBy("_cell")), F.lit(0)))
+    return inside.join(blocks, "_block").select("_cell", F.expr(f"(_in + _before) DIV {window}").alias("_window"))
+
+
 def pack_in_order(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, window: int = 8192, text_col: str = "text", id_col: str = "doc_id", slot_col: str = "slot", place_col: str = "place") -> DataFrame:
     """As pack, of documents with slot and place: sequence_id follows the slots, window by window."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(slot_col).alias("slot"), F.col(place_col).alias("place"))
-    size = docs.agg(F.count("*").alias("n"), F.max("slot").alias("last")).collect()[0]
-    width = max(1, -(-window * ((size.last or 0) + 1) // max(1, size.n)))  # slots of a window
-    pieces = to_pieces(docs.withColumn("_window", F.expr(f"slot DIV {width}")), tokenizer_path, capacity, end_id, "text", "doc_id", ["_window", "slot", "place"])
+    windows = windows_of(docs, window)
+    pieces = to_pieces(docs, tokenizer_path, capacity, end_id, "text", "doc_id", ["slot", "place"]).withColumn("_cell", F.expr(f"slot DIV {CELL}"))
+    pieces = pieces.join(small(windows, 48), "_cell").drop("_cell")
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def place(t: pa.Table) -> pa.Table:

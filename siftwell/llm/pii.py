@@ -9,8 +9,8 @@ Added spans under `ACCEPT` are dropped, those failing a checksum never pass; of
 higher score stays, then the earlier one. Base spans stay, whatever their score.
 
 Null and empty texts: no spans. Texts are read whole; offsets are code points. Repeated rows and ids: a row
-each. Other columns are ignored by find_pii, whatever their names, and pass through redact_pii. Very long texts take
-a few times their size. Empty table: no rows.
+each. Other columns are ignored by find_pii, whatever their names, and pass through redact_pii. Time and memory are in
+proportion to a text's length, whatever it holds. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ import hashlib
 import ipaddress
 import json
 import re
-from bisect import bisect_right, insort
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -34,9 +33,10 @@ KINDS = ["email", "ip", "card", "phone", "iban", "national_id", "ipv6", "access_
 NEAR, ACCEPT, STEP = 40, 0.5, 0.25
 
 _LOCAL_SET = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-_CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+# Possessive, and begun only where a run begins: a match that fails at a run's first digit fails at all of them.
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+_DIGITS = re.compile(r"[0-9]+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NO_DIGIT = re.compile(r"[^0-9]+")
@@ -50,7 +50,9 @@ _IPV6 = re.compile(r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4
 _ACCESS = re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])")
 _PROVIDER = re.compile(r"(?<![A-Za-z0-9])(?:gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}|[sr]k_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|npm_[A-Za-z0-9]{36})(?![A-Za-z0-9])")
 _WEB_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]*")
-_PRIVATE_KEY = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:[A-Za-z0-9+/=\s:,.-]*?-----END (?:[A-Z]+ )*PRIVATE KEY-----)?")
+_KEY_BEGIN = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----")
+_KEY_END = re.compile(r"(?=(-----END (?:[A-Z]+ )*PRIVATE KEY-----))")
+_NO_KEY = re.compile(r"[^A-Za-z0-9+/=\s:,.-]")
 _CREDENTIAL = re.compile(r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b)[\"']?\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9+/_.!@#$%^&*-]{8,})")
 
 
@@ -66,6 +68,35 @@ def is_card(text: str) -> bool:
     return 12 <= len(digits) <= 19 and luhn(digits)
 
 
+def cards(text: str) -> Iterator[tuple[int, int]]:
+    """As ``[0-9]([\\x20-]?[0-9])+`` finds them, those that are cards: runs of digits with one space or hyphen between."""
+    start = end = digits = 0
+    for m in _DIGITS.finditer(text):
+        a, b = m.span()
+        if not (digits and a - end == 1 and text[end] in " -"):
+            if 12 <= digits <= 19 and is_card(text[start:end]):
+                yield start, end
+            start, digits = a, 0
+        end, digits = b, digits + b - a
+    if 12 <= digits <= 19 and is_card(text[start:end]):
+        yield start, end
+
+
+def private_keys(text: str) -> Iterator[tuple[int, int]]:
+    """Headers of private keys, with all up to the next end where only a key's characters lie between."""
+    ends, other, at, k = [m.span(1) for m in _KEY_END.finditer(text)], -1, 0, 0
+    while m := _KEY_BEGIN.search(text, at):
+        a, at = m.span()
+        if other < at:
+            found = _NO_KEY.search(text, at)
+            other = found.start() if found else len(text)
+        while k < len(ends) and ends[k][0] < at:
+            k += 1
+        if k < len(ends) and ends[k][0] <= other:
+            at = ends[k][1]
+        yield a, at
+
+
 def is_phone(text: str) -> bool:
     return 9 <= len(_NO_DIGIT.sub("", text)) <= 15
 
@@ -108,10 +139,10 @@ def is_secret(text: str) -> bool:
 
 
 class Rule(NamedTuple):
-    """A kind's proposals (the span is group 1 where the pattern has one), what confirms them, and what speaks for and against them."""
+    """A kind's proposals, what confirms them, and what speaks for and against them."""
 
     kind: int
-    pattern: re.Pattern
+    propose: Callable[[str], Iterator[tuple[int, int]]]
     right: Callable[[str], bool]
     score: float
     needs: str  # a text without it has none
@@ -143,15 +174,20 @@ _CONTEXT = {
 BASE_SCORES = (0.8, 0.6, 0.8, 0.7)
 
 
-def _rule(kind: str, pattern: re.Pattern, right: Callable[[str], bool], score: float, needs: str = "") -> Rule:
-    return Rule(KINDS.index(kind), pattern, right, score, needs, *_CONTEXT[kind])
+def _matches(pattern: re.Pattern) -> Callable[[str], Iterator[tuple[int, int]]]:
+    """The spans of a pattern's group 1 where it has one."""
+    return lambda text: (m.span(pattern.groups and 1) for m in pattern.finditer(text))
+
+
+def _rule(kind: str, pattern: re.Pattern | Callable, right: Callable[[str], bool], score: float, needs: str = "") -> Rule:
+    return Rule(KINDS.index(kind), _matches(pattern) if isinstance(pattern, re.Pattern) else pattern, right, score, needs, *_CONTEXT[kind])
 
 
 RULES = [
     _rule("card", _CARD_ALONE, is_card, 0.6), _rule("phone", _PHONE_ALONE, is_phone, 0.6, "+"), _rule("phone", _PHONE_LOCAL, _ANY, 0.3),
     _rule("iban", _IBAN, is_iban, 0.8), _rule("national_id", _NATIONAL, is_national, 0.3, "-"), _rule("ipv6", _IPV6, is_ipv6, 0.6, ":"),
     _rule("access_key", _ACCESS, _ANY, 0.8, "IA"), _rule("provider_token", _PROVIDER, _ANY, 0.9), _rule("web_token", _WEB_TOKEN, is_web_token, 0.8, "eyJ"),
-    _rule("private_key", _PRIVATE_KEY, _ANY, 0.9, "PRIVATE KEY"), _rule("credential", _CREDENTIAL, is_secret, 0.6),
+    _rule("private_key", private_keys, _ANY, 0.9, "PRIVATE KEY"), _rule("credential", _CREDENTIAL, is_secret, 0.6),
 ]
 
 
@@ -172,8 +208,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, index of the kind, end), sorted."""
     out = [(a, 0, b) for a, b in emails(text)]
     if _DIGIT.search(text):
-        for kind, pattern, right in ((1, _IP, is_ip), (2, _CARD, is_card), (3, _PHONE, is_phone)):
-            out += [(m.start(), kind, m.end()) for m in pattern.finditer(text) if right(m[0])]
+        out += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if is_ip(m[0])]
+        out += [(a, 2, b) for a, b in cards(text)]
+        out += [(m.start(), 3, m.end()) for m in _PHONE.finditer(text) if is_phone(m[0])]
     return sorted(out)
 
 
@@ -189,23 +226,17 @@ def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     found = []
     for rule in RULES:
         if rule.needs in text:
-            for m in rule.pattern.finditer(text):
-                a, b = m.span(m.lastindex or 0)
+            for a, b in rule.propose(text):
                 if rule.right(text[a:b]):
                     s = adjusted(text, a, b, rule.score, rule.raising, rule.lowering)
                     if s >= ACCEPT:
                         found.append((-s, a, rule.kind, b))
-    taken: list[tuple[int, int]] = []  # apart from each other, sorted
-    for a, _, b in base:
-        if taken and a < taken[-1][1]:
-            taken[-1] = taken[-1][0], max(b, taken[-1][1])
-        else:
-            taken.append((a, b))
-    out = []
+    taken, out = bytearray(len(text) if found else 0), []
+    for a, _, b in base if found else ():
+        taken[a:b] = b"\1" * (b - a)
     for s, a, kind, b in sorted(found):
-        i = bisect_right(taken, (a, len(text) + 1))
-        if (i == 0 or taken[i - 1][1] <= a) and (i == len(taken) or taken[i][0] >= b):
-            insort(taken, (a, b))
+        if taken.find(1, a, b) < 0:
+            taken[a:b] = b"\1" * (b - a)
             out.append((a, kind, b, -s))
     return out
 

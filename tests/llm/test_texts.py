@@ -15,7 +15,7 @@ import tiktoken
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from siftwell.llm import bpe_transducer, conversation_repair, periodic_runs
+from siftwell.llm import bpe_transducer, conversation_repair, packing, periodic_runs, pii
 
 SCHEMA = "doc_id long, text string, ids string, runs long, same int"
 
@@ -286,3 +286,41 @@ def test_damage(spark, tmp_path):
         left = sorted((t, role, text) for i, t, role, text in want if i == (c if c is not None else -1))
         cost, audit, lines = best_by_hand([x[1:] for x in left])
         assert (out[c].cost, out[c].audit, out[c].repaired_sha256) == (cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+
+
+# ---- 8: patterns in linear time ---------------------------------------------------------------------------------
+
+KEY_AS_ONE_PATTERN = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:[A-Za-z0-9+/=\s:,.-]*?-----END (?:[A-Z]+ )*PRIVATE KEY-----)?")
+
+
+@hypothesis.settings(max_examples=1000, deadline=None)
+@hypothesis.given(st.lists(st.sampled_from(["-----BEGIN ", "-----END ", "RSA ", "PRIVATE KEY", "-----", "-", "aB1=\n", "!", " ", "PRIVATE KEY-----"]), max_size=16).map("".join))
+def test_private_keys(text):
+    assert list(pii.private_keys(text)) == [m.span() for m in KEY_AS_ONE_PATTERN.finditer(text)]
+
+
+@hypothesis.settings(max_examples=1000, deadline=None)
+@hypothesis.given(st.lists(st.sampled_from(["4111", "1111", "11111111", " ", "-", "  ", ".", "1", "0", "é", "+", "378282246310005"]), max_size=14).map("".join))
+def test_cards(text):
+    assert list(pii.cards(text)) == [m.span() for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text) if pii.is_card(m[0])]
+
+
+@pytest.mark.parametrize("part, size", [("7", 50), ("-----BEGIN PRIVATE KEY-----\n", 20), ("+1 ", 20), ("1 ", 10), ("1.", 5), ("a.", 10), ("@", 5), ("eyJabcdefgh.", 10), ("password=", 5), ("-----END PRIVATE KEY-----", 10)])
+def test_pii_takes_linear_time(part, size):
+    """Megabytes of what most patterns begin with, alone and before a text with an address."""
+    began = time.time()
+    text = part * (size * 1_000_000 // len(part)) + " mail a@b.co!"
+    assert (len(text) - 7, 0, len(text) - 1) in pii.scored_spans(text)[0]
+    assert time.time() - began < 120
+
+
+def test_windows_hold_their_rows(spark):
+    """One source of many rows beside many sources of one row: the first slots are crowded, the rest hold one row each."""
+    rows = spark.range(6000).select(F.when(F.col("id") < 3000, F.col("id")).otherwise((F.col("id") - 3000).bitwiseAND(127)).alias("slot"))
+    cells = packing.windows_of(rows, 500)
+    sizes = rows.withColumn("_cell", F.expr(f"slot DIV {packing.CELL}")).join(cells, "_cell").groupBy("_window").count().collect()
+    crowd = max(r["count"] for r in rows.groupBy(F.expr(f"slot DIV {packing.CELL}")).count().collect())
+    assert sum(r["count"] for r in sizes) == 6000 and max(r["count"] for r in sizes) <= 500 + crowd
+    slots = rows.distinct().withColumn("_cell", F.expr(f"slot DIV {packing.CELL}")).join(cells, "_cell").orderBy("slot").collect()
+    assert [r._window for r in slots] == sorted(r._window for r in slots)
+    assert packing.windows_of(rows.limit(0), 500).count() == 0
