@@ -1,6 +1,7 @@
 import datetime as dt
 import hashlib
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,6 +63,28 @@ def test_public(spark):
     assert {r.u: r.x for r in df.select("u", security.is_public_url("u").alias("x")).collect()} == URLS
 
 
+def test_public_addresses():
+    """The table against the standard library's notions, at the edges of all its networks and anywhere."""
+    import ipaddress
+    import random
+
+    rng = random.Random(1)
+    edges = [ipaddress.IPv6Address(int(n.network_address) + d) for n in (*security.PUBLIC_NETWORKS, *security.SPECIAL_NETWORKS) for d in (0, 1, n.num_addresses - 1) if int(n.network_address) + d < 2**128]
+    for a in (*edges, *(ipaddress.IPv6Address(rng.getrandbits(128)) for _ in range(3000)), *(ipaddress.ip_address(f"::ffff:{ipaddress.IPv4Address(rng.getrandbits(32))}") for _ in range(3000))):
+        refused = a.is_loopback or a.is_private or a.is_link_local or a.is_multicast or a.is_unspecified or a.is_reserved
+        assert security.is_public_address(a) == (not refused), a
+
+
+def test_unsafe_keys():
+    import itertools
+
+    for parts in itertools.product(["", " ", "-", "x", "pass", "word", "Api", "KEY", "_", "params", "crawl"], repeat=4):
+        key = "".join(parts)
+        signed = re.sub("[^a-z0-9]+", "_", key.strip().lower())
+        want = any(k in security.UNSAFE_KEYS or any(p in k for p in security.UNSAFE_PARTS) for k in (signed, signed.replace("_", "")))
+        assert security.is_unsafe_key(key) == want, key
+
+
 def test_sanitize(spark):
     r = one(spark, security.sanitize_text("a"), a="<script>x</script>call 13812345678 me@a.org 证1234567890")
     assert r.text == "call [REDACTED] [REDACTED] 证1234567890" and r.flags == ["removed_active_content", "redacted_sensitive_identifier"]
