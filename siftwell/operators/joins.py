@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-#: A side is broadcast only up to this many rows, counted first.
-BROADCAST_ROWS = 200_000
+from siftwell.operators.rounds import cut
+from siftwell.operators.scan import carry_forward
+
+#: A side is broadcast only up to this many rows, counted first; names for an automaton only up to so many bytes.
+BROADCAST_ROWS, NAME_BYTES = 200_000, 16 << 20
 
 
 def checked_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -31,7 +37,7 @@ def asof_floor(probes: DataFrame, points: DataFrame, keys: list[str], by: str, v
     """D-7: for each probe the value at the greatest point <= its `by`, within null-safe keys. No range join.
 
     Up to `most` points, counted first, travel as one sorted list a key, so a key with many probes makes no large task;
-    beyond, probes and points are sorted together by key.
+    beyond, probes and points are scanned together in segments, of which a key may have many.
     """
     known = points.filter(F.col(by).isNotNull() & F.col(value).isNotNull())
     if known.limit(most + 1).count() <= most:
@@ -44,9 +50,8 @@ def asof_floor(probes: DataFrame, points: DataFrame, keys: list[str], by: str, v
         return joined.withColumn(out, F.when(found > 0, F.try_element_at(F.col("_points"), found).v)).drop("_points", *[f"_{k}" for k in keys])
     cols = [c for c in probes.columns if c not in (*keys, by)]
     left = probes.select(*keys, by, F.lit(1).alias("_side"), F.lit(None).cast(points.schema[value].dataType).alias("_v"), F.struct(*[F.col(c) for c in cols]).alias("_row") if cols else F.lit(None).alias("_row"))
-    right = points.filter(F.col(by).isNotNull()).select(*keys, by, F.lit(0).alias("_side"), F.col(value).alias("_v"), F.lit(None).cast(left.schema["_row"].dataType).alias("_row"))
-    w = Window.partitionBy(*keys).orderBy(F.col(by).asc_nulls_first(), "_side", "_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = right.unionByName(left).withColumn(out, F.last("_v", True).over(w)).filter("_side = 1")
+    right = known.select(*keys, by, F.lit(0).alias("_side"), F.col(value).alias("_v"), F.lit(None).cast(left.schema["_row"].dataType).alias("_row"))
+    seen = carry_forward(right.unionByName(left), keys, [F.col(by).asc_nulls_first(), F.col("_side").asc(), F.col("_v").asc()], F.col("_v"), out).filter("_side = 1")
     return seen.select(*keys, by, *[F.col(f"_row.{c}").alias(c) for c in cols], out)
 
 
@@ -75,24 +80,92 @@ def prefix_lookup(dim: DataFrame, code: str, ident: str, size: int, out: str = "
     return unique_lookup(dim.filter(F.length(code) >= size), F.left(F.col(code), F.lit(size)), ident, out)
 
 
-def longest_contained(texts: DataFrame, text: str, ident: list[str], names: DataFrame, name: str, out: str) -> DataFrame:
-    """D-16: the longest name within the text, ties to the smaller; null if none.
+_AUTOMATA: dict = {}
+
+
+def automaton(token: int, names: str):
+    """The worker's Aho-Corasick automaton of the names (joined by NUL), built once for each set of them."""
+    if token not in _AUTOMATA:
+        import ahocorasick
 
-    Texts are cut into the pieces that have a name's length (there are as many lengths as the longest name has
-    characters, at most), and joined on equality: work grows with the texts, not with texts times names.
+        built = ahocorasick.Automaton()
+        for name in names.split("\0"):
+            built.add_word(name, name)
+        built.make_automaton()
+        _AUTOMATA.clear()
+        _AUTOMATA[token] = built
+    return _AUTOMATA[token]
+
+
+def contained(texts: DataFrame, text: str, names: DataFrame, name: str, out: str, which: str = "longest", most: int = NAME_BYTES) -> DataFrame:
+    """D-16: each row with the name that its text contains: the `longest` (ties to the smaller), or the `first` to begin (ties to
+    the longer). Null if none; rows stand for themselves, whatever they repeat. Empty names and names with a NUL count for nothing.
+
+    Up to `most` bytes of names, summed first, become one automaton in each worker, which reads a text once; beyond,
+    texts are cut into pieces of the names' lengths that meet the names in a join.
     """
-    held = names.select(F.col(name).alias("_name")).filter(F.length("_name") > 0).distinct()
+    held = names.select(F.col(name).alias("_name")).filter("length(_name) > 0 AND NOT contains(_name, '\\0')").distinct()
+    size = held.agg(F.count("*").alias("n"), F.sum(F.octet_length("_name") + 1).alias("bytes")).head()
+    if not size.n:
+        return texts.withColumn(out, F.lit(None).cast("string"))
+    if size.bytes > most:
+        return _contained_by_join(texts, text, held, out, which)
+    joined = "\0".join(sorted(r["_name"] for r in held.collect()))  # `most` bytes at most
+    shared, token, longest = texts.sparkSession.sparkContext.broadcast(joined), hash(joined), which == "longest"
+
+    def find(names, found: str | None) -> str | None:
+        best = None
+        for end, hit in names.iter(found or ""):
+            key = (-len(hit), hit) if longest else (end - len(hit), -len(hit))
+            if best is None or key < best[0]:
+                best = key, hit
+        return best and best[1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = automaton(token, shared.value)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([find(names, x.as_py()) for x in b.column(at)], pa.string())], names=[*b.schema.names, out])
+
+    at = texts.columns.index(text)
+    return texts.mapInArrow(run, StructType([*texts.schema.fields, StructField(out, StringType())]))
+
+
+def _contained_by_join(texts: DataFrame, text: str, held: DataFrame, out: str, which: str) -> DataFrame:
     lengths = sorted(r.n for r in held.select(F.length("_name").alias("n")).distinct().collect())
-    size = F.length(F.col(text))
+    rows, size = cut(texts.withColumn("_row", F.monotonically_increasing_id())), F.length(F.col(text))
 
     def of_length(n: int) -> Column:
-        return F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(F.col(text), i, F.lit(n))))
+        return F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.struct(i.alias("at"), F.substring(F.col(text), i, F.lit(n)).alias("name"))))
 
-    pieces = [of_length(n) for n in lengths]
-    cut = texts.select(*ident, F.explode(F.array_distinct(F.flatten(F.array_compact(F.array(*pieces))))).alias("_name")) if pieces else texts.select(*ident, F.lit("").alias("_name")).limit(0)
-    most = F.max(F.struct(F.length("_name").alias("n"), F.transform(F.split("_name", ""), lambda c: -F.ascii(c)).alias("k"), "_name"))
-    hits = cut.join(checked_broadcast(held), "_name").groupBy(*ident).agg(most.alias("_m"))
-    return texts.join(hits.select(*ident, F.col("_m._name").alias(out)), ident, "left")
+    cut_up = rows.select("_row", F.explode(F.flatten(F.array_compact(F.array(*map(of_length, lengths))))).alias("_p")).select("_row", "_p.at", F.col("_p.name").alias("_name"))
+    smaller = F.transform(F.split("_name", ""), lambda c: -F.ascii(c))
+    order = [F.length("_name").alias("n"), smaller.alias("k")] if which == "longest" else [(-F.col("at")).alias("a"), F.length("_name").alias("n")]
+    hits = cut_up.join(held, "_name").groupBy("_row").agg(F.max(F.struct(*order, "_name"))["_name"].alias(out))
+    return rows.join(hits, "_row", "left").drop("_row")
+
+
+def contained_either_way(texts: DataFrame, text: str, names: DataFrame, name: str, out: str) -> DataFrame:
+    """D-16, both ways: the longest name within the text, else the shortest name that the whole text lies within."""
+    inner = contained(texts, text, names, name, out)
+    open_texts = inner.filter(F.col(out).isNull() & (F.length(text) > 0)).select(F.col(text).alias("_t")).distinct()
+    outer = contained_in(names.select(F.col(name).alias("_name")).distinct(), "_name", open_texts, "_t")
+    best = outer.groupBy("_t").agg(F.min(F.struct(F.length("_name").alias("n"), "_name"))["_name"].alias("_around"))
+    return inner.join(best, inner[text] == best["_t"], "left").withColumn(out, F.coalesce(out, "_around")).drop("_t", "_around")
+
+
+def contained_in(longer: DataFrame, text: str, shorter: DataFrame, part: str) -> DataFrame:
+    """The pairs (text, part) where a short string lies within a longer one; pieces of the parts' lengths meet them in a join."""
+    lengths = sorted(r.n for r in shorter.select(F.length(part).alias("n")).distinct().collect())
+    size = F.length(F.col(text))
+    pieces = [F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i, n=n: F.substring(F.col(text), i, F.lit(n)))) for n in lengths]
+    if not pieces:
+        return longer.select(text).limit(0).withColumn(part, F.lit(""))
+    return longer.select(text, F.explode(F.array_distinct(F.flatten(F.array_compact(F.array(*pieces))))).alias(part)).join(shorter.select(part).distinct(), part)
+
+
+def longest_contained(texts: DataFrame, text: str, ident: list[str], names: DataFrame, name: str, out: str) -> DataFrame:
+    """D-16 with `ident`, which rows no longer need."""
+    return contained(texts, text, names, name, out)
 
 
 def prefer_source(preferred: DataFrame, other: DataFrame, keys: list[str], safe: list[str] | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from siftwell.functions.hashing import canonical_json, content_hash
 from siftwell.operators.latest import first_by
+from siftwell.operators.scan import number
 
 
 @dataclass(frozen=True)
@@ -75,12 +76,11 @@ def promote_placeholders(current: DataFrame, incoming: DataFrame, ident: str, na
 
 
 def register_members(dim: DataFrame, names: DataFrame, ident: str, name: str, cut: int | None = None) -> DataFrame:
-    """B-7: unknown names get ids after the largest, in order of the name."""
+    """B-7: unknown names get ids after the largest, in order of the name; numbered in segments."""
     wanted = names.select((F.left(F.col(name), F.lit(cut)) if cut else F.col(name)).alias(name)).filter(F.col(name).isNotNull()).distinct()
     new = wanted.join(dim.select(name), name, "left_anti")
     top = dim.agg(F.coalesce(F.max(ident), F.lit(0)).alias("_top"))
-    # A few new members: ranked in one task after a distinct.
-    numbered = new.withColumn("_rn", F.row_number().over(Window.orderBy(name))).join(F.broadcast(top))
+    numbered = number(new, [], [F.col(name).asc()], "_rn").join(F.broadcast(top))  # one row
     return dim.select(ident, name).unionByName(numbered.select((F.col("_top") + F.col("_rn")).cast(dim.schema[ident].dataType).alias(ident), name))
 
 

@@ -10,12 +10,17 @@ from siftwell.functions.text import base_major, code, full_name, has_variant, ma
 
 
 def batch_score(p: dict[str, Column], h: dict[str, Column]) -> Column:
-    """Agreement of batches: code, segment and text of plan and history; -1 rules the pair out."""
-    known = p["code"].isNotNull() & h["code"].isNotNull()
-    both = p["segment"].isNotNull() & h["segment"].isNotNull()
-    coded = F.when(p["code"] != h["code"], -1).when(both & (p["segment"] != h["segment"]), -1).when(both, 4).otherwise(3)
-    missing = (F.coalesce(p["text"], F.lit("")) == "") | (F.coalesce(h["text"], F.lit("")) == "")
-    return F.when(known, coded).otherwise(F.when(missing, 0).when(p["text"] == h["text"], 2).otherwise(-1))
+    """Agreement of batches: code, segment and text of plan and history, blank as null; -1 rules the pair out.
+
+    Equal codes: 4 with equal segments (also none on either side), 3 where one lacks it. Without both codes the texts decide.
+    """
+    known, there = {}, lambda x: F.nullif(F.trim(x), F.lit(""))
+    for side, row in (("p", p), ("h", h)):
+        known[side] = {k: there(v.cast("string")) for k, v in row.items()}
+    p, h = known["p"], known["h"]
+    coded = F.when(p["code"] != h["code"], -1).when(p["segment"] != h["segment"], -1).when(p["segment"].eqNullSafe(h["segment"]), 4).otherwise(3)
+    worded = F.when(p["text"].isNull() | h["text"].isNull(), 0).when(p["text"] == h["text"], 2).otherwise(-1)
+    return F.when(p["code"].isNotNull() & h["code"].isNotNull(), coded).otherwise(worded)
 
 
 def match_history(plans: DataFrame, past: DataFrame, years: list[int]) -> DataFrame:

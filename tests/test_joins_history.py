@@ -1,8 +1,12 @@
 """Joins and the baseline merge against plain Python."""
 
 import random
+import time
 
-from siftwell.operators import joins
+import pytest
+from pyspark.sql import functions as F
+
+from siftwell.operators import joins, scan
 from siftwell.plans import history
 
 
@@ -21,12 +25,61 @@ def test_asof_floor(spark):
         assert sorted((r.i, r.out) for r in joins.asof_floor(q, p, ["k"], "x", "v", "out", most).collect()) == want
 
 
-def test_longest_contained(spark):
-    names = ["ab", "abc", "b", "bcd", "zz", "学", "大学", ""]
-    texts = [(0, "xabcd"), (1, "b"), (2, ""), (3, None), (4, "北京大学"), (5, "zzab"), (6, "q")]
-    got = joins.longest_contained(spark.createDataFrame(texts, "i int, t string"), "t", ["i"], spark.createDataFrame([(n,) for n in names], "n string"), "n", "found").collect()
-    want = {i: min((n for n in names if n and t and n in t), key=lambda n: (-len(n), n), default=None) for i, t in texts}
-    assert {r.i: r.found for r in got} == want
+NAMES = ["ab", "abc", "b", "bcd", "zz", "学", "大学", "", None]
+TEXTS = [(0, "xabcd"), (1, "b"), (1, "xab"), (1, "zcd zz"), (2, ""), (3, None), (4, "北京大学"), (5, "zzab"), (6, "q"), (6, "q"), (7, "c"), (7, "bc")]
+
+
+@pytest.mark.parametrize("most", [1 << 20, 0])
+def test_contained(spark, most):
+    """By automaton and by join; rows that share an id, or are alike, each for themselves."""
+    texts, names = spark.createDataFrame(TEXTS, "i int, t string"), spark.createDataFrame([(n,) for n in NAMES], "n string")
+    hits = lambda t: [n for n in NAMES if n and t and n in t]
+    want = {"longest": lambda t: min(hits(t), key=lambda n: (-len(n), n), default=None), "first": lambda t: min(hits(t), key=lambda n: (t.index(n), -len(n)), default=None)}
+    for which, best in want.items():
+        got = [(r.i, r.t or "", r.found or "") for r in joins.contained(texts, "t", names, "n", "found", which, most).collect()]
+        assert sorted(got) == sorted((i, t or "", best(t) or "") for i, t in TEXTS)
+    assert {r.found for r in joins.contained(texts, "t", names.limit(0), "n", "found", most=most).collect()} == {None}
+    assert joins.contained(texts.limit(0), "t", names, "n", "found", most=most).count() == 0
+
+
+def test_contained_either_way(spark):
+    got = joins.contained_either_way(spark.createDataFrame(TEXTS, "i int, t string"), "t", spark.createDataFrame([(n,) for n in NAMES], "n string"), "n", "found").collect()
+    assert len(got) == len(TEXTS)
+    found = {r.t: r.found for r in got}
+    assert (found["c"], found["bc"], found["q"], found["xab"], found[""]) == ("abc", "b", None, "ab", None)
+
+
+def test_contained_in_a_long_text(spark):
+    began = time.time()
+    text = spark.range(1).select(F.concat(F.repeat(F.lit("ab"), 500_000), F.lit("c")).alias("t"))
+    names = spark.createDataFrame([("a" * k + "b",) for k in range(1, 300)] + [("abc",)], "n string")
+    assert joins.contained(text, "t", names, "n", "found").collect()[0].found == "abc" and time.time() - began < 60
+
+
+def test_scans_in_segments(spark):
+    """One key has most rows; it lies in several segments."""
+    rng = random.Random(7)
+    rows = [(rng.choice(["hot"] * 6 + ["a", "b", None]), i if rng.random() < 0.9 else None, rng.choice([None, None, i])) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, x int, v int").repartition(5)
+    order = [F.col("x").asc_nulls_first(), F.col("v").asc_nulls_first()]
+    dealt, _ = scan._dealt(df, ["k"], order, 6)
+    assert dealt.filter("k = 'hot'").select("_segment").distinct().count() > 2
+    place = lambda r: (r[1] is not None, r[1] or 0, r[2] is not None, r[2] or 0)
+    want, numbers = [], []
+    for key in {r[0] for r in rows}:
+        last = None
+        for n, r in enumerate(sorted((r for r in rows if r[0] == key), key=place)):
+            last = last if r[2] is None else r[2]
+            want.append((*r, last))
+            numbers.append((*r, n + 1))
+    key = lambda r: tuple((x is not None, x or 0) if not isinstance(x, str) else (True, x) for x in r)
+    got = scan.carry_forward(df, ["k"], order, F.col("v"), "last", 6).select("k", "x", "v", "last").collect()
+    assert sorted(map(key, map(tuple, got))) == sorted(map(key, want))
+    got = scan.number(df, ["k"], order, "n", 6).select("k", "x", "v", "n").collect()
+    assert sorted((key(r[:3]), r[3]) for r in map(tuple, got)) == sorted((key(r[:3]), r[3]) for r in numbers)
+    every = scan.number(df, [], order, "n", 6)
+    assert sorted(r.n for r in every.collect()) == list(range(1, 401)) and scan.number(df.limit(0), [], order, "n").count() == 0
+    assert scan.carry_forward(df.limit(0), ["k"], order, F.col("v"), "last").count() == 0
 
 
 def test_merge_baseline(spark):
@@ -45,3 +98,17 @@ def test_merge_baseline(spark):
             merged.append([*g, None])
     out = history.merge_baseline(spark.createDataFrame(made, "pos int, school string, code string, name string, v string"), spark.createDataFrame(base, "pos int, school string, code string, name string, v string, x int"), ["school", "code"], ["school", "name"], ["v"], ["pos"])
     assert sorted(map(repr, map(tuple, out.collect()))) == sorted(repr(tuple(r)) for r in merged)
+
+
+def test_batch_score(spark):
+    def score(p, h):
+        (pc, ps, pt), (hc, hs, ht) = p, h
+        if pc and hc:
+            return -1 if pc != hc or (ps and hs and ps != hs) else 4 if (ps or "") == (hs or "") else 3
+        return 0 if not pt or not ht else 2 if pt == ht else -1
+
+    values = [(c, s, t) for c in (None, "", "early", "regular") for s in (None, "", "A", "B") for t in (None, "", "x", "y")]
+    rows = [(*p, *h, score(p, h)) for p in values for h in values]
+    df = spark.createDataFrame(rows, "pc string, ps string, pt string, hc string, hs string, ht string, want int")
+    found = history.batch_score(*({k: F.col(side + k[0]) for k in ("code", "segment", "text")} for side in "ph"))
+    assert df.filter(~found.eqNullSafe(F.col("want"))).count() == 0

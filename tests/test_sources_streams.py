@@ -57,7 +57,49 @@ def test_ingest_retries(spark, tmp_path, monkeypatch):
     assert rows() == [(1, "a"), (2, "c")] and spark.read.parquet(f"{table}_snapshots").count() == 3
     spark.createDataFrame([(3, "d")], schema).coalesce(1).write.parquet(f"{tmp_path}/other")
     ingest.ingest(spark, f"{tmp_path}/other", schema, table, spec, f"{tmp_path}/check2")
-    assert rows() == [(1, "a"), (2, "c"), (3, "d")] and len(list((tmp_path / "table").iterdir())) == 2
+    assert rows() == [(1, "a"), (2, "c"), (3, "d")]
+
+
+def test_ingest_rewrites_only_what_it_touches(spark, tmp_path):
+    schema, spec = "k long, v string", EntitySpec("things", ("k",))
+    land, table = f"{tmp_path}/land", f"{tmp_path}/table"
+    files = lambda: {str(p.relative_to(table)) for p in (tmp_path / "table").rglob("*.parquet")}
+    spark.createDataFrame([(i, "a") for i in range(200)], schema).write.parquet(land)
+    ingest.ingest(spark, land, schema, table, spec, f"{tmp_path}/check", buckets=8)
+    before, first = files(), ingest.current(spark, table)
+    assert len(first["folders"]) == 8
+    spark.createDataFrame([(5, "b")], schema).coalesce(1).write.mode("append").parquet(land)
+    ingest.ingest(spark, land, schema, table, spec, f"{tmp_path}/check")
+    second = ingest.current(spark, table)
+    moved = [b for b in second["folders"] if second["folders"][b] != first["folders"][b]]
+    assert len(moved) == 1 and second["buckets"] == 8 and len(files() - before) == 1  # one file of eight is new
+    assert sorted(map(tuple, ingest.read(spark, table, schema).collect())) == sorted((i, "b" if i == 5 else "a") for i in range(200))
+    assert ingest.read(spark, table, schema, [int(moved[0])]).filter("k = 5").count() == 1
+    spark.createDataFrame([(5, "c")], schema).coalesce(1).write.mode("append").parquet(land)
+    ingest.ingest(spark, land, schema, table, spec, f"{tmp_path}/check")
+    assert first["folders"][moved[0]] not in {f.rsplit("/", 1)[0] for f in files()}  # replaced two commits ago
+    assert ingest.read(spark, table, schema).filter("v <> 'a'").collect() == [(5, "c")]
+
+
+def test_two_writers(spark, tmp_path, monkeypatch):
+    """Of two that begin from one version the second to commit fails, and loses nothing of the first's."""
+    schema, spec, table = "k long, v string", EntitySpec("things", ("k",)), f"{tmp_path}/table"
+    batch = lambda *rows: spark.createDataFrame(rows, schema)
+    ingest.merge_batch(spark, table, batch((1, "a")), schema, spec, 4, None, "one", 0)
+    point = ingest._point
+
+    def meanwhile(*a):
+        monkeypatch.setattr(ingest, "_point", point)
+        ingest.merge_batch(spark, table, batch((2, "b")), schema, spec, 4, None, "two", 0)
+        point(*a)
+
+    monkeypatch.setattr(ingest, "_point", meanwhile)
+    with pytest.raises(Exception, match="exists|FileAlreadyExists"):
+        ingest.merge_batch(spark, table, batch((3, "c")), schema, spec, 4, None, "one", 1)
+    ingest.merge_batch(spark, table, batch((3, "c")), schema, spec, 4, None, "one", 1)
+    assert sorted(map(tuple, ingest.read(spark, table, schema).collect())) == [(1, "a"), (2, "b"), (3, "c")]
+    assert ingest.vacuum(spark, table, 3600) == 0 and ingest.vacuum(spark, table, -5) == 1  # of the try that failed
+    assert sorted(map(tuple, ingest.read(spark, table, schema).collect())) == [(1, "a"), (2, "b"), (3, "c")]
 
 
 def test_ingest_sequence(spark, tmp_path):
