@@ -1,4 +1,4 @@
-"""Runs of many tasks (O-4 to O-6, O-8, O-11): stages, each with bounded concurrency; a later stage waits for whole success."""
+"""Runs of many tasks (O-4 to O-6, O-11): stages, each with bounded concurrency; a later stage waits for whole success."""
 
 from __future__ import annotations
 

@@ -117,7 +117,11 @@ def ingest(spark: SparkSession, landing: str, schema, table: str, spec: EntitySp
 
     def merge(batch: DataFrame, number: int) -> None:
         stream = json.loads(_text(spark, f"{checkpoint}/metadata"))["id"]
-        merge_batch(spark, table, batch, schema, spec, buckets, seq, stream, number)
+        held = batch.persist()  # it is read several times
+        try:
+            merge_batch(spark, table, held, schema, spec, buckets, seq, stream, number)
+        finally:
+            held.unpersist()
 
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
     run = source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
