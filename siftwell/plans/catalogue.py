@@ -648,12 +648,15 @@ def school_major_by_name(s, d):
 # ---- history and streams ------------------------------------------------------------------------------------------
 
 
-@query()
+@query(f"""WITH {ADM}, f AS (SELECT adm.*, p_name nm FROM adm JOIN part ON p_partkey = major_id WHERE province = {PROVINCE}), pl AS (SELECT *, concat_ws('-', k1, k2, major_id, school_id) AS plan_id, CASE WHEN k1 % 10 <> 0 THEN major_id END AS mid FROM f WHERE yr = 2000),
+c AS (SELECT pl.plan_id, pl.mid, pl.batch AS own, h.*, concat_ws('-', h.k1, h.k2, h.major_id, h.school_id, h.min_score) AS history_id FROM pl JOIN f h ON h.school_id = pl.school_id AND h.subject IS NOT DISTINCT FROM pl.subject AND h.nm = pl.nm AND h.yr IN (1998, 1999)),
+n AS (SELECT plan_id, yr, count(DISTINCT major_id) AS ids FROM c GROUP BY ALL)
+SELECT plan_id, yr AS year, history_id FROM (SELECT c.*, row_number() OVER (PARTITION BY plan_id, yr ORDER BY (min_rank IS NOT NULL)::INT + (min_score IS NOT NULL)::INT DESC, c.major_id, history_id) AS rn FROM c JOIN n USING (plan_id, yr) WHERE batch = own AND (mid IS NOT NULL OR ids <= 1)) WHERE rn = 1""")
 def history_match(s, d):
     p = plan(s, d).filter(F.col("province") == PROVINCE).join(parts(s, d), "major_id")
     a = adm(s, d).filter((F.col("province") == PROVINCE) & F.col("yr").isin(1998, 1999)).join(parts(s, d), "major_id")
     null = F.lit(None).cast("string")
-    common = lambda x: [x, "subject", F.col("major_name").alias("full_name"), F.col("major_name").alias("canonical_name"), null.alias("school_code"), null.alias("group_code"), F.col("major_id").cast("string").alias("major_code"), null.alias("batch_code"), null.alias("batch_segment"), F.col("batch").alias("batch_text")]
+    common = lambda x: [x, "subject", F.col("major_name").alias("full_name"), F.col("major_name").alias("canonical_name"), null.alias("school_code"), null.alias("group_code"), null.alias("major_code"), null.alias("batch_code"), null.alias("batch_segment"), F.col("batch").alias("batch_text")]
     plans = p.select(F.concat_ws("-", "k1", "k2", "major_id", "school_id").alias("plan_id"), F.col("plan_major").alias("_m"), *common("school_id"))
     plans = plans.withColumnRenamed("_m", "major_id")
     past = a.select(F.concat_ws("-", "k1", "k2", "major_id", "school_id", "min_score").alias("history_id"), F.col("yr").alias("year"), F.col("major_id"), F.lit(1).alias("official"), "min_rank", "min_score", F.lit(None).cast("bigint").alias("admitted_count"), "plan_count", *common("school_id"))
