@@ -5,8 +5,8 @@ pattern; other texts are cut only before a space that ends a run of white space,
 always cuts, into runs of whole pre-tokens. Either has a number of tokens that its neighbours don't
 change. Tier one is a broadcast table, of a fixed number of entries, of the frequent pre-tokens' token
 counts; tier two is a bounded cache in each Python worker, which outlives tasks and is filled by
-encoding a batch's misses together. Pre-tokens are never shuffled. Tier one's entries are the most frequent
-pre-tokens of about `sample` rows (a documented bound), which one task counts; they never change a result.
+encoding a batch's misses together. Texts and their pre-tokens are never shuffled. Tier one's entries are the most frequent
+pre-tokens of about `sample` rows (a documented bound), counted where they are read; they never change a result.
 
 Null text: empty, 0 tokens. A text with one of the tokenizer's special strings is encoded whole, by
 the library's default; other very long texts are cut where pre-tokens end and taken part by part. Repeated
@@ -144,7 +144,10 @@ class Lookup(Cache):
 
 
 def frequent_pieces(docs: DataFrame, text_col: str, entries: int, sample: int) -> list[str]:
-    """The most frequent pre-tokens of about `sample` rows, whose texts meet in one task; `entries` at most."""
+    """The most frequent pre-tokens of about `sample` rows; `entries` at most.
+
+    Rows are counted where they are read; a task passes on its `entries` most frequent pieces, and the tasks' lists are added up by Spark.
+    """
 
     def summary(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -154,12 +157,13 @@ def frequent_pieces(docs: DataFrame, text_col: str, entries: int, sample: int) -
                     seen.update(byte_level_cut(text[a : a + LONG]))
                     if len(seen) > 32 * entries:
                         seen = Counter(dict(seen.most_common(4 * entries)))
-        top = [x for x in seen.most_common(entries) if x[1] > 1 and len(x[0]) <= 32]
+        top = [x for x in seen.most_common(entries) if len(x[0]) <= 32]
         yield batch([("piece", pa.string()), ("n", pa.int64())], [x for x, _ in top], [n for _, n in top])
 
     texts = docs.select(F.col(text_col).alias("text"))
-    some = texts.sample(min(1.0, sample / max(1, docs.count())), 1).repartition(1)
-    return [r.piece for r in map_arrow(some, summary, "piece string, n long").collect()]
+    counted = map_arrow(texts.sample(min(1.0, sample / max(1, docs.count())), 1), summary, "piece string, n long")
+    found = counted.groupBy("piece").agg(F.sum("n").alias("n")).filter("n > 1").orderBy(F.desc("n"), "piece").limit(entries)
+    return [r.piece for r in found.collect()]
 
 
 def text_groups(column: pa.Array) -> Iterator[list[str]]:
