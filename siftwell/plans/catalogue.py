@@ -403,13 +403,13 @@ def cdc_in_batch_sequence(s, d):
 def _people(s, d):
     c = t(s, d, "customer").select("c_custkey", "c_name", F.col("c_nationkey").cast("bigint").alias("nation"), "c_mktsegment")
     cur = c.filter("c_custkey % 3 <> 0").withColumn("nation", F.when(F.col("c_custkey") % 5 != 0, F.col("nation")))
-    inc = c.filter("c_custkey % 2 = 0").withColumn("nation", F.when(F.col("c_custkey") % 4 != 0, F.col("nation"))).withColumn("c_name", F.concat(F.col("c_name"), F.when(F.col("c_custkey") % 10 == 0, "!").otherwise("")))
+    inc = c.filter("c_custkey % 2 = 0 OR c_custkey % 3 = 0").withColumn("nation", F.when(F.col("c_custkey") % 4 != 0, F.col("nation"))).withColumn("c_name", F.concat(F.col("c_name"), F.when(F.col("c_custkey") % 10 == 0, "!").otherwise("")))
     return cur, inc
 
 
 _PEOPLE = """WITH c AS (SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) nation, c_mktsegment FROM customer),
 cur AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 5 <> 0 THEN nation END nation, c_mktsegment FROM c WHERE c_custkey % 3 <> 0),
-inc AS (SELECT c_custkey, c_name || CASE WHEN c_custkey % 10 = 0 THEN '!' ELSE '' END c_name, CASE WHEN c_custkey % 4 <> 0 THEN nation END nation, c_mktsegment FROM c WHERE c_custkey % 2 = 0),
+inc AS (SELECT c_custkey, c_name || CASE WHEN c_custkey % 10 = 0 THEN '!' ELSE '' END c_name, CASE WHEN c_custkey % 4 <> 0 THEN nation END nation, c_mktsegment FROM c WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0),
 rest AS (SELECT * FROM cur WHERE c_custkey NOT IN (SELECT c_custkey FROM inc)) """
 
 
@@ -663,12 +663,12 @@ def history_match(s, d):
     return history.match_history(plans, past, [1998, 1999])
 
 
-@query("""WITH g AS (SELECT p_partkey k, p_name nm, p_brand v FROM part WHERE p_partkey % 2 = 0), b AS (SELECT p_partkey k, p_name || '' nm, 'old' v, CAST(p_size AS BIGINT) x FROM part WHERE p_partkey % 3 = 0)
+@query("""WITH g AS (SELECT p_partkey k, p_name nm, p_brand v FROM part WHERE p_partkey % 2 = 0), b AS (SELECT p_partkey k, p_name || '' nm, 'old' v, CAST(p_size AS BIGINT) x FROM part WHERE p_partkey % 3 = 0 OR p_partkey % 2 = 1)
 SELECT b.k, b.nm, coalesce(g.v, b.v) v, b.x FROM b LEFT JOIN g USING (k) UNION ALL SELECT g.k, g.nm, g.v, NULL FROM g WHERE k NOT IN (SELECT k FROM b)""")
 def baseline_merge(s, d):
     p = t(s, d, "part")
     g = p.filter("p_partkey % 2 = 0").select(F.col("p_partkey").alias("k"), F.col("p_name").alias("nm"), F.col("p_brand").alias("v"))
-    b = p.filter("p_partkey % 3 = 0").select(F.col("p_partkey").alias("k"), F.col("p_name").alias("nm"), F.lit("old").alias("v"), F.col("p_size").cast("bigint").alias("x"))
+    b = p.filter("p_partkey % 3 = 0 OR p_partkey % 2 = 1").select(F.col("p_partkey").alias("k"), F.col("p_name").alias("nm"), F.lit("old").alias("v"), F.col("p_size").cast("bigint").alias("x"))
     return history.merge_baseline(g, b, ["k"], ["k", "nm"], ["v"])
 
 
