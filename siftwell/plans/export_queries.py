@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwell.plans import exports
+from siftwell.plans import answer_readiness, exports
 from siftwell.plans.adapters import ADM, adm, t
 from siftwell.plans.registry import query
 
@@ -72,3 +72,49 @@ def export_rows(s, d):
     out = _exported(s, d)
     some = [0, 1, 3, 4, 5, 7, 9, 10, 11, 12, 13, 14, 17, 18, *range(19, 41), 43, 48, 57, 58, 62]
     return out.select(*[f"c{i}" for i in some], F.when(F.col("c15") == "4", "四").alias("c15_sign"))
+
+
+def _answers(s, d, **asked) -> DataFrame:
+    x = _tables(s, d)
+    third = lambda c: F.when(F.col("k1") % 3 != 0, F.col(c))
+    plans = x["plans"].withColumns({"major_group_code": third("batch"), "major_code_raw": F.when(F.col("k1") % 5 != 0, F.col("k1").cast("string")), "plan_count": F.when(F.col("plan_count") > 3, F.col("plan_count")), "batch_category": F.col("origin")})
+    results = x["results"].withColumns({"max_score": third("min_score"), "avg_score": F.when(F.col("k1") % 5 == 0, F.col("min_score")), "batch_category": F.col("origin")})
+    provinces = x["provinces"].withColumn("code", F.concat(F.lit("P"), "id"))
+    line = t(s, d, "lineitem").select(F.col("l_suppkey").alias("school_id"), F.col("l_partkey").alias("major_id"), "l_quantity", "l_returnflag")
+    taught = line.groupBy("school_id", "major_id").agg(F.when(F.max("l_quantity") > 49, True).alias("is_featured_major"), F.when(F.min("l_quantity") < 2, 1).alias("major_strength_rank"), F.when(F.max("l_quantity") == 42, 1).alias("major_strength_score"))
+    return answer_readiness.answer_readiness(provinces, plans, results, x["schools"], x["majors"], taught, line.filter("l_returnflag = 'R'"), year=YEAR, years=[YEAR - 2, YEAR - 1], **asked)
+
+
+def _answers_sql(scope: str, province: int) -> str:
+    """By windows over the facts: each plan's rows by id, else by name."""
+    return f"""WITH {ADM}, f AS (SELECT {_ID} AS id, adm.*, p_name AS nm FROM adm JOIN part ON p_partkey = major_id WHERE province = {province} AND {scope}),
+pl AS (SELECT *, CASE WHEN k1 % 10 <> 0 THEN major_id END AS mid FROM f WHERE yr = {YEAR}), a AS (SELECT * FROM f WHERE yr IN ({YEAR - 2}, {YEAR - 1})),
+w AS (SELECT school_id, 'major_id' AS kind, major_id::VARCHAR AS k, * EXCLUDE (school_id) FROM a UNION ALL SELECT school_id, 'normalized_name', nm, * EXCLUDE (school_id) FROM a),
+h AS (SELECT school_id, kind, k, count(DISTINCT CASE WHEN min_score IS NOT NULL THEN yr END) AS ys, count(DISTINCT CASE WHEN min_rank IS NOT NULL THEN yr END) AS yk, max(yr) FILTER (min_score IS NOT NULL) AS sy, max(yr) FILTER (min_rank IS NOT NULL) AS ky,
+  arg_max(min_score, yr * 10000000 - min_score) AS sc, arg_max(min_rank, yr * 10000000 - min_rank) AS rk, bool_or(min_score IS NOT NULL AND k1 % 3 <> 0) AS mx, bool_or(min_score IS NOT NULL AND k1 % 5 = 0) AS av, bool_or(min_rank IS NOT NULL) AS ad FROM w GROUP BY ALL),
+st AS (SELECT l_suppkey, l_partkey, max(l_quantity) > 49 OR min(l_quantity) < 2 OR max(l_quantity) = 42 OR bool_or(l_returnflag = 'R') AS strong FROM lineitem GROUP BY ALL),
+j AS (SELECT pl.*, CASE WHEN e.kind IS NOT NULL THEN e ELSE n END AS x, e.kind IS NOT NULL AS linked, coalesce(strong, false) AS strong FROM pl LEFT JOIN h e ON e.kind = 'major_id' AND e.school_id = pl.school_id AND e.k = pl.mid::VARCHAR
+  LEFT JOIN h n ON n.kind = 'normalized_name' AND n.school_id = pl.school_id AND n.k = pl.nm LEFT JOIN st ON l_suppkey = pl.school_id AND l_partkey = pl.mid)
+SELECT 'P' || province AS province_code, n_name AS province_name, CAST({YEAR} AS INT) AS plan_year, school_id, s_name AS school_name, id AS enrollment_plan_id, mid AS major_id, nm AS major_name, CASE WHEN plan_count > 3 THEN plan_count END AS plan_count,
+  coalesce(CASE WHEN k1 % 3 <> 0 THEN batch END, '') AS group_codes, coalesce(CASE WHEN k1 % 5 <> 0 THEN k1::VARCHAR END, '') AS code_raws, '物理+ 化学' AS requirements, x.kind AS admission_match_type, x.sy AS latest_min_score_year, x.sc AS latest_min_score, x.ky AS latest_min_rank_year, x.rk AS latest_min_rank,
+  CAST(coalesce(x.ys, 0) AS INT) AS years_with_min_score, CAST(coalesce(x.yk, 0) AS INT) AS years_with_min_rank, coalesce(x.mx, false) AS has_max_score, coalesce(x.av, false) AS has_avg_score, coalesce(x.ad, false) AS has_admitted_count, strong AS has_strength_evidence,
+  concat_ws(',', CASE WHEN plan_count <= 3 THEN 'missing_plan_count' END, CASE WHEN k1 % 3 = 0 THEN 'missing_major_group_code' END, CASE WHEN k1 % 5 = 0 THEN 'missing_major_code_raw' END, CASE WHEN NOT linked THEN 'missing_admission_linkage' END,
+    CASE WHEN coalesce(x.ys, 0) < 2 THEN 'missing_admission_min_score' END, CASE WHEN coalesce(x.yk, 0) < 2 THEN 'missing_admission_min_rank' END, CASE WHEN NOT strong THEN 'missing_strength_evidence' END) AS flags
+FROM j JOIN supplier ON s_suppkey = school_id JOIN nation ON n_nationkey = province"""
+
+
+def _flat(out: DataFrame) -> DataFrame:
+    lists = {"major_group_codes": "group_codes", "major_code_raws": "code_raws", "selection_requirements": "requirements", "readiness_flags": "flags"}
+    return out.select(*[c for c in out.columns if c not in lists], *[F.array_join(c, ",").alias(n) for c, n in lists.items()])
+
+
+@query(_answers_sql("true", 3))
+def answer_readiness_all(s, d):
+    """A province by its name, all subjects and batches."""
+    return _flat(_answers(s, d, province=PLACE))
+
+
+@query(_answers_sql("subject = 'A' AND (batch = 'F' OR origin = 'F')", 7))
+def answer_readiness_scoped(s, d):
+    """By its code, one subject and one batch category."""
+    return _flat(_answers(s, d, province="P7", subject="A", batch="F"))
