@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siftwell.functions import classify, text
 from siftwell.operators.latest import pick
+from siftwell.operators.rounds import cut
 from siftwell.plans.history import match_history
 
 #: The site whose rows count as official; where a school's charters are listed.
@@ -90,12 +91,13 @@ def export_rows(plans: DataFrame, admissions: DataFrame, past_plans: DataFrame,
     planned: from the admission that matches, the number planned else from the plan that matches), then the school's 25.
     """
     years = [year - k for k in range(1, 5)]
-    asked = _matched_by(plans, "plan_id", "major_full_name", [])
+    plans, admissions, past_plans = cut(plans), cut(admissions), cut(past_plans)  # each is read several times
+    asked = cut(_matched_by(plans, "plan_id", "major_full_name", []))
     null = F.lit(None).cast("bigint")
     facts = ["year", F.when(F.col("data_source") == OFFICIAL, 1).otherwise(0).alias("official"), "min_rank", "min_score", "admitted_count", "plan_count"]
-    past = _matched_by(admissions, "admission_id", "major_name_raw", facts).withColumnRenamed("admission_id", "history_id")
+    past = cut(_matched_by(admissions, "admission_id", "major_name_raw", facts).withColumnRenamed("admission_id", "history_id"))
     older = ["year", F.lit(0).alias("official"), null.alias("min_rank"), null.alias("min_score"), null.alias("admitted_count"), "plan_count"]
-    old = _matched_by(past_plans, "historical_plan_id", "major_name", older).withColumnRenamed("historical_plan_id", "history_id")
+    old = cut(_matched_by(past_plans, "historical_plan_id", "major_name", older).withColumnRenamed("historical_plan_id", "history_id"))
     results = admissions.select(F.col("admission_id").cast("string").alias("history_id"), "admitted_count", "min_score", "min_rank", "batch", "plan_count")
     planned = past_plans.select(F.col("historical_plan_id").cast("string").alias("history_id"), "plan_count")
     by_result = _by_year(match_history(asked, past, years).join(results, "history_id"), years, ["admitted_count", "min_score", "min_rank", "batch", "plan_count", "history_id"], "_results")
