@@ -26,6 +26,11 @@ def as_text(x: Column | str) -> Column:  # I-2
     return F.nullif(clean_text(x), F.lit(""))
 
 
+def json_filled(x: Column | str) -> Column:
+    """C-10: JSON that is there and is not an empty list; what can't be read is not there."""
+    return F.coalesce(F.try_parse_json(_c(x)).isNotNull() & ~F.coalesce(F.json_array_length(_c(x)) == 0, F.lit(False)), F.lit(False))
+
+
 def first_text(*values: Column | str) -> Column:  # I-3
     return F.coalesce(*[as_text(v) for v in values])
 

@@ -74,18 +74,27 @@ def export_rows(s, d):
     return out.select(*[f"c{i}" for i in some], F.when(F.col("c15") == "4", "四").alias("c15_sign"))
 
 
-def _answers(s, d, **asked) -> DataFrame:
+def stored(s, d) -> dict[str, DataFrame]:
+    """The tables by the names that audits know, with gaps."""
     x = _tables(s, d)
     third = lambda c: F.when(F.col("k1") % 3 != 0, F.col(c))
     plans = x["plans"].withColumns({"major_group_code": third("batch"), "major_code_raw": F.when(F.col("k1") % 5 != 0, F.col("k1").cast("string")), "plan_count": F.when(F.col("plan_count") > 3, F.col("plan_count")), "batch_category": F.col("origin")})
     results = x["results"].withColumns({"max_score": third("min_score"), "avg_score": F.when(F.col("k1") % 5 == 0, F.col("min_score")), "batch_category": F.col("origin")})
-    provinces = x["provinces"].withColumn("code", F.concat(F.lit("P"), "id"))
     line = t(s, d, "lineitem").select(F.col("l_suppkey").alias("school_id"), F.col("l_partkey").alias("major_id"), "l_quantity", "l_returnflag")
     taught = line.groupBy("school_id", "major_id").agg(F.when(F.max("l_quantity") > 49, True).alias("is_featured_major"), F.when(F.min("l_quantity") < 2, 1).alias("major_strength_rank"), F.when(F.max("l_quantity") == 42, 1).alias("major_strength_score"))
-    return answer_readiness.answer_readiness(provinces, plans, results, x["schools"], x["majors"], taught, line.filter("l_returnflag = 'R'"), year=YEAR, years=[YEAR - 2, YEAR - 1], **asked)
+    taught = taught.withColumn("strength_evidence", F.when(F.col("major_id") % 4 == 0, "[]").when(F.col("major_id") % 4 == 1, '["a"]').when(F.col("major_id") % 4 == 2, "[ ]"))
+    return {
+        "provinces": x["provinces"].withColumn("code", F.concat(F.lit("P"), "id")), "enrollment_plans": plans, "major_admission_results": results, "schools": x["schools"], "majors": x["majors"],
+        "school_majors": taught, "school_major_strength_signals": line.filter("l_returnflag = 'R'"),
+    }
+
+
+def _answers(s, d, **asked) -> DataFrame:
+    x = stored(s, d)
+    return answer_readiness.answer_readiness(x["provinces"], x["enrollment_plans"], x["major_admission_results"], x["schools"], x["majors"], x["school_majors"], x["school_major_strength_signals"], year=YEAR, years=[YEAR - 2, YEAR - 1], **asked)
 
 
-def _answers_sql(scope: str, province: int) -> str:
+def answers_sql(scope: str, province: int) -> str:
     """By windows over the facts: each plan's rows by id, else by name."""
     return f"""WITH {ADM}, f AS (SELECT {_ID} AS id, adm.*, p_name AS nm FROM adm JOIN part ON p_partkey = major_id WHERE province = {province} AND {scope}),
 pl AS (SELECT *, CASE WHEN k1 % 10 <> 0 THEN major_id END AS mid FROM f WHERE yr = {YEAR}), a AS (SELECT * FROM f WHERE yr IN ({YEAR - 2}, {YEAR - 1})),
@@ -108,13 +117,13 @@ def _flat(out: DataFrame) -> DataFrame:
     return out.select(*[c for c in out.columns if c not in lists], *[F.array_join(c, ",").alias(n) for c, n in lists.items()])
 
 
-@query(_answers_sql("true", 3))
+@query(answers_sql("true", 3))
 def answer_readiness_all(s, d):
     """A province by its name, all subjects and batches."""
     return _flat(_answers(s, d, province=PLACE))
 
 
-@query(_answers_sql("subject = 'A' AND (batch = 'F' OR origin = 'F')", 7))
+@query(answers_sql("subject = 'A' AND (batch = 'F' OR origin = 'F')", 7))
 def answer_readiness_scoped(s, d):
     """By its code, one subject and one batch category."""
     return _flat(_answers(s, d, province="P7", subject="A", batch="F"))

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from siftwell.functions import security
-from siftwell.plans import catalogue, claim_queries, export_queries, scan_queries, source_queries  # noqa: F401
+from siftwell.plans import audit_queries, catalogue, claim_queries, export_queries, scan_queries, source_queries  # noqa: F401
 
 D = "/root/testdata/sf0.001"
 
