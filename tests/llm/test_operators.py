@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import hypothesis
 import numpy as np
 import public_tokenizers
@@ -105,7 +106,49 @@ def measured(text):
     words, lines = re.findall(r"[^\x20\x09-\x0D]+", text), [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
     twice = {i + d for i, w in enumerate(windows) if windows.count(w) > 1 for d in range(3)}
-    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(twice)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(twice), len(lines)
+
+
+def judged(rows):
+    """host_rules and kept of each row, by hand."""
+    fails = {
+        "few_words": lambda r: r.n_words < 50, "repeated_words": lambda r: 100 * r.n_repeat_words > 50 * r.n_words,
+        "repeated_lines": lambda r: 100 * r.n_dup_lines > 30 * r.n_lines, "symbols": lambda r: 100 * r.n_symbols > 10 * r.n_words,
+    }
+    hosts, bad = Counter(r.host for r in rows if r.host is not None), {}
+    for rule, test in fails.items():
+        failed = Counter(r.host for r in rows if r.host is not None and test(r))
+        t = sum(hosts.values())
+        m = sum(failed.values()) / t
+        spread = max(sum(n * (failed[h] / n) ** 2 for h, n in hosts.items()) / t - m * m - m * (1 - m) * len(hosts) / t, 1e-9)
+        strength = min(max(m * (1 - m) / spread - 1, 1.0), 1e6)
+        for h, n in hosts.items():
+            if (failed[h] + m * strength) / (n + strength) >= 0.5:
+                bad.setdefault(h, set()).add(rule)
+    return all(r.host_rules == ",".join(sorted(bad.get(r.host, ()))) and r.kept == (not r.base_failed and r.host not in bad) for r in rows)
+
+
+def hosted():
+    """Hosts that fail each rule alone, one at a rate of exactly a half, one mixed below it, clean ones and rows without a host."""
+    clean = lambda i: "\n".join(" ".join(f"w{i}x{j}y{k}" for k in range(10)) for j in range(7))
+    bad = {"few": lambda i: "too short", "again": lambda i: "a b c d " * 30, "lines": lambda i: "one line twice\n" * 5 + clean(i), "signs": lambda i: clean(i) + " # * $ % & | < > # * $"}
+    rows = [(name, text(i) if i < 9 else clean(i)) for name, text in bad.items() for i in range(10)]
+    rows += [("half", bad["few"](i) if i < 5 else clean(100 + i)) for i in range(10)] + [("mixed", bad["signs"](i) if i < 4 else clean(200 + i)) for i in range(10)]
+    rows += [(f"good{h}", clean(1000 * h + i)) for h in range(1, 8) for i in range(10)] + [(None, bad["signs"](1)), (None, None), (None, bad["few"](1)), ("one", clean(9)), ("", clean(8)), ("", "")]
+    return [(i, x, h) for i, (h, x) in enumerate(rows)] + [(0, rows[0][1], "few"), (None, clean(7), "signs")]
+
+
+def test_rules_reject_hosts(spark, tmp_path):
+    spark.createDataFrame(hosted(), "doc_id long, text string, source string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = quality_rules.apply_rules(spark.read.parquet(str(tmp_path / "documents.parquet"))).collect()
+    found = {r.host: r.host_rules for r in rows}
+    assert judged(rows) and [found[h] for h in ("few", "again", "lines", "signs", "mixed", "good1", None)] == ["few_words", "repeated_words", "repeated_lines", "symbols", "", "", ""]
+    assert any(not r.base_failed and not r.kept for r in rows) and all(r.kept for r in rows if (r.host or "").startswith("good")) and sum(r.kept for r in rows if r.host is None) == 1
+    out = quality_rules.op4_quality_rules(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    asked = con.sql(f"SELECT {', '.join(out.columns)} FROM ({quality_rules.OP4_SQL})").fetchall()
+    assert sorted(map(repr, asked)) == sorted(repr(tuple(r)) for r in out.collect())
 
 
 def test_rules(docs, none, monkeypatch):
@@ -114,12 +157,7 @@ def test_rules(docs, none, monkeypatch):
     got = quality_rules.measures(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])]))
     assert [tuple(x) for x in got.tolist()] == [measured(x) for x in texts]
     rows = quality_rules.apply_rules(docs).collect()
-    hosts, failed = Counter(r.host for r in rows if r.host is not None), Counter(r.host for r in rows if r.host is not None and r.base_failed)
-    m, t = sum(failed.values()) / sum(hosts.values()), sum(hosts.values())
-    spread = max(sum(n * (failed[h] / n) ** 2 for h, n in hosts.items()) / t - m * m - m * (1 - m) * len(hosts) / t, 1e-9)
-    strength = min(max(m * (1 - m) / spread - 1, 1.0), 1e6)
-    bad = {h for h, n in hosts.items() if (failed[h] + m * strength) / (n + strength) >= 0.5}
-    assert len(rows) == docs.count() and all(r.kept == (not r.base_failed and r.host not in bad) for r in rows)
+    assert len(rows) == docs.count() and judged(rows)
     assert quality_rules.apply_rules(none).count() == 0
     monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
     assert quality_rules.apply_rules(docs).select("doc_id", "kept").exceptAll(docs.sparkSession.createDataFrame([(r.doc_id, r.kept) for r in rows], "doc_id long, kept boolean")).count() == 0
@@ -167,7 +205,7 @@ def test_queries(spark):
         "op1_token_counts": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
         "op2_sharding": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, grown_shard int",
         "op3_best_fit_packing": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
-        "op4_quality_rules": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean",
+        "op4_quality_rules": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean, n_lines bigint, host_rules string",
         "op5_quality_classifier": "doc_id bigint, held_out boolean, score double, predicted int",
         "op6_jaccard_join": "doc_id bigint, n_shingles bigint, component_id bigint",
         "op8_pii": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_spans bigint, scores string, top_score double",
