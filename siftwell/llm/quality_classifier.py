@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ FEATURES = 2 * DIMS + 6
 #: Where each kind of feature is.
 KINDS = {"context": slice(0, DIMS), "shape": slice(DIMS, 2 * DIMS), "counts": slice(2 * DIMS, FEATURES)}
 #: Words whose vectors are gathered at a time; rows of the context table that travel together.
-SLICE, ROWS = 1 << 15, 512
+SLICE, ROWS, FAN = 1 << 15, 512, 128
 _SIGN, _UPPER, _LETTER, _DIGIT, _LINE = (np.zeros(256, bool) for _ in range(5))
 _SIGN[list(b".,;:!?\"'()[]{}<>|#*$%&-_/\\=+~@^`")] = True
 _UPPER[65:91] = _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = _DIGIT[48:58] = _LINE[10] = True
@@ -124,29 +125,48 @@ def neighbour_sums(column: pa.Array, total: np.ndarray, places: np.ndarray) -> N
                 np.add(total, got, total) if c < 4 else np.subtract(total, got, total)
 
 
+def sums_packed(total: np.ndarray) -> bytes:
+    """Zigzag, byte by byte: of small numbers the high bytes are zero and compress."""
+    zigzag = ((total << 1) ^ (total >> 63)).astype("<u8").ravel()
+    return np.ascontiguousarray(zigzag.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def sums_unpacked(packed: bytes | pa.Buffer) -> np.ndarray:
+    z = np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+    return (z >> np.uint64(1)).astype(np.int64) ^ -(z & np.uint64(1)).astype(np.int64)
+
+
 def context_vectors(texts: DataFrame) -> np.ndarray:
-    """BUCKETS x DIMS, each row of length one (or zero), from all rows of a one-column table; a task sends its sums once."""
+    """BUCKETS x DIMS, each row of length one (or zero), from all rows of a one-column table.
+
+    A task sends its sums once; FAN tasks meet in a group, FAN of those groups in the next, so that a group holds FAN sums of
+    ROWS words at most, up to FAN ** 3 tasks.
+    """
 
     def sums(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = TaskContext.get().partitionId() // FAN
         total, places = np.zeros((BUCKETS, DIMS), np.int64), index_places(BUCKETS, 1)
         for b in rows:
             neighbour_sums(b.column(0), total, places)
         for k in range(0, BUCKETS, ROWS):
             part = total[k : k + ROWS]
             if part.any():
-                zigzag = ((part << 1) ^ (part >> 63)).astype("<u8").ravel()  # small numbers, whose high bytes are zero and compress
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.ascontiguousarray(zigzag.view(np.uint8).reshape(-1, 8).T).tobytes()], pa.binary())], names=["k", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([of], pa.int32()), pa.array([sums_packed(part)], pa.binary())], names=["k", "of", "v"])
 
     def added(t: pa.Table) -> pa.Table:
         total = np.zeros(ROWS * DIMS, np.int64)
         for v in t.column("v"):
-            z = np.ascontiguousarray(np.frombuffer(v.as_buffer(), np.uint8).reshape(8, -1).T).view("<u8").ravel()
-            total += (z >> np.uint64(1)).astype(np.int64) ^ -(z & np.uint64(1)).astype(np.int64)
-        return pa.table({"k": t.column("k")[:1], "v": pa.array([total.tobytes()], pa.binary())})
-
-    out = np.zeros((BUCKETS, DIMS), np.float32)
-    for r in map_arrow(texts, sums, "k int, v binary").groupBy("k").applyInArrow(added, "k int, v binary").toLocalIterator():  # BUCKETS / ROWS rows of a fixed size
-        out[r.k : r.k + ROWS] = np.frombuffer(r.v, np.int64).reshape(-1, DIMS)
+            total += sums_unpacked(v.as_buffer())
+        return pa.table({"k": t.column("k")[:1], "of": pa.array([t.column("of")[0].as_py() // FAN], pa.int32()), "v": pa.array([sums_packed(total)], pa.binary())})
+
+    kinds = "k int, of int, v binary"
+    found = map_arrow(texts, sums, kinds)
+    for _ in range(3):
+        found = found.groupBy("k", "of").applyInArrow(added, kinds)
+    out = np.zeros((BUCKETS, DIMS), np.int64)
+    for r in found.toLocalIterator():  # a row of a fixed size for each BUCKETS / ROWS, and for each FAN ** 3 tasks
+        out[r.k : r.k + ROWS] += sums_unpacked(r.v).reshape(-1, DIMS)
+    out = out.astype(np.float32)
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-6)
 
 

@@ -175,8 +175,11 @@ def test_classifier(spark, docs, none):
     assert quality_classifier.score(none, model).count() == 0 and quality_classifier.train(none, labels, ~quality_classifier.held_out())["net"] is None
 
 
-def test_classifier_context_vectors(spark, docs):
-    texts = docs.select("text").filter("length(text) < 5000")
+@pytest.mark.parametrize("fan", [2, 128])
+def test_classifier_context_vectors(spark, docs, monkeypatch, fan):
+    """Also where the sums of twenty tasks meet two by two, and more than one is left at the end."""
+    monkeypatch.setattr(quality_classifier, "FAN", fan)
+    texts = docs.select("text").filter("length(text) < 5000").repartition(20)
     want = np.zeros((quality_classifier.BUCKETS, quality_classifier.DIMS))
     index = quality_classifier.index_vectors(quality_classifier.BUCKETS, 1)
     for r in texts.collect():
