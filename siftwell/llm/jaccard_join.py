@@ -227,9 +227,11 @@ def link(docs: DataFrame, size: int = 5, percent: int = 80, text_col: str = "tex
 
     member = classes.withColumn("node", F.xxhash64("c")).join(small(labels, 96), "node")
     least = member.groupBy("root").agg(F.min("id").alias("component"))
-    every = materialize(member.join(least, "root").select("c", "component"), "members")
-    out = rows.join(small(every), "c", "left").join(classes.select("c", "id"), "c", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "id", "doc_id").alias("component_id"), "text_hash")
+    linked_to = small(member.join(least, "root").select("c", "component"))
+    every = materialize(classes.join(linked_to, "c", "left").select("c", F.coalesce("component", "id").alias("component")), "members")
+    # Rows without shingles share one class and need none; of any other class there is one row in `every`, so copies can be split.
+    out = rows.filter("n > 0").join(small(every), "c", "left").unionByName(rows.filter("n = 0").withColumn("component", F.lit(None).cast("long")))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), "text_hash")
 
 
 def shortened(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
