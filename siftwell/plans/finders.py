@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,17 +71,24 @@ def school_major_ids(requests: DataFrame, school_majors: DataFrame, majors: Data
     """M-21: requests (request, school_id, major_name, education_level, which may be null) with `major_id`: the only major of
     that name and level that the school has; with `fallback`, where it has none, the only one there is."""
     m = majors.select(F.col("id").alias("_id"), F.col("name").alias("_name"), F.col("education_level").alias("_level"))
-    fits = (F.col("major_name") == F.col("_name")) & (F.col("education_level").isNull() | (F.col("education_level") == F.col("_level")))
     held = school_majors.select(F.col("school_id").alias("_school"), F.col("major_id").alias("_major")).distinct()
 
-    def counted(found: DataFrame, prefix: str) -> DataFrame:
-        return found.groupBy("request").agg(F.count("*").alias(f"{prefix}n"), F.min("_id").alias(f"{prefix}id"))
+    def counted(found: DataFrame, keys: list[str], prefix: str) -> DataFrame:
+        """How many fit and the least id, by level and (the level null) over all levels: a row a lookup, however many fit."""
+        sums = lambda df, n: df.agg(F.sum(n).alias(f"{prefix}n"), F.min("_id").alias("_id"))
+        by_level = sums(found.dropna(subset=keys).groupBy(*keys, "_level"), F.lit(1))
+        whole = sums(by_level.groupBy(*keys), f"{prefix}n").withColumn("_level", F.lit(None).cast(m.schema["_level"].dataType))
+        return by_level.filter("_level IS NOT NULL").unionByName(whole).withColumnRenamed("_id", f"{prefix}id")
+
+    def looked_up(rows: DataFrame, found: DataFrame, keys: dict[str, str], prefix: str) -> DataFrame:
+        sums = counted(found, list(keys), prefix)
+        on = reduce(lambda a, b: a & b, [rows[c] == sums[k] for k, c in keys.items()], rows["education_level"].eqNullSafe(sums["_level"]))
+        return rows.join(sums, on, "left").drop("_level", *keys)
 
     offered = held.join(m, F.col("_major") == F.col("_id"))  # one hash join, then requests by school and name
-    own = counted(requests.join(offered, fits & (F.col("school_id") == F.col("_school"))), "_s")
-    out = requests.join(own, "request", "left")
+    out = looked_up(requests, offered, {"_school": "school_id", "_name": "major_name"}, "_s")
     chosen = F.when(F.col("_sn") == 1, F.col("_sid"))
     if fallback:
-        out = out.join(counted(requests.join(m, fits), "_g"), "request", "left")
+        out = looked_up(out, m, {"_name": "major_name"}, "_g")
         chosen = chosen.when(F.col("_sn").isNull() & (F.col("_gn") == 1), F.col("_gid"))
     return out.select(*requests.columns, chosen.alias("major_id"))

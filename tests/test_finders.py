@@ -1,3 +1,7 @@
+import time
+
+from pyspark.sql import functions as F
+
 from siftwell.plans import finders
 
 
@@ -21,3 +25,14 @@ def test_finders(spark):
     ask = spark.createDataFrame([(0, 10, "m", None), (1, 10, "m", "v"), (2, 11, "m", None), (3, 11, "n", None), (4, 11, "n", "v"), (5, 11, None, None)], "request int, school_id int, major_name string, education_level string")
     assert [r.major_id for r in finders.school_major_ids(ask, held, majors).orderBy("request").collect()] == [None, 2, 1, None, None, None]
     assert [r.major_id for r in finders.school_major_ids(ask, held, majors, True).orderBy("request").collect()] == [None, 2, 1, 3, None, None]
+
+
+def test_majors_of_one_name(spark):
+    """50,000 majors of one name and 500,000 requests for it: a request meets their count, not them."""
+    majors = spark.range(50_000).select("id", F.lit("m").alias("name"), F.when(F.col("id") > 0, F.concat(F.lit("v"), (F.col("id") % 5).cast("string"))).alias("education_level"))
+    ask = spark.range(500_000).select(F.col("id").alias("request"), (F.col("id") % 3).alias("school_id"), F.lit("m").alias("major_name"), F.when(F.col("id") % 2 == 0, "v0").alias("education_level"))
+    held = spark.createDataFrame([(0, 0), (0, 5), (1, 5), (1, 10), (2, 0), (2, 0)], "school_id long, major_id long")
+    began = time.time()
+    found = finders.school_major_ids(ask, held, majors, True).groupBy("school_id", "education_level", "major_id").count().collect()
+    assert {tuple(r)[:3] for r in found} == {(0, None, None), (0, "v0", 5), (1, None, None), (1, "v0", None), (2, None, 0), (2, "v0", None)}
+    assert time.time() - began < 30
