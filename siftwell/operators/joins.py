@@ -13,8 +13,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 from siftwell.operators.rounds import cut
 from siftwell.operators.scan import carry_forward
 
-#: A side is broadcast only up to this many rows, counted first; names for an automaton only up to so many bytes.
-BROADCAST_ROWS, NAME_BYTES = 200_000, 16 << 20
+#: A side is broadcast only up to this many rows, counted first; names for automata only up to so many bytes, for one of them up to
+#: so many (a worker holds one at a time, of about 30 times its bytes); texts that take turns at several automata, up to so many.
+BROADCAST_ROWS, NAME_BYTES, AUTOMATON_BYTES, SLAB_BYTES = 200_000, 16 << 20, 2 << 20, 64 << 20
 
 
 def checked_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -83,26 +84,53 @@ def prefix_lookup(dim: DataFrame, code: str, ident: str, size: int, out: str = "
 _AUTOMATA: dict = {}
 
 
-def automaton(token: int, names: str):
-    """The worker's Aho-Corasick automaton of the names (joined by NUL), built once for each set of them."""
+def automaton(token: tuple, names: str):
+    """The worker's Aho-Corasick automaton of the names (joined by NUL), the last one that it has built; it yields lengths."""
     if token not in _AUTOMATA:
         import ahocorasick
 
-        built = ahocorasick.Automaton()
+        _AUTOMATA.clear()  # before the next one, not beside it
+        built = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
         for name in names.split("\0"):
-            built.add_word(name, name)
+            built.add_word(name)
         built.make_automaton()
-        _AUTOMATA.clear()
         _AUTOMATA[token] = built
     return _AUTOMATA[token]
 
 
-def contained(texts: DataFrame, text: str, names: DataFrame, name: str, out: str, which: str = "longest", most: int = NAME_BYTES) -> DataFrame:
+def name_groups(names: list[str], most: int) -> list[str]:
+    """The names joined by NUL, in groups of `most` bytes; a longer name is a group of its own."""
+    groups, size = [[]], 0
+    for name in names:
+        n = len(name.encode()) + 1
+        if size + n > most and groups[-1]:
+            groups.append([])
+            size = 0
+        groups[-1].append(name)
+        size += n
+    return ["\0".join(g) for g in groups]
+
+
+def slabs(batches: Iterator[pa.RecordBatch], at: int, most: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in a row until their column `at` has `most` bytes."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.column(at).nbytes
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def contained(texts: DataFrame, text: str, names: DataFrame, name: str, out: str, which: str = "longest", most: int = NAME_BYTES, group: int = AUTOMATON_BYTES) -> DataFrame:
     """D-16: each row with the name that its text contains: the `longest` (ties to the smaller), or the `first` to begin (ties to
     the longer). Null if none; rows stand for themselves, whatever they repeat. Empty names and names with a NUL count for nothing.
 
-    Up to `most` bytes of names, summed first, become one automaton in each worker, which reads a text once; beyond,
-    texts are cut into pieces of the names' lengths that meet the names in a join.
+    Up to `most` bytes of names, summed first, become automata of `group` bytes of names. A worker holds one at a time: a single one
+    reads the texts as they come, several take turns at slabs of them. Beyond, texts are cut into pieces of the names'
+    lengths that meet the names in a join.
     """
     held = names.select(F.col(name).alias("_name")).filter("length(_name) > 0 AND NOT contains(_name, '\\0')").distinct()
     size = held.agg(F.count("*").alias("n"), F.sum(F.octet_length("_name") + 1).alias("bytes")).head()
@@ -110,21 +138,28 @@ def contained(texts: DataFrame, text: str, names: DataFrame, name: str, out: str
         return texts.withColumn(out, F.lit(None).cast("string"))
     if size.bytes > most:
         return _contained_by_join(texts, text, held, out, which)
-    joined = "\0".join(sorted(r["_name"] for r in held.collect()))  # `most` bytes at most
-    shared, token, longest = texts.sparkSession.sparkContext.broadcast(joined), hash(joined), which == "longest"
-
-    def find(names, found: str | None) -> str | None:
-        best = None
-        for end, hit in names.iter(found or ""):
-            key = (-len(hit), hit) if longest else (end - len(hit), -len(hit))
-            if best is None or key < best[0]:
-                best = key, hit
-        return best and best[1]
+    groups = name_groups(sorted(r["_name"] for r in held.collect()), group)  # `most` bytes at most
+    shared, token, longest = texts.sparkSession.sparkContext.broadcast(groups), hash(tuple(groups)), which == "longest"
+    slab = SLAB_BYTES if len(groups) > 1 else 0
+
+    def find(names, found: str | None, best: tuple | None) -> tuple | None:
+        for end, n in names.iter(found or ""):
+            if longest and best is not None and -n > best[0]:
+                continue
+            hit = found[end - n + 1 : end + 1]
+            key = (-n, hit) if longest else (end - n, -n, hit)
+            if best is None or key < best:
+                best = key
+        return best
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = automaton(token, shared.value)
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([find(names, x.as_py()) for x in b.column(at)], pa.string())], names=[*b.schema.names, out])
+        for held in slabs(batches, at, slab):
+            best = [[None] * b.num_rows for b in held]
+            for k, names in enumerate(shared.value):
+                names = automaton((token, k), names)
+                best = [[find(names, x.as_py(), y) for x, y in zip(b.column(at), own)] for b, own in zip(held, best)]
+            for b, own in zip(held, best):
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array([y and y[-1] for y in own], pa.string())], names=[*b.schema.names, out])
 
     at = texts.columns.index(text)
     return texts.mapInArrow(run, StructType([*texts.schema.fields, StructField(out, StringType())]))

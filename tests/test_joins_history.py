@@ -122,3 +122,17 @@ def test_priority_is_a_weight(spark, tmp_path):
     got = sorted(map(tuple, catalogue.QUERIES["priority_pick"](spark, str(tmp_path)).collect()))
     sql = catalogue.SQL["priority_pick"].replace("lineitem", f"'{tmp_path}/lineitem.parquet/*.parquet'")
     assert got == sorted(duckdb.sql(sql).fetchall()) == [(1, 4), (2, 250_000), (3, 7), (4, 9)]
+
+
+@pytest.mark.parametrize("which", ["longest", "first"])
+def test_contained_by_several_automata(spark, which):
+    """Groups of names, the longest of which is more than a group, take turns at the texts; the best of all groups stays."""
+    rng = random.Random(3)
+    names = {"".join(rng.choice("ab学") for _ in range(rng.randint(1, 9))) for _ in range(80)}
+    texts = [(i, "".join(rng.choice("ab学c") for _ in range(rng.randint(0, 60)))) for i in range(300)]
+    groups = joins.name_groups(sorted(names), 16)
+    assert len(groups) > 5 and [n for g in groups for n in g.split("\0")] == sorted(names) and all(len(g.encode()) < 16 or "\0" not in g for g in groups)
+    key = (lambda t, n: (-len(n), n)) if which == "longest" else (lambda t, n: (t.index(n), -len(n)))
+    want = sorted((i, min((n for n in names if n in t), key=lambda n: key(t, n), default="")) for i, t in texts)
+    asked, held = spark.createDataFrame(texts, "i int, t string"), spark.createDataFrame([(n,) for n in names], "n string")
+    assert sorted((r.i, r.found or "") for r in joins.contained(asked, "t", held, "n", "found", which, group=16).collect()) == want
