@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -129,25 +130,69 @@ def change_counts(changes: DataFrame) -> DataFrame:  # E-12
     return changes.groupBy("change_type").agg(F.count("*").alias("n"))
 
 
-def apply_changes(current: DataFrame, incoming: DataFrame, spec: EntitySpec, entity: str, seq: str | None = None) -> tuple[DataFrame, DataFrame]:
+def apply_changes(current: DataFrame, incoming: DataFrame, spec: EntitySpec, entity: str, seq: str | None = None, keep: Callable[[DataFrame], DataFrame] = lambda met: met) -> tuple[DataFrame, DataFrame]:
     """(table after, snapshot rows) of one batch; the same batch again is all unchanged.
 
+    Without `seq` both come from one join, which `keep` may hold for the two to be written.
+
     seq: the order of a key's rows, ties by their hash, where keys may repeat. Each row is logged against
     the one before it and the last one is upserted; `seq` itself is no content, so it makes no change.
     """
-    content = lambda df: content_hash(df.drop(seq) if seq else df)
-    hashed = incoming.withColumn("content_hash", content(incoming))
-    known = current if "content_hash" in current.columns else current.withColumn("content_hash", content(current))
     if seq:
+        content = lambda df: content_hash(df.drop(seq))
+        hashed = incoming.withColumn("content_hash", content(incoming))
+        known = current if "content_hash" in current.columns else current.withColumn("content_hash", content(current))
         changes = three_state(known, hashed.withColumn("_order", F.struct(seq, "content_hash")), spec, "_order")
         w = Window.partitionBy(*spec.keys)
         changed = changes.withColumn("_last", F.row_number().over(w.orderBy(F.desc("_order"))) == 1).withColumn("_moved", F.max(F.col("change_type") != "unchanged").over(w))
         alone = F.lit(False) if spec.null_safe else reduce(lambda a, b: a | b, [F.col(k).isNull() for k in spec.keys])
         moved = changed.filter(F.col("_moved") & (F.col("_last") | alone)).select(*[c for c in current.columns if c in changes.columns])
         return upsert(current, moved, spec), snapshots(current, changes, spec, entity, seq="_order")
-    changes = three_state(known, hashed, spec)
-    moved = changes.filter("change_type <> 'unchanged'").select(*[c for c in current.columns if c in changes.columns])
-    return upsert(current, moved, spec), snapshots(current, changes, spec, entity)
+    met = keep(_met(current, incoming, spec))
+    return _after(met, current, [*incoming.columns, "content_hash"], spec), _logged(met, current, spec, entity)
+
+
+def _met(current: DataFrame, incoming: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Rows of both sides by key, each side with its columns as one struct (`_old`, `_new`), null where it has none, with
+    change_type and previous_hash as three_state gives them, null where nothing came in: one join, from which table and log follow.
+    Rows are hashed after it, since hashes are wider than what most tables hold."""
+    old, new = current.select(F.struct(*current.columns).alias("_old")), incoming.select(F.struct(*incoming.columns).alias("_new"))
+    key = lambda side, k: F.col(f"{side}.{k}")
+    on = reduce(lambda x, y: x & y, [key("_old", k).eqNullSafe(key("_new", k)) if spec.null_safe else key("_old", k) == key("_new", k) for k in spec.keys])
+    met = old.join(new, on, "full")
+    met = met.select("*", "_old.*")
+    held = F.col("content_hash") if "content_hash" in current.columns else content_hash(met, current.columns)
+    met = met.select("_old", "_new", F.when(F.col("_old").isNotNull(), held).alias("_before"))
+    met = met.select("_old", "_new", "_before", "_new.*")
+    came = [F.col(c) for c in incoming.columns if c != "content_hash"]
+    met = met.select("_old", "_before", F.when(F.col("_new").isNotNull(), F.struct(*came, content_hash(met, incoming.columns).alias("content_hash"))).alias("_new"))
+    kind = F.when(F.col("_old").isNull(), "new").when(F.col("_before").eqNullSafe(F.col("_new.content_hash")), "unchanged").otherwise("updated")
+    met = met.withColumn("change_type", F.when(F.col("_new").isNotNull(), kind))
+    return met.withColumn("previous_hash", F.when(F.col("change_type") == "updated", F.col("_before"))).drop("_before")
+
+
+def _after(met: DataFrame, current: DataFrame, incoming: list[str], spec: EntitySpec) -> DataFrame:
+    """The table as `upsert` of the changed rows leaves it."""
+    moved, hit = F.coalesce(F.col("change_type") != "unchanged", F.lit(False)), F.col("_old").isNotNull()
+    wide = met.select("_old", moved.alias("_moved"), hit.alias("_hit"), "_new.*")
+    out = []
+    for c in current.columns:
+        was = F.col(f"_old.{c}")
+        new = F.col(c) if c in incoming else was
+        if c in spec.preserve:
+            new = F.coalesce(new, was)
+        if c in spec.conditional:
+            new = F.when(spec.conditional[c] | ~F.col("_hit"), new).otherwise(was)
+        out.append(F.when(F.col("_moved"), new).otherwise(was).alias(c))
+    return wide.select(*out)
+
+
+def _logged(met: DataFrame, current: DataFrame, spec: EntitySpec, entity: str) -> DataFrame:
+    """The log rows as `snapshots` gives them."""
+    came = met.filter("change_type IS NOT NULL")
+    was = came.select("_old.*", "_new", "change_type", "previous_hash")
+    data = F.when(F.col("change_type") == "updated", canonical_json(was, current.columns))
+    return was.select(F.lit(entity).alias("entity_type"), *[F.col(f"_new.{k}").alias(k) for k in spec.keys], F.col("_new.content_hash").alias("content_hash"), "change_type", "previous_hash", data.alias("snapshot_data"))
 
 
 def affected_groups(facts: DataFrame, touched: DataFrame, keys: list[str]) -> DataFrame:

@@ -15,6 +15,7 @@ import json
 import time
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,14 +85,28 @@ def merge_batch(spark: SparkSession, table: str, batch: DataFrame, schema, spec:
     if was["streams"].get(stream, -1) >= number:
         return was  # committed before the stream could note it
     n = was["buckets"] or buckets
+    held = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        held.append(df.persist(StorageLevel.DISK_ONLY))
+        return held[-1]
+
+    try:
+        return _merged(spark, table, batch, schema, spec, n, seq, stream, number, was, keep)
+    finally:
+        for df in held:
+            df.unpersist()
+
+
+def _merged(spark: SparkSession, table: str, batch: DataFrame, schema, spec: EntitySpec, n: int, seq: str | None, stream: str, number: int, was: dict, keep) -> dict:
     if not seq:
-        batch = batch.distinct()
+        batch = keep(batch.distinct())
         named = batch if spec.null_safe else batch.dropna(subset=list(spec.keys))
         if not named.groupBy(*spec.keys).count().filter("count > 1").isEmpty():
             raise ValueError("a key has differing rows in one batch: give the column that orders them as seq")
     bucket = F.pmod(F.xxhash64(*spec.keys), F.lit(n)).cast("int")
     touched = sorted(r.b for r in batch.select(bucket.alias("b")).distinct().collect())  # `n` at most
-    after, log = apply_changes(_read(spark, table, schema, was["folders"], touched), batch, spec, spec.table, seq)
+    after, log = apply_changes(_read(spark, table, schema, was["folders"], touched), batch, spec, spec.table, seq, keep)
     folder = f"v={was['version'] + 1}-{uuid.uuid4().hex}"
     after.withColumn("_bucket", bucket).repartition("_bucket").write.partitionBy("_bucket").parquet(f"{table}/{folder}")
     log.write.mode("overwrite").parquet(f"{table}_snapshots/stream={stream}/batch={number}")

@@ -1,6 +1,9 @@
 import datetime as dt
 
-from siftwell.operators import ledger
+from pyspark.sql import functions as F
+
+from siftwell.functions import hashing
+from siftwell.operators import ledger, merge
 from siftwell.plans import entities
 
 T = dt.datetime(2024, 5, 1, 12)
@@ -41,3 +44,19 @@ def test_ledger(spark):
     assert [r.task_id for r in ledger.recent(log, 2).collect()] == ["a", "c"]
     assert ledger.stable(log, "majors") and not ledger.stable(log, "schools") and not ledger.stable(log, "timelines") and not ledger.stable(log, "none")
     assert ledger.stable(log, "none", 10, 10)
+
+
+def test_changes_by_one_join(spark):
+    """Table and log of a batch come from one join, and are what three_state, upsert and snapshots give step by step."""
+    held = spark.createDataFrame([(1, "a", 5, "x"), (2, "b", None, "y"), (None, "c", 7, None), (4, "d", 8, "z")], "k int, v string, n int, w string")
+    batch = spark.createDataFrame([(1, "a", 5, "x"), (2, None, 3, "y"), (None, "c", 9, None), (5, "e", None, "q")], "k int, v string, n int, w string")
+    for null_safe in (True, False):
+        for current, incoming in [(held, batch), (held.withColumn("content_hash", hashing.content_hash(held)), batch), (held, batch.drop("w")), (held.limit(0), batch)]:
+            spec, kept = merge.EntitySpec("t", ("k",), null_safe, preserve=("v",), conditional={"n": F.coalesce(F.col("n") > 4, F.lit(False))}), []
+            after, log = merge.apply_changes(current, incoming, spec, "t", keep=lambda met: kept.append(met) or met)
+            assert len(kept) == 1 and all(df._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= 1 for df in (after, log))
+            known = current if "content_hash" in current.columns else current.withColumn("content_hash", hashing.content_hash(current))
+            changes = merge.three_state(known, incoming.withColumn("content_hash", hashing.content_hash(incoming)), spec)
+            moved = changes.filter("change_type <> 'unchanged'").select(*[c for c in current.columns if c in changes.columns])
+            for got, want in ((after, merge.upsert(current, moved, spec)), (log, merge.snapshots(current, changes, spec, "t"))):
+                assert got.columns == want.columns and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
