@@ -14,7 +14,8 @@ def adm(spark: SparkSession, d: str) -> DataFrame:
     """Admission facts: school = supplier, major = part, province = the supplier's nation, year = the order's."""
     o = t(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").cast("bigint").alias("yr"), F.col("o_orderpriority").alias("batch"))
     s = t(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").cast("bigint").alias("province"))
-    li = t(spark, d, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+    # suppliers first: they are few, and a province's leave few items to meet the orders
+    li = t(spark, d, "lineitem").join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     return li.select(
         F.col("l_suppkey").alias("school_id"), F.col("l_partkey").alias("major_id"), "province", "yr", "batch",
         F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("subject"),

@@ -52,16 +52,22 @@ def match_history(plans: DataFrame, past: DataFrame, years: list[int]) -> DataFr
     bases = F.coalesce(major_name(base_major("full_name")) != major_name(base_major("h_full_name")), F.lit(False))
     variants = F.coalesce(has_variant("full_name") & has_variant("h_full_name") & ~same_full, F.lit(False))
     ok = (~ids_differ | same("major_code") | same_full) & ~clash("school_code") & ~clash("group_code") & ~clash("major_code") & ~bases & (~variants | same("major_code"))
-    key = Window.partitionBy("plan_id", "h_year")
-    c = c.filter(ok).withColumn("_ids", F.size(F.collect_set("h_major_id").over(key))).filter(F.col("major_id").isNotNull() | (F.col("_ids") <= 1))
     b = batch_score({k: F.col(f"batch_{k}") for k in ("code", "segment", "text")}, {k: F.col(f"h_batch_{k}") for k in ("code", "segment", "text")})
-    c = c.withColumn("_batch", b).filter("_batch >= 0").withColumn("_best", F.max("_batch").over(key)).filter("_batch = _best")
     tier = F.when(same("school_code") & same("major_code"), 0).when(same("group_code") & same("major_code"), 1).when(same("major_code"), 2).when(same_full, 3).otherwise(4)
-    c = c.withColumn("_tier", tier).withColumn("_first", F.min("_tier").over(key)).filter("_tier = _first")
     identity = F.concat_ws("\x01", *[F.coalesce(code(f"h_{x}"), F.lit("")) for x in ("school_code", "group_code", "major_code")], full_name("h_full_name"))
-    c = c.withColumn("_n", F.size(F.collect_set(identity).over(key))).filter("_n = 1")
     whole = sum(F.when(F.col(f"h_{x}").isNotNull(), 1).otherwise(0) for x in ("min_rank", "min_score", "admitted_count", "plan_count"))
-    order = key.orderBy(whole.desc(), F.col("h_official").desc(), "_tier0", F.col("h_major_id").asc_nulls_last(), "h_history_id")
+    # what the choice needs goes to the plan and year, not the rows
+    c = c.filter(ok).select("plan_id", "h_year", "h_history_id", "h_major_id", F.col("major_id").isNotNull().alias("_known"), b.alias("_batch"), tier.alias("_tier"), identity.alias("_identity"), whole.alias("_whole"), "h_official", "_tier0")
+    key = Window.partitionBy("plan_id", "h_year")
+
+    def one(x: str) -> Column:
+        return F.coalesce(F.min(x).over(key) == F.max(x).over(key), F.lit(True))
+
+    c = c.withColumn("_one", one("h_major_id")).filter(F.col("_known") | F.col("_one"))
+    c = c.filter("_batch >= 0").withColumn("_best", F.max("_batch").over(key)).filter("_batch = _best")
+    c = c.withColumn("_first", F.min("_tier").over(key)).filter("_tier = _first")
+    c = c.withColumn("_one", one("_identity")).filter("_one")
+    order = key.orderBy(F.col("_whole").desc(), F.col("h_official").desc(), "_tier0", F.col("h_major_id").asc_nulls_last(), "h_history_id")
     return c.withColumn("_rn", F.row_number().over(order)).filter("_rn = 1").select("plan_id", F.col("h_year").alias("year"), F.col("h_history_id").alias("history_id"))
 
 

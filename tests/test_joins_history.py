@@ -136,3 +136,19 @@ def test_contained_by_several_automata(spark, which):
     want = sorted((i, min((n for n in names if n in t), key=lambda n: key(t, n), default="")) for i, t in texts)
     asked, held = spark.createDataFrame(texts, "i int, t string"), spark.createDataFrame([(n,) for n in names], "n string")
     assert sorted((r.i, r.found or "") for r in joins.contained(asked, "t", held, "n", "found", which, group=16).collect()) == want
+
+
+def test_history_match_carries_little_to_its_choice(spark):
+    """What goes to a plan and year is what the choice needs; items meet the few suppliers of a province before the orders."""
+    import __spark_entry__
+
+    def nodes(plan):
+        yield plan
+        for i in range(plan.children().size()):
+            yield from nodes(plan.children().apply(i))
+
+    plan = __spark_entry__.queries()["history_match"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan()
+    windows = [n for n in nodes(plan) if n.nodeName() == "Window"]
+    assert windows and max(n.output().size() for n in windows) <= 16
+    joins = [n for n in nodes(plan) if n.nodeName() == "Join" and "o_orderkey" in n.condition().toString()]
+    assert joins and all("s_suppkey" in n.children().apply(0).toString() for n in joins)
