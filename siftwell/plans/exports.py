@@ -29,21 +29,21 @@ def _of_subject(subject: str | None) -> Column:
 
 def _facts(facts: DataFrame, provinces: DataFrame, subjects: DataFrame, majors: DataFrame, province: str, years: list[int], subject: str | None) -> DataFrame:
     """The facts of a province and years with their subject and the major's canonical name."""
-    here = provinces.filter(F.col("name") == province).select(F.col("id").alias("province_id"))
-    out = facts.filter(F.col("year").isin(years)).join(here, "province_id", "left_semi").join(_named(subjects, "subject_category_id", "subject_category"), "subject_category_id", "left")
+    here = [r.id for r in provinces.filter(F.col("name") == province).select("id").distinct().collect()]  # as values a filter goes down to the tables
+    out = facts.filter(F.col("year").isin(years) & F.col("province_id").isin(here)).join(_named(subjects, "subject_category_id", "subject_category"), "subject_category_id", "left")
     return out.filter(_of_subject(subject)).join(_named(majors, "major_id", "canonical_major_name"), "major_id", "left")
 
 
 def export_plans(plans: DataFrame, provinces: DataFrame, schools: DataFrame, subjects: DataFrame, majors: DataFrame, subcategories: DataFrame, categories: DataFrame, school_majors: DataFrame, province: str, year: int, subject: str | None = None) -> DataFrame:
     """A year's plans of a province with all that the export says of their school and major."""
-    own = _facts(plans, provinces, subjects, majors, province, [year], subject)
+    own = cut(_facts(plans, provinces, subjects, majors, province, [year], subject))
     sub = subcategories.select(F.col("id").alias("subcategory_id"), F.col("name").alias("major_subcategory"), F.col("category_id").alias("_of"))
     kinds = majors.select(F.col("id").alias("major_id"), "education_level", "subcategory_id", "category_id").join(sub, "subcategory_id", "left")
     kinds = kinds.withColumn("_cat", F.coalesce("_of", "category_id")).join(_named(categories, "_cat", "major_category"), "_cat", "left")
     held = ["city", "authority", "school_type", "is_211", "is_985", "is_double_first", "is_private", "is_independent", "is_sino_foreign"]
     at = schools.select(F.col("id").alias("school_id"), "sch_id", F.col("name").alias("school_name"), F.col("crawl_task_id").alias("school_crawl_task_id"), F.col("level").alias("school_level"), F.col("province_id").alias("_home"), *held)
     at = at.join(_named(provinces, "_home", "school_province"), "_home", "left").drop("_home")
-    strong = school_majors.select("school_id", "major_id", "major_strength_tier", "strength_evidence")
+    strong = school_majors.join(own.select("school_id").distinct(), "school_id", "left_semi").select("school_id", "major_id", "major_strength_tier", "strength_evidence")
     out = own.join(at, "school_id").join(kinds.select("major_id", "education_level", "major_category", "major_subcategory"), "major_id", "left")
     return out.join(strong, ["school_id", "major_id"], "left").withColumnRenamed("id", "plan_id").withColumnRenamed("major_name", "major_full_name")
 

@@ -119,3 +119,14 @@ def test_target_province(spark):
     facts = spark.createDataFrame([(1, 5, "本科批", None), (1, None, "x", "本科批"), (3, 5, "本科批", None)], "province_id int, subject_category_id int, batch string, batch_category string")
     count = lambda *a: answer_readiness.scoped(facts, answer_readiness.target_province(provinces, "辽宁"), *a).count()
     assert (count(None, None), count(5, None), count(None, "本科批"), count(5, "y")) == (2, 1, 2, 0)
+
+
+def test_export_filters_its_province_where_it_reads(spark):
+    """A province's few schools are picked before their facts meet other tables; of taught majors only the plans' schools count."""
+    from siftwell.plans import export_queries as q
+
+    x = q._tables(spark, "/root/testdata/sf0.001")
+    facts = exports._facts(x["plans"], x["provinces"], x["subjects"], x["majors"], q.PLACE, [q.YEAR], None)
+    plan = facts._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan
+    assert any("s_nationkey" in line and "= 3" in line for line in plan.split("\n") if "Filter" in line)
