@@ -20,7 +20,8 @@ def target_province(provinces: DataFrame, wanted: str) -> DataFrame:
 
 def scoped(facts: DataFrame, target: DataFrame, subject: str | int | None, batch: str | None) -> DataFrame:
     """C-4, C-7: the province's rows, of a subject and of a batch or batch category where these are given."""
-    out = facts.join(F.broadcast(target), "province_id")
+    here = [r.province_id for r in target.select("province_id").collect()]  # one at most; as a value the filter goes down to the tables
+    out = facts.filter(F.col("province_id").isin(here)).join(F.broadcast(target), "province_id")
     if subject is not None:
         out = out.filter(F.col("subject_category_id").eqNullSafe(F.lit(subject)))
     return out if batch is None else out.filter((F.col("batch") == batch) | (F.col("batch_category") == batch))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.functions.text import json_filled, major_name_greedy
+from siftwell.operators.rounds import cut
 from siftwell.plans.answer_readiness import answer_readiness, by_year, scoped, target_province
 from siftwell.plans.readiness import FLAGS
 
@@ -101,10 +102,11 @@ def match_diagnostics(tables: dict[str, DataFrame], province: str, plan_year: in
 
 def strength_diagnostics(tables: dict[str, DataFrame], province: str, plan_year: int, subject: str | int | None = None, batch: str | None = None) -> DataFrame:
     """M-19: how many of the year's plan majors the school teaches, have signals, a roll-up, or signals without a roll-up; one row."""
-    own = _plan_majors(tables, target_province(tables["provinces"], province), plan_year, subject, batch)
+    own = cut(_plan_majors(tables, target_province(tables["provinces"], province), plan_year, subject, batch))
+    schools = own.select("school_id").distinct()  # all that is taught and signalled elsewhere is left out before it is grouped
     rolled = F.col("major_strength_rank").isNotNull() | F.col("major_strength_score").isNotNull() | F.coalesce("is_featured_major", F.lit(False)) | json_filled("strength_evidence")
-    taught = tables[TAUGHT].groupBy(F.col("school_id").alias("t_school"), F.col("major_id").alias("t_major")).agg(F.bool_or(rolled).alias("rolled"))
-    signals = tables[SIGNALS].select(F.col("school_id").alias("g_school"), F.col("major_id").alias("g_major"), F.lit(True).alias("signal")).distinct()
+    taught = tables[TAUGHT].join(schools, "school_id", "left_semi").groupBy(F.col("school_id").alias("t_school"), F.col("major_id").alias("t_major")).agg(F.bool_or(rolled).alias("rolled"))
+    signals = tables[SIGNALS].join(F.broadcast(schools), "school_id", "left_semi").select(F.col("school_id").alias("g_school"), F.col("major_id").alias("g_major"), F.lit(True).alias("signal")).distinct()
     at = own.join(taught, (own.school_id == taught.t_school) & own.major_id.eqNullSafe(taught.t_major), "left")
     at = at.join(signals, (at.school_id == signals.g_school) & at.major_id.eqNullSafe(signals.g_major), "left")
     up = F.coalesce("rolled", F.lit(False))

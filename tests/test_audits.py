@@ -115,3 +115,11 @@ def test_command_line(spark, tmp_path, capsys):
     assert __main__.main(["audit-majors", str(tmp_path), "--province", "21", "--plan-year", "2024", "--year", "2023", "--year", "2022", "--batch", "本科批", "--limit", "1"], spark) == 0
     said = capsys.readouterr().out
     assert all(x in said for x in ("summary", "matches", "strength", "gaps", "missing_admission_linkage"))
+
+
+def test_strength_diagnostics_groups_only_the_plans_schools(spark):
+    """Taught majors and signals of other schools are left out by joins that keep nothing of them."""
+    import __spark_entry__
+
+    plan = __spark_entry__.queries()["audit_strength_diagnostics"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert sum("Join LeftSemi" in line for line in plan) >= 2
