@@ -6,11 +6,24 @@ import json
 import uuid
 
 import numpy as np
+import pandas as pd
 
 #: Buckets (or ones) between two entries of a directory.
 EVERY = 8
 
 
+def _kth() -> np.ndarray:
+    """How many of 16 bits go up to their k-th one, k first; 255 where there are fewer ones."""
+    out, y = np.zeros((EVERY + 1, 1 << 16), np.uint8), np.arange(1 << 16)
+    for k in range(1, EVERY + 1):
+        out[k] = np.where(y, np.bitwise_count((y & -y) - 1) + 1, 255)
+        y &= y - 1
+    return out.ravel()
+
+
+KTH, LOW = _kth(), np.uint64(0xFFFF)
+
+
 def _window(words: np.ndarray, at: np.ndarray) -> np.ndarray:
     """64 bits from bit `at` on."""
     w, s = at >> 6, (at & 63).astype(np.uint64)
@@ -18,26 +31,41 @@ def _window(words: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _after(words: np.ndarray, at: np.ndarray, k: np.ndarray, ones: bool) -> np.ndarray:
-    """The bit behind the k-th zero (or one) from `at` on; `at` itself where k is 0."""
-    out, at = at.copy(), at.copy()
-    left = np.flatnonzero(k)
-    at, k = at[left], k[left]
+    """The bit behind the k-th zero (or one) from `at` on, k up to EVERY; `at` itself where k is 0."""
+    x = _window(words, at)
+    x = x if ones else ~x
+    low = (x & LOW).astype(np.int64)
+    step = KTH[(k << 16) | low]
+    out = at + step
+    left = np.flatnonzero(step == 255)
+    if not len(left):
+        return out
+    x, at, k = x[left], at[left], k[left] - np.bitwise_count(low[left])  # the next 16 bits
+    step = KTH[(k << 16) | ((x >> np.uint64(16)) & LOW).astype(np.int64)]
+    out[left] = at + 16 + step
+    if len(far := np.flatnonzero(step == 255)):
+        out[left[far]] = _further(words, at[far] + 16, k[far], ones)
+    return out
+
+
+def _further(words: np.ndarray, at: np.ndarray, k: np.ndarray, ones: bool) -> np.ndarray:
+    """As _after, for k from 1 on: 2 words at a time, then 64, since behind a frequent context a gap has thousands of bits."""
+    out, left, lanes = at.copy(), np.arange(len(at)), 2
     while len(left):
-        x = _window(words, at)
+        w = at >> 6
+        x = words[np.minimum(w[:, None] + np.arange(lanes), len(words) - 1)]
         x = x if ones else ~x
-        there = np.bitwise_count(x).astype(np.int64)
-        done = there >= k
-        if done.all():
-            y, c, where = x, k, left
-        else:
-            y, c, where = x[done], k[done], left[done]
-        for i in range(1, int(c.max(initial=0))):
-            y = np.where(c > i, y & (y - np.uint64(1)), y)
-        out[where] = (at if done.all() else at[done]) + np.bitwise_count((y & (~y + np.uint64(1))) - np.uint64(1)) + 1
-        if done.all():
-            break
-        rest = ~done
-        left, k, at = left[rest], k[rest] - there[rest], at[rest] + 64
+        x[:, 0] &= ~np.uint64(0) << (at & 63).astype(np.uint64)
+        up = np.cumsum(np.bitwise_count(x), axis=1, dtype=np.int64)
+        done = up[:, -1] >= k
+        i = np.flatnonzero(done)
+        lane = np.argmax(up[i] >= k[i, None], axis=1)
+        y, c = x[i, lane], k[i] - np.where(lane > 0, up[i, lane - 1], 0)
+        for n in range(1, int(c.max(initial=0))):
+            y = np.where(c > n, y & (y - np.uint64(1)), y)
+        out[left[i]] = ((w[i] + lane) << 6) + np.bitwise_count((y & (~y + np.uint64(1))) - np.uint64(1)) + 1
+        i = np.flatnonzero(~done)
+        left, k, at, lanes = left[i], k[i] - up[i, -1], (w[i] + lanes) << 6, 64
     return out
 
 
@@ -75,31 +103,32 @@ class Sequence:
     def _low(self, i: np.ndarray) -> np.ndarray:
         return _window(self.low, i * self.bits) & self.mask
 
-    def get(self, i: np.ndarray) -> np.ndarray:
-        """The values at positions `i`."""
+    def get(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values at positions `i` and those behind them."""
         block = i // EVERY
         at = self.ones[block].astype(np.int64) + block * EVERY
-        high = _after(self.high, at, i % EVERY + 1, True) - 1 - i
-        return (high.astype(np.uint64) << np.uint64(self.bits)) | self._low(i)
+        at = _after(self.high, at, i % EVERY + 1, True)
+        behind = _after(self.high, at, np.ones(len(i), np.int64), True)
+        shift = np.uint64(self.bits)
+        return ((at - 1 - i).astype(np.uint64) << shift) | self._low(i), ((behind - 2 - i).astype(np.uint64) << shift) | self._low(i + 1)
 
-    def successor(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The position of the first element of v's bucket that is v or more, and whether it is v."""
+    def find(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the position of each v, whether it is there) in a sequence without equal values; 0 where it isn't."""
         return self.in_bucket((v >> np.uint64(self.bits)).astype(np.int64), v & self.mask)
 
     def in_bucket(self, h: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         block = h // EVERY
         start = _after(self.high, self.zeros[block].astype(np.int64) + block * EVERY, h % EVERY, False)
-        at, hit = start - h, np.zeros(len(h), bool)
-        left = np.arange(len(h))
-        while len(left):
-            here = start[left]
-            left = left[((self.high[here >> 6] >> (here & 63).astype(np.uint64)) & np.uint64(1)) == 1]
-            low = self._low(at[left])
-            hit[left] = low == want[left]
-            left = left[low < want[left]]
-            at[left] += 1
-            start[left] += 1
-        return at, hit
+        x = ~_window(self.high, start)
+        many = np.bitwise_count((x & (~x + np.uint64(1))) - np.uint64(1)).astype(np.int64)  # ones from there on: the bucket's elements
+        if len(i := np.flatnonzero(many == 64)):
+            many[i] = _after(self.high, start[i], np.ones(len(i), np.int64), False) - 1 - start[i]
+        each = np.repeat(np.arange(len(h)), many)
+        at = np.arange(len(each)) + np.repeat(start - h - np.cumsum(many) + many, many)
+        same = np.flatnonzero(self._low(at) == want[each])
+        out, hit = np.zeros(len(h), np.int64), np.zeros(len(h), bool)
+        out[each[same]], hit[each[same]] = at[same], True
+        return out, hit
 
 
 def encode_children(context: np.ndarray, words: np.ndarray, contexts: int, bits: int) -> dict[str, np.ndarray]:
@@ -125,8 +154,10 @@ class Children:
     def find(self, context: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, whether it is there) of each word among its context's successors."""
         at, hit = np.zeros(len(context), np.int64), np.zeros(len(context), bool)
-        b = self.first.get(context).astype(np.int64)
-        own = self.first.get(context + 1).astype(np.int64) - b
+        which, each = pd.factorize(context)
+        b, next_b = (x.astype(np.int64) for x in self.first.get(each))
+        own = (next_b - b)[which]
+        b = b[which]
         i = np.flatnonzero(own)
         shift = self.words.bits - np.bitwise_count(own[i] - 1).astype(np.int64)
         at[i], hit[i] = self.words.in_bucket(b[i] + (words[i] >> shift), words[i].astype(np.uint64))
@@ -172,9 +203,9 @@ def read_arrays(path: str) -> tuple[dict[str, np.ndarray], int]:
         with fs.open_input_file(p) as source:
             raw = np.frombuffer(source.read(), np.uint8)
     else:
-        raw = np.memmap(p, np.uint8, "r")
+        raw = np.asarray(np.memmap(p, np.uint8, "r"))  # a plain view of the map: memmap's own views cost microseconds each
     size, start = (int(x) for x in raw[:16].view(np.uint64))
     out = {}
     for k, (kind, n, at) in json.loads(raw[16 : 16 + size].tobytes()).items():
         out[k] = raw[start + at : start + at + n * np.dtype(kind).itemsize].view(kind)
-    return out, 0 if isinstance(raw, np.memmap) else len(raw)
+    return out, 0 if fs.type_name == "local" else len(raw)
