@@ -10,12 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from siftwell.operators.name_index import Texts, index_of
 from siftwell.operators.rounds import cut
 from siftwell.operators.scan import carry_forward
 
-#: A side is broadcast only up to this many rows, counted first; names for automata only up to so many bytes, for one of them up to
-#: so many (a worker holds one at a time, of about 30 times its bytes); texts that take turns at several automata, up to so many.
-BROADCAST_ROWS, NAME_BYTES, AUTOMATON_BYTES, SLAB_BYTES = 200_000, 16 << 20, 2 << 20, 64 << 20
+#: A side is broadcast only up to this many rows, counted first; names for indexes only up to so many bytes, for one of them up to
+#: so many (a worker holds one at a time, of about 5 times its bytes); texts that take turns at several indexes, up to so many.
+BROADCAST_ROWS, NAME_BYTES, INDEX_BYTES, SLAB_BYTES = 200_000, 128 << 20, 32 << 20, 64 << 20
 
 
 def checked_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -81,23 +82,6 @@ def prefix_lookup(dim: DataFrame, code: str, ident: str, size: int, out: str = "
     return unique_lookup(dim.filter(F.length(code) >= size), F.left(F.col(code), F.lit(size)), ident, out)
 
 
-_AUTOMATA: dict = {}
-
-
-def automaton(token: tuple, names: str):
-    """The worker's Aho-Corasick automaton of the names (joined by NUL), the last one that it has built; it yields lengths."""
-    if token not in _AUTOMATA:
-        import ahocorasick
-
-        _AUTOMATA.clear()  # before the next one, not beside it
-        built = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-        for name in names.split("\0"):
-            built.add_word(name)
-        built.make_automaton()
-        _AUTOMATA[token] = built
-    return _AUTOMATA[token]
-
-
 def name_groups(names: list[str], most: int) -> list[str]:
     """The names joined by NUL, in groups of `most` bytes; a longer name is a group of its own."""
     groups, size = [[]], 0
@@ -124,45 +108,40 @@ def slabs(batches: Iterator[pa.RecordBatch], at: int, most: int) -> Iterator[lis
         yield held
 
 
-def contained(texts: DataFrame, text: str, names: DataFrame, name: str, out: str, which: str = "longest", most: int = NAME_BYTES, group: int = AUTOMATON_BYTES) -> DataFrame:
+def contained(texts: DataFrame, text: str, names: DataFrame, name: str, out: str, which: str = "longest", most: int = NAME_BYTES, group: int = INDEX_BYTES, keep: list[str] | None = None) -> DataFrame:
     """D-16: each row with the name that its text contains: the `longest` (ties to the smaller), or the `first` to begin (ties to
     the longer). Null if none; rows stand for themselves, whatever they repeat. Empty names and names with a NUL count for nothing.
+    keep: the columns that go with it, all unless given.
 
-    Up to `most` bytes of names, summed first, become automata of `group` bytes of names. A worker holds one at a time: a single one
-    reads the texts as they come, several take turns at slabs of them. Beyond, texts are cut into pieces of the names'
-    lengths that meet the names in a join.
+    Up to `most` bytes of names, summed first, become indexes of `group` bytes of names, the longest names first. A worker holds one at a
+    time: a single one reads the texts as they come, several take turns at slabs of them, each at the texts that may
+    still find a better name. Beyond, texts are cut into pieces of the names' lengths that meet the names in a join.
     """
-    held = names.select(F.col(name).alias("_name")).filter("length(_name) > 0 AND NOT contains(_name, '\\0')").distinct()
+    keep = texts.columns if keep is None else keep
+    held = cut(names.select(F.col(name).alias("_name")).filter("length(_name) > 0 AND NOT contains(_name, '\\0')").distinct())
     size = held.agg(F.count("*").alias("n"), F.sum(F.octet_length("_name") + 1).alias("bytes")).head()
     if not size.n:
-        return texts.withColumn(out, F.lit(None).cast("string"))
+        return texts.select(*keep, F.lit(None).cast("string").alias(out))
     if size.bytes > most:
-        return _contained_by_join(texts, text, held, out, which)
-    groups = name_groups(sorted(r["_name"] for r in held.collect()), group)  # `most` bytes at most
+        return _contained_by_join(texts, text, held, out, which).select(*keep, out)
+    ranked = sorted(held.toArrow()["_name"].to_pylist())  # `most` bytes at most
+    ranked.sort(key=len, reverse=True)
+    groups = [g.encode() for g in name_groups(ranked, group)]
     shared, token, longest = texts.sparkSession.sparkContext.broadcast(groups), hash(tuple(groups)), which == "longest"
     slab = SLAB_BYTES if len(groups) > 1 else 0
 
-    def find(names, found: str | None, best: tuple | None) -> tuple | None:
-        for end, n in names.iter(found or ""):
-            if longest and best is not None and -n > best[0]:
-                continue
-            hit = found[end - n + 1 : end + 1]
-            key = (-n, hit) if longest else (end - n, -n, hit)
-            if best is None or key < best:
-                best = key
-        return best
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in slabs(batches, at, slab):
-            best = [[None] * b.num_rows for b in held]
+        for held in slabs(batches, 0, slab):
+            asked, before = [Texts(b.column(0), longest) for b in held], 0
             for k, names in enumerate(shared.value):
-                names = automaton((token, k), names)
-                best = [[find(names, x.as_py(), y) for x, y in zip(b.column(at), own)] for b, own in zip(held, best)]
-            for b, own in zip(held, best):
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array([y and y[-1] for y in own], pa.string())], names=[*b.schema.names, out])
-
-    at = texts.columns.index(text)
-    return texts.mapInArrow(run, StructType([*texts.schema.fields, StructField(out, StringType())]))
+                index = index_of((token, k), names)
+                for x in asked:
+                    x.look_up(index, before)
+                before += index.start.size
+            for b, x in zip(held, asked):
+                yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(x.found, pa.string())], names=[*keep, out])
+
+    return texts.select(F.col(text).alias("_text"), *keep).mapInArrow(run, StructType([*[texts.schema[c] for c in keep], StructField(out, StringType())]))
 
 
 def _contained_by_join(texts: DataFrame, text: str, held: DataFrame, out: str, which: str) -> DataFrame:

@@ -57,13 +57,13 @@ def _documents_and_names(s, d):
 @query(f"""WITH n AS ({_DOC_NAMES}) SELECT doc_id, (SELECT min(nm) FROM n WHERE length(nm) > 0 AND contains(text, nm) AND length(nm) = (SELECT max(length(nm)) FROM n WHERE contains(text, nm))) AS found FROM documents""")
 def names_in_texts(s, d):
     docs, names = _documents_and_names(s, d)
-    return joins.contained(docs, "text", names, "nm", "found").select("doc_id", "found")
+    return joins.contained(docs, "text", names, "nm", "found", keep=["doc_id"])
 
 
 @query(f"""WITH n AS ({_DOC_NAMES}) SELECT doc_id, (SELECT arg_min(nm, strpos(text, nm) * 100000 - length(nm)) FROM n WHERE length(nm) > 0 AND contains(text, nm)) AS found FROM documents""")
 def first_name_in_texts(s, d):
     docs, names = _documents_and_names(s, d)
-    return joins.contained(docs, "text", names, "nm", "found", "first").select("doc_id", "found")
+    return joins.contained(docs, "text", names, "nm", "found", "first", keep=["doc_id"])
 
 
 #: Three waves of files: a key of the second may be new, changed or as it was; the third changes a third of the table.

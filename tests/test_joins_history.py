@@ -4,10 +4,11 @@ import random
 import time
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from siftwell.operators import joins, scan
+from siftwell.operators import joins, name_index, scan
 from siftwell.plans import catalogue, history
 
 
@@ -152,3 +153,34 @@ def test_history_match_carries_little_to_its_choice(spark):
     assert windows and max(n.output().size() for n in windows) <= 16
     joins = [n for n in nodes(plan) if n.nodeName() == "Join" and "o_orderkey" in n.condition().toString()]
     assert joins and all("s_suppkey" in n.children().apply(0).toString() for n in joins)
+
+
+@pytest.mark.parametrize("which", ["longest", "first"])
+@pytest.mark.parametrize("alike", [False, True])
+def test_name_index_is_exact(monkeypatch, which, alike):
+    """Names of all lengths, over steps of a few bytes and several indexes; also where all hashes are alike, so that only bytes tell."""
+    rng = random.Random(5)
+    names = {"".join(rng.choice("aé学😀") for _ in range(rng.choice([1, 2, 3, 7, 20, 90, 200]))) for _ in range(40)}
+    texts = [None, "", *("".join(rng.choice([*sorted(names), "x", "\0", "a"]) for _ in range(rng.randint(0, 5))) for _ in range(60))]
+    texts += [t[1:-1] for t in texts if t]
+    if alike:
+        monkeypatch.setattr(name_index, "_BYTES", name_index._BYTES * 0)
+    monkeypatch.setattr(name_index, "STEP_BYTES", 64)
+    monkeypatch.setattr(name_index, "BEGINNING", 5)
+    asked, before = name_index.Texts(pa.array(texts), which == "longest"), 0
+    for group in joins.name_groups(sorted(names, key=lambda n: (-len(n), n)), 2000):
+        index = name_index.NameIndex(group.encode())
+        asked.look_up(index, before)
+        before += index.start.size
+    key = (lambda t, n: (-len(n), n)) if which == "longest" else (lambda t, n: (t.index(n), -len(n)))
+    assert before == len(names) and list(asked.found) == [min((n for n in names if t and n in t), key=lambda n: key(t, n), default=None) for t in texts]
+
+
+def test_contained_among_many_names(spark):
+    """More than 16 MB of names are looked up where the texts are: texts are not cut into pieces, nor dealt anew."""
+    names = spark.range(1_300_000).select(F.concat(F.lit("n"), F.lpad(F.col("id").cast("string"), 12, "0")).alias("n"))
+    texts = spark.range(0, 1_400_000, 7000).select("id", F.concat(F.lit("x n"), F.lpad(F.col("id").cast("string"), 12, "0"), F.lit("9")).alias("t"))
+    found = joins.contained(texts, "t", names, "n", "found", keep=["id"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Generate" not in plan
+    assert sorted(map(tuple, found.collect())) == [(i, f"n{i:012}" if i < 1_300_000 else None) for i in range(0, 1_400_000, 7000)]
