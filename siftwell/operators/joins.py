@@ -15,7 +15,7 @@ from siftwell.operators.rounds import cut
 from siftwell.operators.scan import carry_forward
 
 #: A side is broadcast only up to this many rows, counted first; names for indexes only up to so many bytes, for one of them up to
-#: so many (a worker holds one at a time, of about 5 times its bytes); texts that take turns at several indexes, up to so many.
+#: so many (a worker holds one at a time, of about 7 times its bytes); texts that take turns at several indexes, up to so many.
 BROADCAST_ROWS, NAME_BYTES, INDEX_BYTES, SLAB_BYTES = 200_000, 128 << 20, 32 << 20, 64 << 20
 
 
